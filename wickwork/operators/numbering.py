@@ -16,6 +16,8 @@ _RANK_STEPS = 10_000  # at most 20,003 buckets
 
 
 def _numbered(df: DataFrame, out: str, bucket: Column, number: Column, order: list[Column]) -> DataFrame:
+    # The bucket is never NULL, so the join below adds no filter to one of its
+    # sides only, and both sides share the shuffle that produced `df`.
     tagged = df.withColumn("_bucket", bucket)
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = tagged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size")).select(
@@ -37,7 +39,8 @@ def number_names(df: DataFrame, name: str, out: str) -> DataFrame:
     Buckets are the first bytes of the name, which sort as the names do.
     """
     prefix = F.substring(F.hex(F.encode(F.col(name), "utf-8")), 1, 2 * _PREFIX_BYTES)
-    return _numbered(df, out, prefix, F.row_number(), [F.col(name)])
+    bucket = F.coalesce(prefix, F.lit(""))
+    return _numbered(df, out, bucket, F.row_number(), [F.col(name)])
 
 
 def rank_descending(df: DataFrame, value: str, out: str) -> DataFrame:

@@ -11,6 +11,7 @@ from wickwork import constants as C
 from wickwork.functions.candle import breaks_ohlc, breaks_time
 from wickwork.operators.dims import days_between
 from wickwork.operators.facts import DAILY_KEY
+from wickwork.operators.silver import problems
 
 GATE, REPORT = "gate", "report"
 
@@ -35,12 +36,8 @@ def bronze_rules() -> list[Rule]:
 
 
 def typing_rules() -> list[Rule]:
-    """Reasons for setting bronze rows aside, over `silver.typed` rows."""
-    names = ["unmatched_symbol", *[f"malformed_{f}" for f in C.PRICE_FIELDS]]
-    return [
-        Rule("rejected", REPORT, F.size("problems") > 0),
-        *[Rule(n, REPORT, F.array_contains("problems", n)) for n in names],
-    ]
+    """Reasons for setting bronze rows aside, over `silver.judged` rows."""
+    return [Rule(name, REPORT, F.col(name)) for name in ("rejected", *problems())]
 
 
 def silver_rules() -> list[Rule]:
@@ -55,11 +52,11 @@ def silver_rules() -> list[Rule]:
 
 
 def load_rules() -> list[Rule]:
-    """Everything to know before silver is written, over `silver.typed` rows.
+    """Everything to know before silver is written, over `silver.judged` rows.
 
     Rows that are set aside do not count against silver.
     """
-    kept = F.size("problems") == 0
+    kept = ~F.col("rejected")
     return [*typing_rules(), *[Rule(r.name, r.severity, kept & r.bad) for r in silver_rules()]]
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,41 +23,51 @@ def unify(bronze: dict[str, DataFrame]) -> DataFrame:
     ])
 
 
-def problems() -> Column:
-    """Why a bronze row cannot be typed; an empty array when it can.
+def _symbol() -> Column:
+    return canonical_symbol(F.col("exchange"), F.col("symbol"))
 
-    Missing values are no problem here: silver keeps and counts them. A problem
-    is a value that is there but cannot be used.
-    """
-    unmatched = F.col("symbol").isNotNull() & _symbol().isNull()
-    malformed = {f: F.col(f).isNotNull() & price(F.col(f)).isNull() for f in C.PRICE_FIELDS}
-    named = {"unmatched_symbol": unmatched} | {f"malformed_{f}": test for f, test in malformed.items()}
-    return F.array_compact(F.array(*[F.when(test, name) for name, test in named.items()]))
 
+def problems() -> dict[str, Column]:
+    """Tests, by name, for a bronze value that is there but cannot be used.
 
-def _symbol() -> Column:
-    return canonical_symbol(F.col("exchange"), F.col("symbol"))
+    Missing values are no problem here: silver keeps and counts them.
+    """
+    unmatched = F.col("symbol").isNotNull() & _symbol().isNull()
+    malformed = {
+        f"malformed_{f}": F.col(f).isNotNull() & price(F.col(f)).isNull() for f in C.PRICE_FIELDS
+    }
+    return {"unmatched_symbol": unmatched} | malformed
 
 
-def rejected(bronze: DataFrame) -> DataFrame:
-    """Tagged bronze rows that cannot be typed, unchanged, with their problems."""
-    return bronze.withColumn("problems", problems()).where(F.size("problems") > 0)
+def has_problem() -> Column:
+    return reduce(operator.or_, problems().values())
 
 
-def typed(bronze: DataFrame) -> DataFrame:
-    """Tagged bronze rows in silver's types, and `problems`. What has a problem is NULL."""
+def _values() -> list[Column]:
+    """Silver columns of a tagged bronze row; what cannot be used is NULL."""
     values = {f: price(F.col(f)) for f in C.PRICE_FIELDS} | {
         "symbol": _symbol(),
         "open_time": seconds_from_millis(F.col("open_time_ms")),
         "close_time": seconds_from_millis(F.col("close_time_ms")),
     }
-    columns = [values.get(c, F.col(c)).alias(c) for c in C.SILVER_COLUMNS]
-    return bronze.select(*columns, problems().alias("problems"))
+    return [values.get(c, F.col(c)).alias(c) for c in C.SILVER_COLUMNS]
+
+
+def judged(bronze: DataFrame) -> DataFrame:
+    """Every tagged bronze row in silver's types, with a flag per problem and `rejected`."""
+    flags = [test.alias(name) for name, test in problems().items()]
+    return bronze.select(*_values(), *flags, has_problem().alias("rejected"))
 
 
 def usable(bronze: DataFrame) -> DataFrame:
     """Tagged bronze rows that can be typed, as silver rows."""
-    return typed(bronze).where(F.size("problems") == 0).drop("problems")
+    return bronze.where(~has_problem()).select(*_values())
+
+
+def rejected(bronze: DataFrame) -> DataFrame:
+    """Tagged bronze rows that cannot be typed, unchanged, with the names of their problems."""
+    named = F.array_compact(F.array(*[F.when(test, name) for name, test in problems().items()]))
+    return bronze.where(has_problem()).withColumn("problems", named)
 
 
 def to_silver(bronze: DataFrame | dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:

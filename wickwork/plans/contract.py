@@ -127,12 +127,12 @@ def query(build: Callable[[Case], DataFrame]) -> Callable[[Case], DataFrame]:
 
 @query
 def bronze_parse_binance(case: Case) -> DataFrame:
-    return feed.to_bronze(case.raw, feed.BINANCE, F.col("landed_at"))
+    return feed.to_bronze(case.raw, feed.BINANCE, "landed_at")
 
 
 @query
 def bronze_parse_poloniex(case: Case) -> DataFrame:
-    return feed.to_bronze(case.raw, feed.POLONIEX, F.col("landed_at"))
+    return feed.to_bronze(case.raw, feed.POLONIEX, "landed_at")
 
 
 @query
@@ -142,13 +142,13 @@ def bronze_wide_poloniex(case: Case) -> DataFrame:
 
 @query
 def bronze_day_slice(case: Case) -> DataFrame:
-    return feed.load_days(case.raw, feed.BINANCE, *SLICE, ingested_at=F.col("landed_at"))
+    return feed.load_days(case.raw, feed.BINANCE, *SLICE, ingested_at="landed_at")
 
 
 @query
 def bronze_symbol_subset(case: Case) -> DataFrame:
     return feed.load_days(
-        case.raw, feed.POLONIEX, *SLICE, symbols=["BTC_USDT", "ETH_USDT"], ingested_at=F.col("landed_at")
+        case.raw, feed.POLONIEX, *SLICE, symbols=["BTC_USDT", "ETH_USDT"], ingested_at="landed_at"
     )
 
 
@@ -204,7 +204,7 @@ def backfill_equals_daily_loads(case: Case) -> DataFrame:
     path = new_folder(case.spark, "history")
 
     def load(start: dt.date, end: dt.date, symbols: list[str] | None = None) -> DataFrame:
-        return feed.load_days(raw, feed.BINANCE, start, end, symbols, F.col("landed_at"))
+        return feed.load_days(raw, feed.BINANCE, start, end, symbols, "landed_at")
 
     tables.write_partitions(load(first, middle), path)
     tables.write_partitions(load(middle + dt.timedelta(days=1), last), path)
@@ -249,7 +249,7 @@ def _faulty(bronze: DataFrame) -> DataFrame:
 @query
 def silver_quality(case: Case) -> DataFrame:
     """All load checks over faulty bronze."""
-    return quality.quality_report(silver.typed(_faulty(case.bronze)), quality.load_rules())
+    return quality.quality_report(silver.judged(_faulty(case.bronze)), quality.load_rules())
 
 
 @query
@@ -367,8 +367,8 @@ def warehouse_refresh(case: Case) -> DataFrame:
     root = new_folder(case.spark, "warehouse")
     raw = staged(case.raw, "raw")
     first, last = case.range_of_days()
-    refresh_warehouse(case.spark, raw, root, first, last, ingested_at=F.col("landed_at"))
-    refresh_warehouse(case.spark, raw, root, last, last, ingested_at=F.col("landed_at"))
+    refresh_warehouse(case.spark, raw, root, first, last, ingested_at="landed_at")
+    refresh_warehouse(case.spark, raw, root, last, last, ingested_at="landed_at")
     return case.spark.read.parquet(Warehouse(root).path("fact_market_daily"))
 
 

@@ -37,7 +37,7 @@ class Warehouse:
 
 def load_bronze(
     raw: DataFrame, house: Warehouse, start: dt.date, end: dt.date,
-    symbols: dict[str, list[str]] | None = None, ingested_at: Column | None = None,
+    symbols: dict[str, list[str]] | None = None, ingested_at: Column | str | None = None,
 ) -> dict[str, int]:
     """Land the days in each exchange's bronze table; a rerun replaces them."""
     rows = {}
@@ -59,7 +59,7 @@ def refresh_silver(spark: SparkSession, house: Warehouse, start: dt.date, end: d
         exchange: _days(spark.read.parquet(house.bronze(exchange)), "rate_date", start, end)
         for exchange in LAYOUTS
     })
-    checks = quality.quality_report(silver.typed(bronze), quality.load_rules())
+    checks = quality.quality_report(silver.judged(bronze), quality.load_rules())
     counts = {line.rule: line.violations for line in quality.enforce(checks)}
     log.info("silver %s..%s: %s", start, end, counts)
 
@@ -147,7 +147,7 @@ def refresh_facts(spark: SparkSession, house: Warehouse, start: dt.date, end: dt
 
 def refresh_warehouse(
     spark: SparkSession, raw: DataFrame, root: str, start: dt.date, end: dt.date,
-    symbols: dict[str, list[str]] | None = None, ingested_at: Column | None = None,
+    symbols: dict[str, list[str]] | None = None, ingested_at: Column | str | None = None,
 ) -> dict[str, int]:
     """Load the days and bring every table up to date; returns rows written per table.
 

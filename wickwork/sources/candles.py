@@ -70,9 +70,12 @@ def unreadable_payloads(raw: DataFrame) -> DataFrame:
     return raw.where(F.from_json("payload", _PAYLOAD_TYPE).isNull())
 
 
-def stamp(candles: DataFrame, ingested_at: Column | None = None) -> DataFrame:
-    """Add the load time and the UTC day that the table is partitioned by."""
-    loaded = F.current_timestamp() if ingested_at is None else ingested_at
+def stamp(candles: DataFrame, ingested_at: Column | str | None = None) -> DataFrame:
+    """Add the load time, now unless given, and the UTC day that partitions the table."""
+    if ingested_at is None:
+        loaded = F.current_timestamp()
+    else:
+        loaded = F.col(ingested_at) if isinstance(ingested_at, str) else ingested_at
     return candles.withColumns(
         {"ingested_at": loaded, "rate_date": date_from_millis(F.col("open_time_ms"))}
     )
@@ -83,7 +86,7 @@ def align(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*columns)
 
 
-def to_bronze(raw: DataFrame, layout: Layout, ingested_at: Column | None = None) -> DataFrame:
+def to_bronze(raw: DataFrame, layout: Layout, ingested_at: Column | str | None = None) -> DataFrame:
     """Parse, stamp and align one exchange's payloads."""
     return align(stamp(parse_candles(raw, layout), ingested_at), C.BRONZE_COLUMNS)
 
@@ -138,7 +141,7 @@ def load_days(
     start: dt.date | None = None,
     end: dt.date | None = None,
     symbols: list[str] | None = None,
-    ingested_at: Column | None = None,
+    ingested_at: Column | str | None = None,
 ) -> DataFrame:
     """Bronze rows of a day or a range: daily load, rerun and history are one call."""
     bronze = to_bronze(raw, layout, ingested_at)

@@ -27,17 +27,16 @@ def _trade_order(ts: Column, event_id: Column) -> Column:
 
 
 def candles_from_events(events: DataFrame) -> DataFrame:
-    """Hourly candles with an exchange column, prices as text. One scan, one shuffle."""
-    asset = F.create_map(*[F.lit(x) for pair in _ASSETS.items() for x in pair])[F.col("event_type")]
+    """Hourly candles with an exchange column, prices as text. One scan, one shuffle.
+
+    Rows are grouped by what the table holds; names are given to the few candles
+    that come out, not to every event.
+    """
     order = _trade_order(F.col("ts"), F.col("event_id"))
-    hour_ms = F.unix_millis(F.date_trunc("hour", F.col("ts").cast("timestamp")))
+    hour = F.date_trunc("hour", F.col("ts").cast("timestamp"))
     hourly = (
         events.where(F.col("event_type").isin(list(_ASSETS)))
-        .groupBy(
-            F.when(F.col("user_id") % 2 == 0, C.BINANCE).otherwise(C.POLONIEX).alias("exchange"),
-            asset.alias("asset"),
-            hour_ms.alias("open_time_ms"),
-        )
+        .groupBy((F.col("user_id") % 2 == 0).alias("on_binance"), "event_type", hour.alias("hour"))
         .agg(
             F.min_by("value", order).alias("open"),
             F.max("value").alias("high"),
@@ -47,13 +46,15 @@ def candles_from_events(events: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("trade_count"),
         )
     )
-    on_binance = F.col("exchange") == C.BINANCE
+    asset = F.create_map(*[F.lit(x) for pair in _ASSETS.items() for x in pair])[F.col("event_type")]
+    on_binance = F.col("on_binance")
+    opened = F.unix_millis("hour")
     return hourly.select(
-        "exchange",
-        F.concat(F.col("asset"), F.when(on_binance, "USDT").otherwise("_USDT")).alias("symbol"),
+        F.when(on_binance, C.BINANCE).otherwise(C.POLONIEX).alias("exchange"),
+        F.concat(asset, F.when(on_binance, "USDT").otherwise("_USDT")).alias("symbol"),
         F.when(on_binance, C.BINANCE_INTERVAL).otherwise(C.POLONIEX_INTERVAL).alias("interval"),
-        "open_time_ms",
-        (F.col("open_time_ms") + (_HOUR_MS - 1)).alias("close_time_ms"),
+        opened.alias("open_time_ms"),
+        (opened + (_HOUR_MS - 1)).alias("close_time_ms"),
         *[F.col(f).cast(C.PRICE_TYPE).cast("string").alias(f) for f in C.PRICE_FIELDS],
         "trade_count",
     )
