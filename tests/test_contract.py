@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as contract
 from tests.compare import oracle_connection, oracle_result, spark_result, type_mismatches
+from tests.helpers import executed
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -29,6 +30,11 @@ def test_matches_oracle(spark, duck, name):
     assert rows, "a query without rows proves nothing"
     assert rows == wanted
     assert not type_mismatches(df, duck, sql)
+    plan = executed(df)
+    for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEval", "MapInPandas"):
+        assert banned not in plan
+    if name != "silver_dedupe_latest":  # its input is the events twice
+        assert plan.split("Initial Plan")[0].count("events.parquet") <= 1
 
 
 def test_entry(spark):

@@ -17,15 +17,33 @@ from wickwork.functions.calendar import calendar_parts, hour_period, is_business
 from wickwork.operators.numbering import number_names
 
 
-def series_profile(silver: DataFrame) -> DataFrame:
-    """Rows, days and hours covered by each exchange and symbol."""
-    return silver.groupBy("exchange", "symbol").agg(
+def series_days(silver: DataFrame) -> DataFrame:
+    """Rows and times of each exchange, symbol and day: 24 times fewer rows than silver."""
+    return silver.groupBy("exchange", "symbol", "rate_date").agg(
         F.count(F.lit(1)).alias("row_count"),
+        F.min("open_time").alias("min_open_time"),
+        F.max("close_time").alias("max_close_time"),
+    )
+
+
+def profile_of_days(days: DataFrame) -> DataFrame:
+    """Rows, days and hours covered by each exchange and symbol."""
+    return days.groupBy("exchange", "symbol").agg(
+        F.sum("row_count").alias("row_count"),
         F.min("rate_date").alias("min_date"),
         F.max("rate_date").alias("max_date"),
-        F.date_trunc("hour", F.min("open_time")).alias("min_hour"),
-        F.date_trunc("hour", F.max("close_time")).alias("max_hour"),
+        F.date_trunc("hour", F.min("min_open_time")).alias("min_hour"),
+        F.date_trunc("hour", F.max("max_close_time")).alias("max_hour"),
+    )
+
+
+def series_profile(silver: DataFrame) -> DataFrame:
+    """The profile straight from silver, in one aggregate."""
+    single = silver.select(
+        "exchange", "symbol", "rate_date", F.lit(1).cast("bigint").alias("row_count"),
+        F.col("open_time").alias("min_open_time"), F.col("close_time").alias("max_close_time"),
     )
+    return profile_of_days(single)
 
 
 def key_dim(profile: DataFrame, source: str, key: str, name: str) -> DataFrame:

@@ -369,7 +369,7 @@ def warehouse_refresh(case: Case) -> DataFrame:
     first, last = case.range_of_days()
     refresh_warehouse(case.spark, raw, root, first, last, ingested_at="landed_at")
     refresh_warehouse(case.spark, raw, root, last, last, ingested_at="landed_at")
-    return case.spark.read.parquet(Warehouse(root).path("fact_market_daily"))
+    return Warehouse(case.spark, root).read("fact_market_daily")
 
 
 # Relations between tables -------------------------------------------------

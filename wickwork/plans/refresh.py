@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wickwork import schemas
 from wickwork.operators import dims, facts, quality, silver
 from wickwork.operators.latest import dedupe_latest
 from wickwork.session import pin_utc, staged
@@ -22,17 +23,39 @@ from wickwork.sources.candles import LAYOUTS, load_days, require_rows
 log = logging.getLogger(__name__)
 
 
+KEYED = ("dim_exchange", "dim_symbol")
+
+
 @dataclass(frozen=True)
 class Warehouse:
-    """Paths of the stored tables below one root."""
+    """The stored tables below one root."""
 
+    spark: SparkSession
     root: str
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
-    def bronze(self, exchange: str) -> str:
-        return self.path(f"bronze_{exchange}")
+    def find(self, table: str) -> DataFrame | None:
+        """The table, or None before its first write."""
+        name = table.removeprefix("fact_keys_")
+        schema = schemas.BRONZE if name.startswith("bronze_") else schemas.STORED.get(name)
+        return tables.read_table(self.spark, self.path(table), schema)
+
+    def read(self, table: str) -> DataFrame:
+        found = self.find(table)
+        if found is None:
+            raise LookupError(f"table {table} has not been written")
+        return found
+
+
+def _days(df: DataFrame, by: str, start: dt.date, end: dt.date) -> DataFrame:
+    """Rows of the days; on a stored table whole partitions are skipped."""
+    return df.where(F.col(by).between(F.lit(start), F.lit(end)))
+
+
+def _other_days(df: DataFrame, by: str, start: dt.date, end: dt.date) -> DataFrame:
+    return df.where(~F.col(by).between(F.lit(start), F.lit(end)))
 
 
 def load_bronze(
@@ -45,18 +68,19 @@ def load_bronze(
         wanted = (symbols or {}).get(exchange)
         days = load_days(raw, layout, start, end, wanted, ingested_at)
         require_rows(days, f"{exchange} {start}..{end}")
-        rows[exchange] = tables.write_partitions(days, house.bronze(exchange))
+        table = f"bronze_{exchange}"
+        rows[table] = tables.write_partitions(days, house.path(table))
     return rows
 
 
-def refresh_silver(spark: SparkSession, house: Warehouse, start: dt.date, end: dt.date) -> dict[str, int]:
+def refresh_silver(house: Warehouse, start: dt.date, end: dt.date) -> dict[str, int]:
     """Type and check the days, stop on a failed gate, then replace them in silver.
 
-    Two passes over bronze: all counts, then the write. Rows that cannot be typed
-    cost a third one, only when there are any.
+    Two passes over the days' bronze: all counts, then the write. Rows that cannot be
+    typed cost a third one, only when there are any.
     """
     bronze = silver.unify({
-        exchange: _days(spark.read.parquet(house.bronze(exchange)), "rate_date", start, end)
+        exchange: _days(house.read(f"bronze_{exchange}"), "rate_date", start, end)
         for exchange in LAYOUTS
     })
     checks = quality.quality_report(silver.judged(bronze), quality.load_rules())
@@ -66,54 +90,45 @@ def refresh_silver(spark: SparkSession, house: Warehouse, start: dt.date, end: d
     good, aside = silver.to_silver(bronze)
     latest = dedupe_latest(good, silver.SILVER_KEY)
     written = tables.write_partitions(latest, house.path("silver_hourly"))
-    _replace_rejects(aside, house.path("silver_rejected"), start, end, counts["rejected"])
+    _replace_rejects(house, aside, start, end, counts["rejected"])
     return {"silver_hourly": written, "silver_rejected": counts["rejected"]}
 
 
-def _days(df: DataFrame, by: str, start: dt.date, end: dt.date) -> DataFrame:
-    """Rows of the days; on a stored table whole partitions are skipped."""
-    return df.where(F.col(by).between(F.lit(start), F.lit(end)))
-
-
-def _other_days(df: DataFrame, by: str, start: dt.date, end: dt.date) -> DataFrame:
-    return df.where(~F.col(by).between(F.lit(start), F.lit(end)))
-
-
-def _replace_rejects(aside: DataFrame, path: str, start: dt.date, end: dt.date, rows: int) -> None:
+def _replace_rejects(house: Warehouse, aside: DataFrame, start: dt.date, end: dt.date, rows: int) -> None:
     """Rejected rows of the days replace earlier ones, also when none are left."""
-    stored = tables.read_table(aside.sparkSession, path)
+    stored = house.find("silver_rejected")
     if stored is None and not rows:
         return
     if stored is not None:
         aside = staged(aside.unionByName(_other_days(stored, "rate_date", start, end)), "rejected")
-    tables.write_table(aside, path)
+    tables.write_table(aside, house.path("silver_rejected"))
 
 
-def refresh_dims(spark: SparkSession, house: Warehouse) -> None:
-    """Rebuild the four dimensions from one pass over silver."""
-    profile = staged(dims.series_profile(spark.read.parquet(house.path("silver_hourly"))), "profile")
+def refresh_dims(house: Warehouse, start: dt.date, end: dt.date) -> None:
+    """Rebuild the four dimensions.
+
+    Only the given days of silver are read. The other days come from the stored
+    summary that has one row per series and day.
+    """
+    rows = _days(house.read("silver_hourly"), "rate_date", start, end)
+    tables.write_partitions(dims.series_days(rows), house.path("series_days"))
+    profile = staged(dims.profile_of_days(house.read("series_days")), "profile")
     tables.write_table(dims.exchange_dim(profile), house.path("dim_exchange"))
     tables.write_table(dims.symbol_dim(profile), house.path("dim_symbol"))
     tables.write_table(dims.date_dim(profile), house.path("dim_date"))
     tables.write_table(dims.datetime_dim(profile), house.path("dim_datetime"))
 
 
-KEYED = ("dim_exchange", "dim_symbol")
-
-
-def _facts_use_current_keys(spark: SparkSession, house: Warehouse) -> bool:
+def _facts_use_current_keys(house: Warehouse) -> bool:
     """Whether the stored facts were built with keys that still mean the same."""
     for name in KEYED:
-        used = tables.read_table(spark, house.path(f"fact_keys_{name}"))
-        if used is None:
-            return False
-        now = spark.read.parquet(house.path(name))
-        if not used.join(now, used.columns, "left_anti").isEmpty():
+        used = house.find(f"fact_keys_{name}")
+        if used is None or not used.join(house.read(name), used.columns, "left_anti").isEmpty():
             return False
     return True
 
 
-def refresh_facts(spark: SparkSession, house: Warehouse, start: dt.date, end: dt.date) -> dict[str, int]:
+def refresh_facts(house: Warehouse, start: dt.date, end: dt.date) -> dict[str, int]:
     """Hourly, then daily facts.
 
     While keys keep their meaning, only the given days are computed from silver and
@@ -121,27 +136,26 @@ def refresh_facts(spark: SparkSession, house: Warehouse, start: dt.date, end: dt
     and only the variations, at one row per series and day, are computed anew. The
     keys in use are recorded last, so a run that broke off is made good by the next.
     """
-    read = spark.read.parquet
-    hourly_path, daily_path = house.path("fact_market_hourly"), house.path("fact_market_daily")
-    stored = tables.read_table(spark, daily_path) if _facts_use_current_keys(spark, house) else None
+    stored = house.find("fact_market_daily") if _facts_use_current_keys(house) else None
+    exchanges, symbols, datetimes = (house.read(t) for t in (*KEYED, "dim_datetime"))
 
-    rows = read(house.path("silver_hourly"))
-    if stored is not None:
-        rows = _days(rows, "rate_date", start, end)
-    dim_tables = [read(house.path(t)) for t in (*KEYED, "dim_datetime")]
-    hourly = facts.hourly_fact(rows, *dim_tables).withColumn("date_id", F.to_date("datetime_id"))
-    if stored is None:
-        hourly_rows = tables.write_table(hourly, hourly_path, "date_id")
-    else:
-        hourly_rows = tables.write_partitions(hourly, hourly_path, "date_id")
-
-    daily = facts.daily_candles(_days(read(hourly_path), "date_id", start, end) if stored is not None else read(hourly_path))
+    def wanted(df: DataFrame, by: str) -> DataFrame:
+        return df if stored is None else _days(df, by, start, end)
+
+    rows = wanted(house.read("silver_hourly"), "rate_date")
+    hourly = facts.hourly_fact(rows, exchanges, symbols, datetimes)
+    by_day = hourly.withColumn("date_id", F.to_date("datetime_id"))
+    write = tables.write_table if stored is None else tables.write_partitions
+    hourly_rows = write(by_day, house.path("fact_market_hourly"), "date_id")
+
+    daily = facts.daily_candles(wanted(house.read("fact_market_hourly"), "date_id"))
     if stored is not None:
-        others = _other_days(stored, "date_id", start, end).select(*daily.columns)
-        daily = daily.unionByName(others)
-    daily_rows = tables.write_table(staged(facts.with_variations(daily), "daily"), daily_path)
-    for name in KEYED:
-        tables.write_table(read(house.path(name)), house.path(f"fact_keys_{name}"))
+        others = _other_days(stored, "date_id", start, end)
+        daily = daily.unionByName(others.select(*daily.columns))
+    complete = staged(facts.with_variations(daily), "daily")
+    daily_rows = tables.write_table(complete, house.path("fact_market_daily"))
+    for name, dim in zip(KEYED, (exchanges, symbols)):
+        tables.write_table(dim, house.path(f"fact_keys_{name}"))
     return {"fact_market_hourly": hourly_rows, "fact_market_daily": daily_rows}
 
 
@@ -153,10 +167,8 @@ def refresh_warehouse(
 
     Safe to repeat: each stage replaces whole days or whole tables.
     """
-    pin_utc(spark)
-    house = Warehouse(root)
-    bronze = load_bronze(raw, house, start, end, symbols, ingested_at)
-    written = {f"bronze_{exchange}": rows for exchange, rows in bronze.items()}
-    written |= refresh_silver(spark, house, start, end)
-    refresh_dims(spark, house)
-    return written | refresh_facts(spark, house, start, end)
+    house = Warehouse(pin_utc(spark), root)
+    written = load_bronze(raw, house, start, end, symbols, ingested_at)
+    written |= refresh_silver(house, start, end)
+    refresh_dims(house, start, end)
+    return written | refresh_facts(house, start, end)

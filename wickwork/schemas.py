@@ -45,3 +45,24 @@ DAILY = _table(
      "close_time": _TIME, "ingested_at": _TIME},
     _PRICE,
 )
+
+HOURLY_STORED = T.StructType([*HOURLY.fields, T.StructField("date_id", _DAY)])
+
+SERIES_DAYS = _table(
+    ["exchange", "symbol", "row_count", "min_open_time", "max_close_time", "rate_date"],
+    {"row_count": _LONG, "min_open_time": _TIME, "max_close_time": _TIME, "rate_date": _DAY},
+    _TEXT,
+)
+
+EXCHANGES = _table(["exchange_id", "exchange_name"], {"exchange_id": _INT}, _TEXT)
+SYMBOLS = _table(["symbol_id", "symbol_name"], {"symbol_id": _INT}, _TEXT)
+
+# Stored tables by name. A given schema saves reading one from the files.
+STORED = {
+    "silver_hourly": SILVER,
+    "series_days": SERIES_DAYS,
+    "dim_exchange": EXCHANGES,
+    "dim_symbol": SYMBOLS,
+    "fact_market_hourly": HOURLY_STORED,
+    "fact_market_daily": DAILY,
+}

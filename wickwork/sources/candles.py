@@ -143,6 +143,14 @@ def load_days(
     symbols: list[str] | None = None,
     ingested_at: Column | str | None = None,
 ) -> DataFrame:
-    """Bronze rows of a day or a range: daily load, rerun and history are one call."""
-    bronze = to_bronze(raw, layout, ingested_at)
+    """Bronze rows of a day or a range: daily load, rerun and history are one call.
+
+    A payload cannot hold a candle that opens after it landed, so older payloads are
+    skipped in the scan, before any JSON is parsed.
+    """
+    start = start or previous_day()
+    midnight = F.lit(dt.datetime.combine(start, dt.time(), dt.UTC))
+    landed = F.col("landed_at")
+    recent = raw.where(landed.isNull() | (landed >= midnight))
+    bronze = to_bronze(recent, layout, ingested_at)
     return day_slice(bronze, start, end, symbols or layout.symbols)

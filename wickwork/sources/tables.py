@@ -8,6 +8,7 @@ import logging
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wickwork.operators.latest import dedupe_latest
 from wickwork.session import staged
@@ -21,10 +22,11 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
     """Scan of a stored table; None, with a warning, when it does not exist yet."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
     try:
-        return spark.read.parquet(path)
+        return reader.parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -54,17 +56,16 @@ def write_partitions(df: DataFrame, path: str, by: str = "rate_date") -> int:
 def merge_days(df: DataFrame, path: str, keys: list[str], by: str = "rate_date") -> int:
     """Add late rows to days that are already stored; the later load of a key wins.
 
-    Replacing a day with a part of it would drop the rest of the day. The merged
-    days are staged first, so the table is never read while it is replaced.
+    Replacing a day with a part of it would drop the rest of the day, so the stored
+    rows of those days, and of no others, are read and written again. The merged days
+    are staged first, so the table is never read while it is replaced.
     """
     spark = df.sparkSession
     stored = read_table(spark, path)
     if stored is None:
         return write_partitions(dedupe_latest(df, keys), path, by)
-    first, last = df.agg(F.min(by), F.max(by)).first()
-    days = df.select(by).distinct()
-    touched = stored.where(F.col(by).between(first, last)).join(days, by, "left_semi")
-    merged = dedupe_latest(touched.unionByName(df), keys)
+    days = [row[by] for row in df.select(by).distinct().collect()]  # no more than the calendar has
+    merged = dedupe_latest(stored.where(F.col(by).isin(days)).unionByName(df), keys)
     return write_partitions(staged(merged, "merged-days"), path, by)
 
 
