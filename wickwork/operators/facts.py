@@ -19,12 +19,14 @@ def hourly_fact(
     """Silver rows with the keys of their dimensions, and the change within the hour.
 
     Rows without a match in a dimension are left out; `orphans` reports them.
-    No join is hinted. Built from a staged profile or read from tables, the
-    dimensions have a known size: small ones are broadcast, a large one is joined
-    by sort and merge, where AQE splits the rows of a hot key.
+    Exchanges are as many as there are configured feeds, so they are broadcast; a
+    shuffle on so few values would put all rows into a handful of tasks. The other
+    joins are not hinted. Staged or read from tables, those dimensions have a known
+    size: Spark broadcasts a small one and joins a large one by sort and merge, where
+    AQE splits the rows of a hot key.
     """
     return (
-        silver.join(exchanges, silver["exchange"] == exchanges["exchange_name"])
+        silver.join(F.broadcast(exchanges), silver["exchange"] == exchanges["exchange_name"])
         .join(symbols, silver["symbol"] == symbols["symbol_name"])
         .join(datetimes.select("datetime_id"), silver["open_time"] == datetimes["datetime_id"])
         .withColumn("variation_1h_pct", pct_change(F.col("close"), F.col("open")))

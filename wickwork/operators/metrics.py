@@ -22,8 +22,8 @@ def in_period(daily: DataFrame, start: dt.date | None = None, end: dt.date | Non
 
 
 def named(df: DataFrame, exchanges: DataFrame, symbols: DataFrame) -> DataFrame:
-    """Add exchange and symbol names."""
-    return df.join(exchanges, "exchange_id").join(symbols, "symbol_id")
+    """Add exchange and symbol names. Exchanges are as many as there are configured feeds."""
+    return df.join(F.broadcast(exchanges), "exchange_id").join(symbols, "symbol_id")
 
 
 def current_price(daily: DataFrame) -> DataFrame:

@@ -39,35 +39,31 @@ def problems() -> dict[str, Column]:
     return {"unmatched_symbol": unmatched} | malformed
 
 
-def has_problem() -> Column:
-    return reduce(operator.or_, problems().values())
-
+def judged(bronze: DataFrame) -> DataFrame:
+    """Every tagged bronze row in silver's types, with a flag per problem and `rejected`.
 
-def _values() -> list[Column]:
-    """Silver columns of a tagged bronze row; what cannot be used is NULL."""
+    What cannot be used is NULL.
+    """
     values = {f: price(F.col(f)) for f in C.PRICE_FIELDS} | {
         "symbol": _symbol(),
         "open_time": seconds_from_millis(F.col("open_time_ms")),
         "close_time": seconds_from_millis(F.col("close_time_ms")),
     }
-    return [values.get(c, F.col(c)).alias(c) for c in C.SILVER_COLUMNS]
-
-
-def judged(bronze: DataFrame) -> DataFrame:
-    """Every tagged bronze row in silver's types, with a flag per problem and `rejected`."""
-    flags = [test.alias(name) for name, test in problems().items()]
-    return bronze.select(*_values(), *flags, has_problem().alias("rejected"))
+    columns = [values.get(c, F.col(c)).alias(c) for c in C.SILVER_COLUMNS]
+    tests = problems()
+    flagged = bronze.select(*columns, *[test.alias(name) for name, test in tests.items()])
+    return flagged.withColumn("rejected", reduce(operator.or_, map(F.col, tests)))
 
 
 def usable(bronze: DataFrame) -> DataFrame:
     """Tagged bronze rows that can be typed, as silver rows."""
-    return bronze.where(~has_problem()).select(*_values())
+    return judged(bronze).where(~F.col("rejected")).select(*C.SILVER_COLUMNS)
 
 
 def rejected(bronze: DataFrame) -> DataFrame:
     """Tagged bronze rows that cannot be typed, unchanged, with the names of their problems."""
     named = F.array_compact(F.array(*[F.when(test, name) for name, test in problems().items()]))
-    return bronze.where(has_problem()).withColumn("problems", named)
+    return bronze.withColumn("problems", named).where(F.size("problems") > 0)
 
 
 def to_silver(bronze: DataFrame | dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:

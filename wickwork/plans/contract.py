@@ -1,7 +1,9 @@
 """Queries of the driver contract, each over the whole `events` table.
 
 The given tables hold no candles, so every query starts from `candles_from_events`.
-A query stages silver once where it needs it more than once.
+A query stages silver once where it needs it more than once. It also stages the
+dimensions it joins, but for the few exchanges: a scan has a known size, so Spark
+broadcasts a dimension only after checking it.
 """
 
 from __future__ import annotations
@@ -87,7 +89,7 @@ class Case:
 
     @cached_property
     def exchanges(self) -> DataFrame:
-        return staged(dims.exchange_dim(self.profile), "exchanges")
+        return dims.exchange_dim(self.profile)
 
     @cached_property
     def symbols(self) -> DataFrame:
@@ -95,11 +97,11 @@ class Case:
 
     @cached_property
     def dates(self) -> DataFrame:
-        return dims.date_dim(self.profile)
+        return staged(dims.date_dim(self.profile), "dates")
 
     @cached_property
     def datetimes(self) -> DataFrame:
-        return dims.datetime_dim(self.profile)
+        return staged(dims.datetime_dim(self.profile), "datetimes")
 
     @cached_property
     def hourly(self) -> DataFrame:

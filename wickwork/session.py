@@ -16,6 +16,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Recording the Python line of every column costs more than building small plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -33,10 +33,12 @@ def candles_from_events(events: DataFrame) -> DataFrame:
     that come out, not to every event.
     """
     order = _trade_order(F.col("ts"), F.col("event_id"))
-    hour = F.date_trunc("hour", F.col("ts").cast("timestamp"))
+    # UTC hours by arithmetic: cheaper per event than calendar functions.
+    millis = F.unix_millis(F.col("ts").cast("timestamp"))
+    opened = millis - F.pmod(millis, F.lit(_HOUR_MS))
     hourly = (
         events.where(F.col("event_type").isin(list(_ASSETS)))
-        .groupBy((F.col("user_id") % 2 == 0).alias("on_binance"), "event_type", hour.alias("hour"))
+        .groupBy((F.col("user_id") % 2 == 0).alias("on_binance"), "event_type", opened.alias("open_time_ms"))
         .agg(
             F.min_by("value", order).alias("open"),
             F.max("value").alias("high"),
@@ -48,13 +50,12 @@ def candles_from_events(events: DataFrame) -> DataFrame:
     )
     asset = F.create_map(*[F.lit(x) for pair in _ASSETS.items() for x in pair])[F.col("event_type")]
     on_binance = F.col("on_binance")
-    opened = F.unix_millis("hour")
     return hourly.select(
         F.when(on_binance, C.BINANCE).otherwise(C.POLONIEX).alias("exchange"),
         F.concat(asset, F.when(on_binance, "USDT").otherwise("_USDT")).alias("symbol"),
         F.when(on_binance, C.BINANCE_INTERVAL).otherwise(C.POLONIEX_INTERVAL).alias("interval"),
-        opened.alias("open_time_ms"),
-        (opened + (_HOUR_MS - 1)).alias("close_time_ms"),
+        "open_time_ms",
+        (F.col("open_time_ms") + (_HOUR_MS - 1)).alias("close_time_ms"),
         *[F.col(f).cast(C.PRICE_TYPE).cast("string").alias(f) for f in C.PRICE_FIELDS],
         "trade_count",
     )
