@@ -26,6 +26,11 @@ def test_candles_hash_and_prune(case):
     assert "In(event_type" in plan
 
 
+def test_symbols_are_tested_per_candle_and_not_per_event(case):
+    above, below = executed(case.silver_rows).split("HashAggregate", 1)
+    assert "RLIKE" in above and "RLIKE" not in below
+
+
 def test_payload_parsing_does_not_shuffle(case):
     from wickwork.sources import candles
 

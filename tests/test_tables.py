@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.helpers import bronze, bronze_row, rows
 from wickwork import session
@@ -83,6 +84,26 @@ def test_a_key_with_very_many_copies(spark):
     assert dedupe_latest(copies, KEYS).count() == 3
 
 
+def test_a_day_with_most_rows_is_split_over_several_files(spark, tmp_path):
+    ids = spark.range(300_000, numPartitions=8)
+    hot = F.when(F.col("id") % 3 > 0, F.lit("2024-01-01")).otherwise(F.lit("2024-01-02")).cast("date")
+    frame = ids.select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"), hot.alias("rate_date"))
+    limit = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "2m")
+    try:
+        assert tables.write_partitions(frame, str(tmp_path / "t")) == 300_000
+    finally:
+        spark.conf.set(limit, before)
+    assert len(list((tmp_path / "t" / "rate_date=2024-01-01").glob("*.parquet"))) > 2
+
+
+def test_empty_write_counts_no_rows(spark, tmp_path):
+    nothing = day(spark, 1).where("trade_count < 0")
+    assert tables.write_table(nothing, str(tmp_path / "a")) == 0
+    assert tables.write_partitions(nothing, str(tmp_path / "b")) == 0
+
+
 def test_preview(spark):
     assert tables.preview(spark.range(500)).count() == 100
 

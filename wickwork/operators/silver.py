@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import operator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -52,7 +51,10 @@ def judged(bronze: DataFrame) -> DataFrame:
     columns = [values.get(c, F.col(c)).alias(c) for c in C.SILVER_COLUMNS]
     tests = problems()
     flagged = bronze.select(*columns, *[test.alias(name) for name, test in tests.items()])
-    return flagged.withColumn("rejected", reduce(operator.or_, map(F.col, tests)))
+    # One CASE and not an OR: Spark would split the OR and test symbols before an
+    # aggregate below, once per input row in place of once per candle.
+    rejected = reduce(lambda chain, name: chain.when(F.col(name), True), tests, F)
+    return flagged.withColumn("rejected", rejected.otherwise(False))
 
 
 def usable(bronze: DataFrame) -> DataFrame:

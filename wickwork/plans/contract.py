@@ -2,8 +2,8 @@
 
 The given tables hold no candles, so every query starts from `candles_from_events`.
 A query stages silver once where it needs it more than once. It also stages the
-dimensions it joins, but for the few exchanges: a scan has a known size, so Spark
-broadcasts a dimension only after checking it.
+dimensions it joins: a scan has a known size, so Spark broadcasts a dimension only
+after checking it.
 """
 
 from __future__ import annotations
@@ -89,7 +89,7 @@ class Case:
 
     @cached_property
     def exchanges(self) -> DataFrame:
-        return dims.exchange_dim(self.profile)
+        return staged(dims.exchange_dim(self.profile), "exchanges")
 
     @cached_property
     def symbols(self) -> DataFrame:
@@ -226,12 +226,12 @@ def silver_hourly(case: Case) -> DataFrame:
 @query
 def silver_dedupe_latest(case: Case) -> DataFrame:
     """Binance loaded again a day later with one trade more; the later load wins."""
-    again = case.bronze.where(F.col("exchange") == C.BINANCE).withColumns({
+    once = staged(case.bronze, "bronze")
+    again = once.where(F.col("exchange") == C.BINANCE).withColumns({
         "trade_count": F.col("trade_count") + 1,
         "ingested_at": F.col("ingested_at") + F.expr("interval 1 day"),
     })
-    both = case.bronze.unionByName(again)
-    return dedupe_latest(silver.usable(both), silver.SILVER_KEY)
+    return dedupe_latest(silver.usable(once.unionByName(again)), silver.SILVER_KEY)
 
 
 def _faulty(bronze: DataFrame) -> DataFrame:
@@ -425,8 +425,7 @@ def accumulated_return(case: Case) -> DataFrame:
 
 @query
 def index_base_100(case: Case) -> DataFrame:
-    daily = staged(metrics.in_period(case.daily, *PERIOD), "daily")
-    return _named(case, metrics.index_base_100(daily))
+    return _named(case, metrics.index_base_100(metrics.in_period(case.daily, *PERIOD)))
 
 
 @query
@@ -436,8 +435,7 @@ def volume_traded(case: Case) -> DataFrame:
 
 @query
 def rank_by_return(case: Case) -> DataFrame:
-    daily = staged(metrics.in_period(case.daily, *PERIOD), "daily")
-    return _named(case, metrics.rank_by_return(daily)).select(
+    return _named(case, metrics.rank_by_return(metrics.in_period(case.daily, *PERIOD))).select(
         "return_rank", "exchange_name", "symbol_name", "return_pct"
     )
 

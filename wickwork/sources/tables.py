@@ -17,7 +17,7 @@ log = logging.getLogger(__name__)
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """Count rows during the write instead of in a pass of its own."""
+    """Count rows, for the log, during the write instead of in a pass of its own."""
     seen = Observation()
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
