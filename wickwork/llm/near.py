@@ -14,9 +14,11 @@ that is linked with nothing. Sets with a similarity (intersection over union) of
 3. Star round: in each band bucket all members are compared with its smallest id, never
    with one another. Pairs that size or sketch rule out are dropped; all others are
    checked on their full sets. Links make components.
-4. Rest round: buckets whose members are still in several components compare members of
-   different components, again size and sketch first, then full sets. A large group
-   of copies is one component by now, so it costs nothing here.
+4. Rest round: where the members of a bucket are still in several components, members of
+   different components are compared in one task: by odd sketches over their whole sets,
+   whose XOR count never exceeds the number of differing shingles, then on the full sets,
+   nearest first, until no two components can be linked. Only links leave the task. A large
+   group of copies is mostly one component by now, which costs nothing here.
 5. Components of all links.
 
 Null ids are kept and linked with nothing. Rows that share an id are linked by it.
@@ -40,6 +42,8 @@ BANDS, ROWS = 20, 4
 SKETCH_LONGS = 8
 #: XOR count above which a pair is not at `percent`: at 0.8 the count is 30 on average, with a deviation of 7.
 MAX_XOR = 66
+#: Bits of the odd sketch over whole sets, and most members of a bucket that meet in one task.
+WIDE_BITS, CHUNK = 2048, 2048
 _TABLE = tokens.byte_table(tokens.BLANK_PARTED, lower=True)
 _RANDOM = np.random.default_rng(4)
 _A = _RANDOM.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
@@ -140,6 +144,62 @@ def _possible(left: str, right: str, percent: int):
     return (100 * F.least(a("n"), b("n")) >= percent * F.greatest(a("n"), b("n"))) & (apart <= MAX_XOR)
 
 
+def _between(percent: int):
+    """Links between components of one group of members, each pair of components tied once."""
+
+    def of(rows):
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows["shingles"].combine_chunks()]
+        ids, root, chunk = (np.asarray(rows[c]) for c in ("id", "root", "chunk"))
+        cross = chunk.min() != chunk.max()
+        _, root, size = np.unique(root, return_inverse=True, return_counts=True)
+        order = np.argsort(size[root], kind="stable")  # the largest component last: it needs no look at itself
+        ids, root, chunk = ids[order], root[order], chunk[order]
+        sets = [sets[i] for i in order]
+        n = np.array([len(x) for x in sets])
+        bits = np.zeros((len(sets), WIDE_BITS), np.uint8)
+        for i, own in enumerate(sets):
+            bits[i] = np.bincount((own % np.uint64(WIDE_BITS)).astype(np.int64), minlength=WIDE_BITS) & 1
+        wide = np.packbits(bits, axis=1).view(np.uint64)
+        found = []
+        for i in range(len(sets) - 1):
+            fit = root[i + 1:] != root[i]
+            if cross:
+                fit &= chunk[i + 1:] != chunk[i]
+            later = np.flatnonzero(fit) + i + 1
+            if not len(later):
+                continue
+            apart = np.bitwise_count(wide[later] ^ wide[i]).sum(axis=1)
+            # Sets differ in at least as many shingles as sketches do in bits: nothing is lost here.
+            possible = apart * (100 + percent) <= (100 - percent) * (n[later] + n[i])
+            for j in later[possible][np.argsort(apart[possible], kind="stable")].tolist():
+                if root[i] != root[j]:
+                    both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                    if 100 * both >= percent * (n[i] + n[j] - both):
+                        found.append((ids[i], ids[j]))
+                        root[root == root[j]] = root[i]
+        return pa.table({"a": pa.array([min(x) for x in found], pa.int64()), "b": pa.array([max(x) for x in found], pa.int64())})
+
+    return of
+
+
+def _rest(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components that meet in a bucket; `placed` is (id, band, root).
+
+    Buckets with the same members count once. A bucket of more than `CHUNK` members is cut
+    into chunks by a hash, and every two chunks meet in a task of their own.
+    """
+    buckets = placed.groupBy("band").agg(
+        F.min("root").alias("r"), F.max("root").alias("s"), F.count(F.lit(1)).alias("m"),
+        F.bit_xor(F.xxhash64("id")).alias("x"), F.sum(F.hash("id")).alias("y"),
+    ).where("r < s")
+    once = buckets.groupBy("m", "x", "y").agg(F.min("band").alias("band")).select("band", F.ceil(F.col("m") / CHUNK).alias("chunks"))
+    cut = placed.join(once, "band").withColumn("chunk", F.pmod(F.xxhash64("id", "band"), F.col("chunks")))
+    met = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))).select(
+        "band", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "id", "root", "chunk"
+    )
+    return met.join(sets, "id").groupBy("band", "lo", "hi").applyInArrow(_between(percent), "a long, b long").distinct()
+
+
 def near_duplicates(
     docs: DataFrame, id_: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT
 ) -> DataFrame:
@@ -173,15 +233,7 @@ def near_duplicates(
         member.join(joined.withColumnRenamed("node", "id"), "id", "left")
         .select("id", "band", F.coalesce("root", "id").alias("root"))
     )
-    open_ = placed.groupBy("band").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r < s").select("band")
-    rest = staged(placed.join(open_, "band").join(brief, "id").distinct(), "open-buckets")
-    between = (
-        rest.alias("x").join(rest.alias("y"), "band")
-        .where((F.col("x.root") < F.col("y.root")) & _possible("x", "y", percent))
-        .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
-        .join(star.select("a", "b"), ["a", "b"], "left_anti")
-    )
-    late = staged(_confirmed(between, sets, percent).distinct(), "late-links")
+    late = staged(_rest(placed, sets, percent), "late-links")
     # Rows of one id with different texts are one document: their classes hang together.
     same = proper.join(classes, ["n", "f", "g"]).where("id > rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
     twice = same.join(reps.select(F.col("id").alias("b")).distinct(), "b", "left_semi").select("a", "b")
