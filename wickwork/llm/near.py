@@ -223,7 +223,9 @@ def near_duplicates(
         star.join(brief.alias("x"), F.col("a") == F.col("x.id")).join(brief.alias("y"), F.col("b") == F.col("y.id"))
         .where(_possible("x", "y", percent)).select("a", "b")
     )
-    texts = docs.join(brief.select(F.col("id").alias("_id")).distinct(), F.col(id_).cast("long") == F.col("_id"), "left_semi")
+    # A merge join at every size: which ids are wanted grows with the input.
+    wanted = brief.select(F.col("id").alias("_id")).distinct().hint("merge")
+    texts = docs.select(id_, text).join(wanted, F.col(id_).cast("long") == F.col("_id"), "left_semi")
     # Rows that share an id can differ; a class has the fingerprint of its own set.
     sets = staged(_sets(texts, id_, text, width).dropDuplicates(["id", "shingles"]), "sets")
     links = staged(_confirmed(likely, sets, percent).distinct(), "links")
