@@ -48,11 +48,18 @@ def test_wide_row(both):
                          C.BRONZE_COLUMNS).columns == C.BRONZE_COLUMNS
 
 
-def test_unreadable_payload_stops_the_load(spark):
-    broken = raw(spark, ("binance", "BTCUSDT", '[["1704067200000", "1"'), ("binance", "BTCUSDT", BINANCE_DAY))
-    with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING"):
-        candles.parse_candles(broken, candles.BINANCE).collect()
-    assert candles.unreadable_payloads(broken).count() == 1
+def test_what_cannot_be_loaded_is_set_aside_with_its_reason(spark):
+    landed = raw(
+        spark, ("binance", "BTCUSDT", '[["1704067200000", "1"'), ("binance", "ETHUSDT", None), ("binance", "ADAUSDT", "[]"),
+        ("binance", "SOLUSDT", '[["x","1"]]'), ("binance", "BTCUSDT", BINANCE_DAY), ("poloniex", "BTC_USDT", None),
+    )
+    assert sorted(rows(candles.set_aside(landed, candles.BINANCE), "symbol", "reason")) == [
+        ("ADAUSDT", "empty_payload"), ("BTCUSDT", "unreadable_payload"), ("ETHUSDT", "missing_payload"),
+        ("SOLUSDT", "unreadable_open_time"),
+    ]
+    kept = candles.load_days(landed, candles.BINANCE, dt.date(2024, 1, 1))
+    assert rows(kept.select("symbol").distinct()) == [("BTCUSDT",)]
+    assert candles.unreadable_payloads(landed.where("payload IS NOT NULL")).count() == 1
 
 
 def test_short_or_malformed_candle_gives_nulls(spark):
@@ -61,9 +68,12 @@ def test_short_or_malformed_candle_gives_nulls(spark):
     assert got == [(1704067200000, "1", None, None), (None, "1", "5", None)]
 
 
-def test_stamp_defaults_to_now(both):
-    got = candles.stamp(candles.parse_candles(both, candles.BINANCE)).first()
+def test_stamp_defaults_to_the_landing_time_or_now(both):
+    parsed = candles.parse_candles(both, candles.BINANCE)
+    got = candles.stamp(parsed).first()
     assert got.rate_date == dt.date(2024, 1, 1)
+    assert got.ingested_at == got.landed_at
+    got = candles.stamp(parsed.drop("landed_at")).first()
     assert abs(got.ingested_at.timestamp() - dt.datetime.now().timestamp()) < 300
 
 
@@ -85,7 +95,7 @@ def test_day_slice_defaults_to_yesterday(spark):
 def test_symbols_are_limited(spark):
     lines = [("binance", s, BINANCE_DAY) for s in ("BTCUSDT", "DOGEUSDT")]
     day = dt.date(2024, 1, 1)
-    assert candles.load_days(raw(spark, *lines), candles.BINANCE, day).select("symbol").distinct().count() == 1
+    assert candles.load_days(raw(spark, *lines), candles.BINANCE, day).select("symbol").distinct().count() == 2
     chosen = candles.load_days(raw(spark, *lines), candles.BINANCE, day, symbols=["DOGEUSDT"])
     assert rows(chosen.select("symbol").distinct()) == [("DOGEUSDT",)]
 

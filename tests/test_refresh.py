@@ -116,7 +116,7 @@ def test_known_table_sizes(spark, tmp_path):
     written = refresh_warehouse(spark, raw, str(tmp_path), day(1), day(1) + dt.timedelta(days=200), ingested_at=LOADED)
     assert written == {
         "bronze_binance": 24_120, "bronze_poloniex": 24_120, "silver_hourly": 48_240,
-        "silver_rejected": 0, "fact_market_hourly": 48_240, "fact_market_daily": 2_010,
+        "bronze_rejected": 0, "silver_rejected": 0, "fact_market_hourly": 48_240, "fact_market_daily": 2_010,
     }
     read = spark.read.parquet
     sizes = {t: read(str(tmp_path / t)).count() for t in TABLES if t.startswith("dim")}
@@ -124,3 +124,43 @@ def test_known_table_sizes(spark, tmp_path):
     silver = read(str(tmp_path / "silver_hourly"))
     assert silver.select("rate_date").distinct().count() == 201
     assert {(f.name, f.dataType) for f in silver.schema} == {(f.name, f.dataType) for f in schemas.SILVER}
+
+
+def test_correction_with_fewer_trades_wins_and_a_bad_first_version_stops_nothing(spark, tmp_path):
+    raw = grid(spark, 1, ("BTC",)).cache()
+    early, late = F.lit(utc("2024-01-02")), F.lit(utc("2024-01-03"))
+    bad = raw.withColumn("payload", F.regexp_replace("payload", '"low":|"9[0-9]"', '"9999"')).withColumn("landed_at", early)
+    good = raw.withColumn("landed_at", late)
+    refresh_warehouse(spark, bad.unionByName(good), str(tmp_path / "both"), day(1), day(1))
+    refresh_warehouse(spark, good, str(tmp_path / "one"), day(1), day(1))
+    assert stored(spark, tmp_path / "both") == stored(spark, tmp_path / "one")
+
+
+def test_subset_rerun_keeps_the_other_pairs(spark, tmp_path):
+    raw = grid(spark, 1, ("BTC", "ETH")).cache()
+    refresh_warehouse(spark, raw, str(tmp_path), day(1), day(1), ingested_at=LOADED)
+    whole = stored(spark, tmp_path)
+    refresh_warehouse(spark, raw, str(tmp_path), day(1), day(1), symbols("BTC"), LOADED)
+    assert stored(spark, tmp_path) == whole
+
+
+def test_daily_facts_survive_a_write_that_breaks_off(spark, tmp_path, monkeypatch):
+    from wickwork.plans import refresh
+
+    raw = grid(spark, 3, ("BTC",)).cache()
+    refresh_warehouse(spark, raw, str(tmp_path), day(1), day(3), ingested_at=LOADED)
+    whole = stored(spark, tmp_path)
+    real = refresh.tables.write_table
+
+    def breaks(df, path, by=None):
+        if path.endswith("fact_market_daily"):
+            real(df.limit(0), path, by)  # what a dying overwrite leaves
+            raise OSError("lost")
+        return real(df, path, by)
+
+    monkeypatch.setattr(refresh.tables, "write_table", breaks)
+    with pytest.raises(OSError):
+        refresh_warehouse(spark, raw, str(tmp_path), day(3), day(3), ingested_at=LOADED)
+    monkeypatch.undo()
+    refresh_warehouse(spark, raw, str(tmp_path), day(3), day(3), ingested_at=LOADED)
+    assert stored(spark, tmp_path) == whole

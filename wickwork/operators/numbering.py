@@ -1,9 +1,10 @@
 """Row numbers and ranks over a whole table, without one task seeing all rows.
 
-A window without PARTITION BY moves everything to one task. Here rows are put
-into buckets whose order agrees with the wanted order. Each bucket is numbered
-on its own, then shifted by the number of rows in the buckets before it. Only the
-bucket sizes go through a single task, and their number is bounded.
+A window without PARTITION BY moves everything to one task. Here rows are dealt into
+ordered ranges whose bounds Spark samples from the data, so neither a shared prefix nor
+close values gather in one of them. The ranges are written once, since a sample drawn
+anew could draw other bounds. Each range is numbered on its own, then shifted by the rows
+in the ranges before it. Only the sizes of the ranges go through a single task.
 """
 
 from __future__ import annotations
@@ -11,20 +12,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_PREFIX_BYTES = 2  # at most 65,536 buckets
-_RANK_STEPS = 10_000  # at most 20,003 buckets
+from wickwork.session import staged
 
 
-def _numbered(df: DataFrame, out: str, bucket: Column, number: Column, order: list[Column]) -> DataFrame:
-    # The bucket is never NULL, so the join below adds no filter to one of its
-    # sides only, and both sides share the shuffle that produced `df`.
-    tagged = df.withColumn("_bucket", bucket)
+def _numbered(df: DataFrame, out: str, number: Column, order: Column) -> DataFrame:
+    tagged = staged(df.repartitionByRange(order).withColumn("_bucket", F.spark_partition_id()), "ranges")
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = tagged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size")).select(
         "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
     )
-    inside = number.over(Window.partitionBy("_bucket").orderBy(*order))
-    # The bucket list is bounded by its construction, so it may be broadcast.
+    inside = number.over(Window.partitionBy("_bucket").orderBy(order))
+    # As many rows as there are ranges, that is shuffle partitions: it may be broadcast.
     return (
         tagged.withColumn("_inside", inside)
         .join(F.broadcast(offsets), "_bucket")
@@ -34,21 +32,10 @@ def _numbered(df: DataFrame, out: str, bucket: Column, number: Column, order: li
 
 
 def number_names(df: DataFrame, name: str, out: str) -> DataFrame:
-    """1, 2, 3, ... in the order of a text column without duplicates or NULLs.
-
-    Buckets are the first bytes of the name, which sort as the names do.
-    """
-    prefix = F.substring(F.hex(F.encode(F.col(name), "utf-8")), 1, 2 * _PREFIX_BYTES)
-    bucket = F.coalesce(prefix, F.lit(""))
-    return _numbered(df, out, bucket, F.row_number(), [F.col(name)])
+    """1, 2, 3, ... in the order of a text column without duplicates; a NULL comes first."""
+    return _numbered(df, out, F.row_number(), F.asc_nulls_first(name))
 
 
 def rank_descending(df: DataFrame, value: str, out: str) -> DataFrame:
-    """SQL rank by a number, largest first, NULLs last.
-
-    Buckets are whole units of the value, open at both ends, so equal values
-    always share a bucket.
-    """
-    unit = F.floor(F.greatest(F.least(-F.col(value), F.lit(_RANK_STEPS)), F.lit(-_RANK_STEPS)))
-    bucket = F.coalesce(unit.cast("int"), F.lit(_RANK_STEPS + 1))
-    return _numbered(df, out, bucket, F.rank(), [F.desc_nulls_last(value)])
+    """SQL rank by a number, largest first, NULLs last; equal values share a range."""
+    return _numbered(df, out, F.rank(), F.desc_nulls_last(value))

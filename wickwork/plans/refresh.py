@@ -9,21 +9,23 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wickwork import schemas
 from wickwork.operators import dims, facts, quality, silver
-from wickwork.operators.latest import dedupe_latest
+from wickwork.operators.latest import dedupe_latest, latest_known
 from wickwork.session import pin_utc, staged
 from wickwork.sources import tables
-from wickwork.sources.candles import LAYOUTS, load_days, require_rows
+from wickwork.sources.candles import LAYOUTS, load_days, require_rows, set_aside
 
 log = logging.getLogger(__name__)
 
 
 KEYED = ("dim_exchange", "dim_symbol")
+BRONZE_KEY = ["symbol", "open_time_ms"]
 
 
 @dataclass(frozen=True)
@@ -55,34 +57,50 @@ def _days(df: DataFrame, by: str, start: dt.date, end: dt.date) -> DataFrame:
 
 
 def _other_days(df: DataFrame, by: str, start: dt.date, end: dt.date) -> DataFrame:
-    return df.where(~F.col(by).between(F.lit(start), F.lit(end)))
+    return df.where(F.coalesce(~F.col(by).between(F.lit(start), F.lit(end)), F.lit(True)))
 
 
 def load_bronze(
     raw: DataFrame, house: Warehouse, start: dt.date, end: dt.date,
     symbols: dict[str, list[str]] | None = None, ingested_at: Column | str | None = None,
 ) -> dict[str, int]:
-    """Land the days in each exchange's bronze table; a rerun replaces them."""
+    """Land the days in each exchange's bronze table; a rerun replaces them.
+
+    With a list of symbols for an exchange, only their candles are replaced. What cannot be
+    loaded goes to bronze_rejected, by landing day, with its reason.
+    """
     rows = {}
+    midnight = F.lit(dt.datetime.combine(start, dt.time(), dt.UTC))
+    recent = raw.where(F.col("landed_at").isNull() | (F.col("landed_at") >= midnight))
+    aside = reduce(DataFrame.unionByName, [set_aside(recent, layout) for layout in LAYOUTS.values()])
+    rows["bronze_rejected"] = tables.write_partitions(
+        aside.withColumn("landed_on", F.to_date("landed_at")), house.path("bronze_rejected"), "landed_on"
+    )
     for exchange, layout in LAYOUTS.items():
         wanted = (symbols or {}).get(exchange)
         days = load_days(raw, layout, start, end, wanted, ingested_at)
         require_rows(days, f"{exchange} {start}..{end}")
         table = f"bronze_{exchange}"
-        rows[table] = tables.write_partitions(days, house.path(table))
+        if wanted:
+            rows[table] = tables.merge_days(days, house.path(table), BRONZE_KEY)
+        else:
+            rows[table] = tables.write_partitions(days, house.path(table))
     return rows
 
 
 def refresh_silver(house: Warehouse, start: dt.date, end: dt.date) -> dict[str, int]:
     """Type and check the days, stop on a failed gate, then replace them in silver.
 
+    Only the latest version of each candle is judged: what a correction has replaced
+    cannot stop a run.
+
     Two passes over the days' bronze: all counts, then the write. Rows that cannot be
     typed cost a third one, only when there are any.
     """
-    bronze = silver.unify({
+    bronze = latest_known(silver.unify({
         exchange: _days(house.read(f"bronze_{exchange}"), "rate_date", start, end)
         for exchange in LAYOUTS
-    })
+    }), ["exchange", *BRONZE_KEY])
     checks = quality.quality_report(silver.judged(bronze), quality.load_rules())
     counts = {line.rule: line.violations for line in quality.enforce(checks)}
     log.info("silver %s..%s: %s", start, end, counts)
@@ -123,7 +141,7 @@ def _facts_use_current_keys(house: Warehouse) -> bool:
     """Whether the stored facts were built with keys that still mean the same."""
     for name in KEYED:
         used = house.find(f"fact_keys_{name}")
-        if used is None or not used.join(house.read(name), used.columns, "left_anti").isEmpty():
+        if used is None or used.isEmpty() or not used.join(house.read(name), used.columns, "left_anti").isEmpty():
             return False
     return True
 
@@ -134,10 +152,13 @@ def refresh_facts(house: Warehouse, start: dt.date, end: dt.date) -> dict[str, i
     While keys keep their meaning, only the given days are computed from silver and
     from the hourly table. The other days of the daily table are taken as stored,
     and only the variations, at one row per series and day, are computed anew. The
-    keys in use are recorded last, so a run that broke off is made good by the next.
+    record of the keys in use is emptied before a fact is touched and written last, so a
+    run that broke off anywhere in between is made good by the next, which builds anew.
     """
     stored = house.find("fact_market_daily") if _facts_use_current_keys(house) else None
     exchanges, symbols, datetimes = (house.read(t) for t in (*KEYED, "dim_datetime"))
+    for name, dim in zip(KEYED, (exchanges, symbols)):
+        tables.write_table(dim.limit(0), house.path(f"fact_keys_{name}"))
 
     def wanted(df: DataFrame, by: str) -> DataFrame:
         return df if stored is None else _days(df, by, start, end)

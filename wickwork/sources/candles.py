@@ -47,11 +47,10 @@ class EmptyLoad(RuntimeError):
 def parse_candles(raw: DataFrame, layout: Layout, wide: bool = False) -> DataFrame:
     """One row per candle of the layout's exchange, prices kept as text.
 
-    Unreadable JSON raises, since dropping a payload would lose a whole day
-    without a trace; `unreadable_payloads` finds the culprits. A field that is
+    A payload without candles gives no rows here; `set_aside` names it. A field that is
     missing or not a number becomes NULL and is caught by the required-field check.
     """
-    payload = F.from_json("payload", _PAYLOAD_TYPE, {"mode": "FAILFAST"})
+    payload = F.from_json("payload", _PAYLOAD_TYPE)
     candles = raw.where(F.col("exchange") == layout.exchange).select(
         "symbol", "landed_at", F.explode(payload).alias("candle")
     )
@@ -70,10 +69,35 @@ def unreadable_payloads(raw: DataFrame) -> DataFrame:
     return raw.where(F.from_json("payload", _PAYLOAD_TYPE).isNull())
 
 
+def set_aside(raw: DataFrame, layout: Layout) -> DataFrame:
+    """What a load of the exchange leaves out whatever the days: exchange, symbol, landed_at, reason.
+
+    One row for each payload that is missing, unreadable or empty, and for each candle
+    whose opening time cannot be read, so that it belongs to no day.
+    """
+    own = raw.where(F.col("exchange") == layout.exchange)
+    parsed = F.from_json("payload", _PAYLOAD_TYPE)
+    reason = (
+        F.when(F.col("payload").isNull(), "missing_payload")
+        .when(parsed.isNull(), "unreadable_payload")
+        .when(F.size(parsed) == 0, "empty_payload")
+    )
+    payloads = own.select("exchange", "symbol", "landed_at", reason.alias("reason")).where("reason IS NOT NULL")
+    timeless = parse_candles(raw, layout).where("open_time_ms IS NULL").select(
+        F.lit(layout.exchange).alias("exchange"), "symbol", "landed_at", F.lit("unreadable_open_time").alias("reason")
+    )
+    return payloads.unionByName(timeless)
+
+
 def stamp(candles: DataFrame, ingested_at: Column | str | None = None) -> DataFrame:
-    """Add the load time, now unless given, and the UTC day that partitions the table."""
+    """Add the version time and the UTC day that partitions the table.
+
+    Unless given, the version is the landing time, so that a correction that lands later
+    wins; rows without one get the current time.
+    """
     if ingested_at is None:
-        loaded = F.current_timestamp()
+        now = F.current_timestamp()
+        loaded = F.coalesce("landed_at", now) if "landed_at" in candles.columns else now
     else:
         loaded = F.col(ingested_at) if isinstance(ingested_at, str) else ingested_at
     return candles.withColumns(
@@ -146,11 +170,12 @@ def load_days(
     """Bronze rows of a day or a range: daily load, rerun and history are one call.
 
     A payload cannot hold a candle that opens after it landed, so older payloads are
-    skipped in the scan, before any JSON is parsed.
+    skipped in the scan, before any JSON is parsed. All landed symbols are loaded
+    unless a list is given.
     """
     start = start or previous_day()
     midnight = F.lit(dt.datetime.combine(start, dt.time(), dt.UTC))
     landed = F.col("landed_at")
     recent = raw.where(landed.isNull() | (landed >= midnight))
     bronze = to_bronze(recent, layout, ingested_at)
-    return day_slice(bronze, start, end, symbols or layout.symbols)
+    return day_slice(bronze, start, end, symbols)
