@@ -13,53 +13,142 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wickwork.llm import tokens
 from wickwork.llm.common import staged
 
-SEGMENT = "h long, seg long, doc long, start int, n int, more binary"
+SEGMENT = "h long, seg long, doc long, start int, n int, more binary, done boolean"
 #: Units of each row of a slice: (values with one 64-bit hash per unit, row offsets in units).
 Units = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
-def segments(docs: DataFrame, units: Units, width: int, k: int) -> DataFrame:
+def _anchored(values: np.ndarray, rows: np.ndarray, width: int, k: int):
+    """Segments of a slice: (anchor hashes, row, first unit, end of the first units of windows, hashes)."""
+    last = len(values) - width + 1
+    if last <= 0:
+        none = np.empty(0, np.int64)
+        return none.view(np.uint64), none, none, none, None
+    hashes = tokens.Spans(values)
+    keys = hashes.runs(k)
+    anchor = tokens.minimizers(keys, width - k + 1)
+    row = np.repeat(np.arange(len(rows) - 1), np.diff(rows))[:last]
+    inside = np.arange(last) + width <= rows[row + 1]
+    new = np.ones(last, bool)
+    new[1:] = (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])
+    new |= ~inside
+    begin = np.flatnonzero(new & inside)
+    stops = np.flatnonzero(np.r_[new, True])
+    return keys[anchor[begin]], row[begin], begin, stops[np.searchsorted(stops, begin, "right")], hashes
+
+
+#: Size of a filter: 64 parts of 2^20 bits, 8 MB, whatever the input.
+FILTER_PARTS, FILTER_BITS = 64, 1 << 20
+
+
+def _in_filter(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    part, bit = h % np.uint64(FILTER_PARTS), (h // np.uint64(FILTER_PARTS)) % np.uint64(FILTER_BITS)
+    place = part * np.uint64(FILTER_BITS) + bit
+    return (bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
+def repeated_anchors(docs: DataFrame, units: Units, width: int, k: int) -> np.ndarray:
+    """Bit filter of the anchors that stand in more than one document.
+
+    Its size is fixed. With many more anchors than bits it lets ever more pass that stand
+    in one document; those are dropped later, so only the work grows, never the result.
+    """
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = np.asarray(batch.column(0)).astype(np.int64)
+            for lo, hi, data, offsets in tokens.text_slices(batch.column(1)):
+                h, row, *_ = _anchored(*units(data, offsets), width, k)
+                if not len(h):
+                    continue
+                doc = ids[lo:hi][row]
+                order = np.argsort(h, kind="stable")
+                at = np.flatnonzero(np.r_[True, np.diff(h[order]) != 0])
+                several = np.maximum.reduceat(doc[order], at) > np.minimum.reduceat(doc[order], at)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h[order][at].view(np.int64)), pa.array(1 + several.astype(np.int32))], ["h", "docs"]
+                )
+
+    # A document lies in one slice, so two slices, or one with two documents, tell repeats.
+    seen = docs.mapInArrow(of, "h long, docs int").groupBy("h").agg(F.sum("docs").alias("docs"))
+    return bit_filter(seen.where("docs > 1").select("h"))
+
+
+def bit_filter(hashes: DataFrame) -> np.ndarray:
+    """The fixed-size filter of all values of `h`, built part by part."""
+
+    def bits(rows):
+        slot = np.asarray(rows["slot"].combine_chunks())
+        one = np.zeros(FILTER_BITS, np.uint8)
+        one[slot] = 1
+        return pa.table({"part": rows["part"][:1], "bits": pa.array([np.packbits(one, bitorder="little").tobytes()], pa.binary())})
+
+    slot = F.shiftrightunsigned("h", 6).bitwiseAND(FILTER_BITS - 1)
+    # Distinct slots: a part gets no more rows than it has bits.
+    held = hashes.select(F.col("h").bitwiseAND(FILTER_PARTS - 1).alias("part"), slot.alias("slot")).distinct()
+    out = np.zeros(FILTER_PARTS * FILTER_BITS // 8, np.uint8)
+    for row in held.groupBy("part").applyInArrow(bits, "part long, bits binary").toLocalIterator():
+        out[row["part"] * FILTER_BITS // 8: (row["part"] + 1) * FILTER_BITS // 8] = np.frombuffer(row["bits"], np.uint8)
+    return out
+
+
+def maybe_among(docs: DataFrame, ids: DataFrame):
+    """Column of `docs`: false only if its doc_id is surely not among `ids` (doc).
+
+    Texts of other documents then need no shuffle to be joined with what is known of a few.
+    """
+    known = docs.sparkSession.sparkContext.broadcast(bit_filter(ids.select(F.xxhash64("doc").alias("h"))))
+
+    def of(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for hashes in parts:
+            yield pd.Series(_in_filter(known.value, hashes.to_numpy(np.int64).view(np.uint64)))
+
+    return F.pandas_udf(of, "boolean")(F.xxhash64("doc_id"))
+
+
+_ROWS = 100_000  # segments that are put together at once
+
+
+def segments(docs: DataFrame, units: Units, width: int, k: int, only: np.ndarray | None = None) -> DataFrame:
     """(h, seg, doc, start, n, more) of `docs` (doc, text): anchor hash, hash of the units of all
     its windows, first window and number of windows; `more` are further starts of equal
-    segments of the document (int32). Texts shorter than a window have none."""
+    segments of the document (int32). Texts shorter than a window have none. `only`: a
+    filter of anchors (`repeated_anchors`); the rest stand in one document. Of equal segments
+    put together all but that of the smallest document are `done`: known to be covered, so
+    a segment of very many documents does not gather in a task."""
+    wanted = None if only is None else docs.sparkSession.sparkContext.broadcast(only)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = np.asarray(batch.column(0)).astype(np.int64)
+            parts = []
             for lo, hi, data, offsets in tokens.text_slices(batch.column(1)):
                 values, rows = units(data, offsets)
-                last = len(values) - width + 1
-                if last <= 0:
+                h, row, begin, end, hashes = _anchored(values, rows, width, k)
+                if not len(h):
                     continue
-                at = np.arange(len(values) - k + 1)
-                keys = tokens.span_hashes(values, at, at + k)
-                anchor = tokens.minimizers(keys, width - k + 1)
-                row = np.repeat(np.arange(hi - lo), np.diff(rows))[:last]
-                inside = np.arange(last) + width <= rows[row + 1]
-                new = np.ones(last, bool)
-                new[1:] = (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])
-                new |= ~inside
-                begin = np.flatnonzero(new & inside)
-                stops = np.flatnonzero(np.r_[new, True])
-                end = stops[np.searchsorted(stops, begin, "right")]
-                h = keys[anchor[begin]]
-                seg = tokens.span_hashes(values, begin, end + width - 1)
-                doc_row = row[begin]
-                start = (begin - rows[doc_row]).astype(np.int32)
-                n = (end - begin).astype(np.int32)
-                yield from _packed(ids[lo:hi], h, seg, doc_row, start, n)
+                if wanted is not None:
+                    keep = _in_filter(wanted.value, h)
+                    h, row, begin, end = h[keep], row[keep], begin[keep], end[keep]
+                seg = hashes.of(begin, end + width - 1)
+                parts.append((h, seg, row + lo, (begin - rows[row]).astype(np.int32), (end - begin).astype(np.int32)))
+                if sum(len(p[0]) for p in parts) >= _ROWS:
+                    yield from _packed(ids, *map(np.concatenate, zip(*parts)))
+                    parts = []
+            if parts:
+                yield from _packed(ids, *map(np.concatenate, zip(*parts)))
 
     return docs.mapInArrow(of, SEGMENT)
 
 
-
 def _packed(ids, h, seg, row, start, n) -> Iterator[pa.RecordBatch]:
     """One row for each (document, anchor, segment); its further starts go to `more`."""
     if not len(h):
@@ -73,10 +162,16 @@ def _packed(ids, h, seg, row, start, n) -> Iterator[pa.RecordBatch]:
     more: list[bytes | None] = [None] * len(at)
     for i in np.flatnonzero(size > 1):
         more[i] = start[at[i] + 1: at[i] + size[i]].tobytes()
+    h, seg, doc = h[at], seg[at], ids[row[at]]
+    order = np.lexsort((doc, seg, h))
+    new = np.r_[True, (h[order[1:]] != h[order[:-1]]) | (seg[order[1:]] != seg[order[:-1]])]
+    begins = np.flatnonzero(new)
+    done = np.empty(len(h), bool)
+    done[order] = doc[order] > np.repeat(doc[order[begins]], np.diff(np.r_[begins, len(h)]))
     yield pa.RecordBatch.from_arrays(
-        [pa.array(h[at].view(np.int64)), pa.array(seg[at].view(np.int64)), pa.array(ids[row[at]]), pa.array(start[at]),
-         pa.array(n[at]), pa.array(more, pa.binary())],
-        ["h", "seg", "doc", "start", "n", "more"],
+        [pa.array(h.view(np.int64)), pa.array(seg.view(np.int64)), pa.array(doc), pa.array(start[at]),
+         pa.array(n[at]), pa.array(more, pa.binary()), pa.array(done)],
+        ["h", "seg", "doc", "start", "n", "more", "done"],
     )
 
 
@@ -87,16 +182,20 @@ def repeated(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     do. open: the first occurrence of each distinct segment at an anchor that has several,
     in more than one document; which of its windows repeat is to be seen window by window.
     """
-    firsts = staged(
-        found.groupBy("h", "seg").agg(F.min("doc").alias("first"), F.max("doc").alias("last")), "firsts"
+    # For each segment that is done, one of a smaller document is among the rest, so the rest
+    # have all ways of an anchor; an anchor with one way is settled by its first document.
+    by_anchor, by_segment = Window.partitionBy("h"), Window.partitionBy("h", "seg")
+    marked = (
+        found.where("NOT done")
+        .withColumns({"lo": F.min("doc").over(by_anchor), "hi": F.max("doc").over(by_anchor),
+                      "ways": F.min("seg").over(by_anchor) != F.max("seg").over(by_anchor)})
+        .where("lo < hi")
+        .withColumn("first", F.min("doc").over(by_segment))
     )
-    nodes = firsts.groupBy("h").agg(
-        F.count(F.lit(1)).alias("ways"), F.min("first").alias("lo"), F.max("last").alias("hi")
-    ).where("lo < hi").select("h", "ways")
-    marks = staged(firsts.join(nodes, "h").where("ways > 1 OR first < last"), "marks")
-    known = staged(found.join(marks, ["h", "seg"]).where("doc > first OR ways > 1"), "known")
-    covered = known.where("doc > first").select("doc", "start", "n", "more")
-    open_ = known.where("doc = first AND ways > 1").select("h", "doc", "start", "n", "more")
+    known = staged(marked.where("doc > first OR ways").select("h", "doc", "start", "n", "more", "first"), "known")
+    done = found.where("done").select("doc", "start", "n", "more")
+    covered = known.where("doc > first").select("doc", "start", "n", "more").unionByName(done)
+    open_ = known.where("doc = first").select("h", "doc", "start", "n", "more")
     return covered, open_
 
 

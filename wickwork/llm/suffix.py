@@ -3,8 +3,9 @@
 A byte is removed when a `WIDTH`-byte string that covers it also starts in a document with
 a smaller id. Texts are UTF-8 bytes; matches never cross documents. The steps:
 
-1. Windows are gathered by anchors (see `spans`). Segments that stand unchanged in a smaller
-   document are covered as a whole; anchors of one document fall away.
+1. Windows are gathered by anchors (see `spans`). A first pass finds the anchors of more than
+   one document, a second one makes segments of those alone. Segments that stand unchanged
+   in a smaller document are covered as a whole.
 2. Where segments around an anchor differ, the bytes of each distinct segment, in its first
    document, go to the group of the anchor. A group, or several small ones together, gets
    one suffix array over the window starts of all its segments, compared on `WIDTH` bytes.
@@ -32,7 +33,8 @@ from wickwork.llm.common import staged
 
 WIDTH, K = 50, 18
 #: Bytes of segments that one suffix array is made for, on average.
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 2 << 20
+_ROWS = 256
 _TABLE = tokens.byte_table(range(256), lower=False)
 _KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 
@@ -45,20 +47,27 @@ def _cut(width: int):
     """The bytes of the asked segments: (h, doc, start, n, bytes)."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[list] = [[], [], [], [], []]
-            for doc, text, asked in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                raw = text.as_buffer().to_pybytes()
-                for s in asked.as_py():
-                    for start in spans.starts_of(s["start"], s["more"]).tolist():
-                        piece = raw[start: start + s["n"] + width - 1]
-                        if len(piece) == s["n"] + width - 1:
-                            for column, value in zip(out, (s["h"], doc, start, s["n"], piece)):
-                                column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()),
-                 pa.array(out[3], pa.int32()), pa.array(out[4], pa.binary())], ["h", "doc", "start", "n", "piece"],
-            )
+        for whole in batches:
+            for at in range(0, whole.num_rows, _ROWS):  # pieces of a few hundred texts at once
+                batch = whole.slice(at, _ROWS)
+                lists = batch.column(2)
+                row = np.repeat(np.arange(batch.num_rows), np.asarray(lists.value_lengths()))
+                flat = lists.flatten()
+                more = flat.field("more")
+                starts = [spans.starts_of(s, m.as_py() if m.is_valid else None) for s, m in zip(flat.field("start").to_pylist(), more)]
+                item = np.repeat(np.arange(len(starts)), [len(s) for s in starts])
+                start = np.concatenate(starts).astype(np.int64)
+                n = np.asarray(flat.field("n")).astype(np.int64)[item]
+                texts = [t.as_buffer().to_pybytes() for t in batch.column(1)]
+                sizes = np.array([len(t) for t in texts])
+                fit = start + n + width - 1 <= sizes[row[item]]  # another row of the same id may be shorter
+                item, start, n = item[fit], start[fit], n[fit]
+                own = row[item]
+                pieces = [texts[r][a:b] for r, a, b in zip(own.tolist(), start.tolist(), (start + n + width - 1).tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [flat.field("h").take(pa.array(item)), batch.column(0).take(pa.array(own)), pa.array(start.astype(np.int32)),
+                     pa.array(n.astype(np.int32)), pa.array(pieces, pa.binary())], ["h", "doc", "start", "n", "piece"],
+                )
 
     return of
 
@@ -113,11 +122,12 @@ def _matched(width: int):
 def covered_windows(docs: DataFrame, width: int = WIDTH, k: int = K) -> DataFrame:
     """(doc, start, n, more): runs of byte windows that also start in a document with a smaller id."""
     docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
-    found = staged(spans.segments(docs, _bytes, width, k), "segments")
+    anchors = spans.repeated_anchors(docs, _bytes, width, k)
+    found = staged(spans.segments(docs, _bytes, width, k, anchors), "segments")
     whole, open_ = spans.repeated(found)
-    asked = open_.groupBy("doc").agg(F.collect_list(F.struct("h", "start", "n", "more")).alias("spans"))
+    asked = staged(open_.groupBy("doc").agg(F.collect_list(F.struct("h", "start", "n", "more")).alias("spans")), "asked")
     pieces = staged(
-        docs.join(asked, F.col("doc_id") == F.col("doc")).select("doc_id", F.encode("text", "utf-8").alias("text"), "spans")
+        docs.where(spans.maybe_among(docs, asked)).join(asked, F.col("doc_id") == F.col("doc")).select("doc_id", F.encode("text", "utf-8").alias("text"), "spans")
         .mapInArrow(_cut(width), "h long, doc long, start int, n int, piece binary"), "pieces",
     )
     total = pieces.agg(F.sum(F.octet_length("piece"))).first()[0] or 0
@@ -128,7 +138,7 @@ def covered_windows(docs: DataFrame, width: int = WIDTH, k: int = K) -> DataFram
 
 def _cleaned(width: int):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, _ROWS) for whole in batches for at in range(0, whole.num_rows, _ROWS)):
             out: list[list] = [[], [], [], []]
             for text, asked in zip(batch.column(1), batch.column(2)):
                 raw = np.frombuffer(text.as_buffer(), np.uint8) if text.is_valid else np.empty(0, np.uint8)
@@ -152,6 +162,8 @@ def _cleaned(width: int):
 
 def remove_repeated(docs: DataFrame, width: int = WIDTH, k: int = K) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept) of every row; kept: the bytes that are left."""
-    covers = spans.by_document(covered_windows(docs, width, k))
-    joined = docs.select("doc_id", F.encode("text", "utf-8").alias("text")).join(covers, F.col("doc_id") == F.col("doc"), "left")
-    return joined.select("doc_id", "text", "spans").mapInArrow(_cleaned(width), _KEPT)
+    covers = staged(spans.by_document(covered_windows(docs, width, k)), "covers")
+    raw = docs.select("doc_id", F.encode("text", "utf-8").alias("text"), spans.maybe_among(docs, covers).alias("maybe"))
+    some = raw.where("maybe").join(covers, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "text", "spans")
+    rest = raw.where("NOT maybe").select("doc_id", "text", F.lit(None).cast(covers.schema["spans"].dataType).alias("spans"))
+    return some.unionByName(rest).mapInArrow(_cleaned(width), _KEPT)

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 _MASK = (1 << 64) - 1
 
 
@@ -63,12 +63,29 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class Spans:
+    """Hashes of parts of a sequence; equal parts have equal hashes wherever they stand."""
+
+    def __init__(self, values: np.ndarray):
+        self.up, self.down = _Powers.of(len(values) + 1)
+        self.sums = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * self.up[: len(values)], out=self.sums[1:])
+
+    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hash of values[start:end] for each pair."""
+        sums = (self.sums[ends] - self.sums[starts]) * self.down[starts]
+        return mix(sums + (ends - starts).astype(np.uint64) * np.uint64(_BASE))
+
+    def runs(self, k: int) -> np.ndarray:
+        """Hash of every k neighbours."""
+        n = max(0, len(self.sums) - k)
+        sums = (self.sums[k: k + n] - self.sums[:n]) * self.down[:n]
+        sums += np.uint64((k * _BASE) & _MASK)
+        return mix(sums)
+
+
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of values[start:end] for each span; equal value sequences have equal hashes."""
-    up, down = _Powers.of(len(values) + 1)
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[: len(values)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * np.uint64(_BASE))
+    return Spans(values).of(starts, ends)
 
 
 def text_slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -106,18 +123,18 @@ def words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray):
 
 
 def minimizers(keys: np.ndarray, width: int) -> np.ndarray:
-    """For each run of `width` neighbours of `keys`: the index of its smallest, the first of equals."""
+    """For each run of `width` neighbours of `keys`: the index of its smallest, the first of equals.
+
+    Keys are compared on their upper bits; the lower ones give way to the index.
+    """
     runs = len(keys) - width + 1
     if runs <= 0:
         return np.empty(0, np.int64)
-    # Ranks make the comparison of (key, index) one comparison of integers.
-    order = np.argsort(keys, kind="stable")
-    best = np.empty(len(keys), np.int32 if len(keys) < 1 << 31 else np.int64)
-    best[order] = np.arange(len(keys), dtype=best.dtype)
+    low = np.uint64((1 << len(keys).bit_length()) - 1)
+    best = (keys & ~low) | np.arange(len(keys), dtype=np.uint64)
     span = 1
     while span * 2 <= width:
         best = np.minimum(best[: len(best) - span], best[span:])
         span *= 2
     rest = width - span
-    best = np.minimum(best[:runs], best[rest: rest + runs])
-    return order[best]
+    return (np.minimum(best[:runs], best[rest: rest + runs]) & low).astype(np.int64)

@@ -60,13 +60,12 @@ class Bags:
         self.starts, self.ends = np.flatnonzero(edge == 1) + 1, np.flatnonzero(edge == -1) + 1
         bounds = np.cumsum([1] + [len(t) + 1 for t in texts])
         self.first = np.searchsorted(self.starts, bounds)
-        self.values = values
-        self.hashes = tokens.span_hashes(values, self.starts, self.ends)
+        self.spans = tokens.Spans(values)
+        self.hashes = self.spans.of(self.starts, self.ends)
 
     def grams(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Bucket of the n-gram at each place, and which of these places each word has."""
-        at = np.arange(max(0, len(self.values) - n + 1))
-        buckets = (tokens.span_hashes(self.values, at, at + n) % np.uint64(BUCKETS)).astype(np.int32)
+        buckets = (self.spans.runs(n) % np.uint64(BUCKETS)).astype(np.int32)
         begin = self.starts - 1
         return buckets, begin, np.maximum(self.ends + 2 - n, begin)
 
