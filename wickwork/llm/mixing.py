@@ -44,7 +44,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, rep
     sources = staged(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
     named = number_names(sources.where("source IS NOT NULL"), "source", "place")
     last = sources.where("source IS NULL").withColumn("place", F.lit(sources.count()).cast("int"))
-    weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("place") - 1) % len(weights) + 1)
+    weight = F.element_at(F.array(*map(F.lit, weights)), F.pmod(F.col("place") - 1, F.lit(len(weights))) + 1)
     weighed = staged(named.unionByName(last).select("source", "source_size", weight.alias("weight")), "weights")
     cap = F.col("source_size") * repeats
     level, full = 0.0, -1
