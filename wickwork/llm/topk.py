@@ -3,11 +3,13 @@
 Components are whole numbers floor(256 * x). Vectors go to blocks by a hash; each block of
 queries meets each block of vectors once. In such a pair, every dimension is a list of the
 block's vectors sorted by component, read from the top for a positive query component and
-from the bottom for a negative one. All lists are read to the same depth. What a vector
-has shown so far, with the least and the most that unread lists can add, bounds its score
-from below and above. Vectors whose upper bound is under the k-th largest lower bound are
-out, seen or not; the depth doubles until few are left, and their scores are resolved. The
-bests of all pairs of a query are then ranked.
+from the bottom for a negative one. All lists are read to the same depth, values equal to
+the last one included. What a vector has shown so far, with the least and the most that
+unread lists can add, bounds its score from below and above; for a whole batch of queries
+these are two matrix products. The vectors with the best lower bounds have their scores
+resolved, which raises those bounds to the scores. Vectors whose upper bound is under the
+k-th largest lower bound are out, seen or not; the depth doubles until few are left, and
+their scores are resolved. The bests of all pairs of a query are then ranked.
 
 Vectors that are null or hold null or non-finite components take no part; a shorter vector
 counts as filled up with zeros. A vector is no candidate for a query of the same id. Ties go
@@ -26,7 +28,9 @@ from wickwork.llm.common import staged
 
 K = 5
 QUERY_BLOCK, VECTOR_BLOCK = 1024, 16_384
-FIRST_DEPTH = 8  # the first reading goes to one part in so many of each list
+BATCH = 128  # queries bounded at once: two matrices of so many rows are held
+FIRST_DEPTH = 4  # the first reading goes to one part in so many of each list
+LEADERS = 16  # vectors of a query resolved at each depth
 FEW = 64
 _BEST = "query_id long, vec_id long, score long"
 
@@ -50,36 +54,57 @@ def _matrix(rows: pa.Table, width: int) -> np.ndarray:
     return out
 
 
+def _exact_type(vectors: np.ndarray, queries: np.ndarray) -> type:
+    """The fastest type in which no sum of these products is rounded."""
+    most = float(np.abs(vectors.astype(float)).max(0, initial=0) @ np.abs(queries.astype(float)).max(0, initial=0))
+    return np.float32 if most < 2**23 else np.float64 if most < 2**52 else np.int64
+
+
 class SortedLists:
-    """The lists of a block: for every vector and dimension, its place in the list."""
+    """The lists of a block, one for each dimension, from the largest component down."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        order = np.argsort(ids, kind="stable")
-        self.ids, self.vectors = ids[order], vectors[order]
-        by = np.argsort(-self.vectors, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(self.vectors, by, 0)
-        self.place = np.empty(by.shape, np.int32)
-        np.put_along_axis(self.place, by, np.arange(len(ids), dtype=np.int32)[:, None], 0)
-
-    def best(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of a superset-free top k for one query, ties to smaller ids."""
-        n = len(self.ids)
-        left = np.flatnonzero(self.ids != own)
-        down = query < 0  # such a list is read from its end
-        least = np.where(down, self.sorted[0], self.sorted[-1]) * query if n else query
-        depth = max(1, n // FIRST_DEPTH)
-        while len(left) > max(FEW, k) and depth < n:
-            frontier = np.where(down, self.sorted[n - depth], self.sorted[depth - 1]) * query
-            place = self.place[left]
-            seen = np.where(down, n - 1 - place, place) < depth
-            shown = self.vectors[left] * query
-            lower = np.where(seen, shown, least).sum(axis=1)
-            upper = np.where(seen, shown, frontier).sum(axis=1)
-            left = left[upper >= np.partition(lower, len(lower) - k)[len(lower) - k]]
+        self.ids, self.vectors = ids, vectors
+        lists = np.sort(vectors, axis=0)[::-1]
+        self.readings = []
+        depth = -(-len(ids) // FIRST_DEPTH)
+        while LEADERS < depth < len(ids):
+            top, bottom = lists[depth - 1], lists[-depth]
+            least = [np.where(vectors >= top, vectors, lists[-1]), np.where(vectors <= bottom, vectors, lists[0])]
+            most = [np.maximum(vectors, top), np.minimum(vectors, bottom)]
+            self.readings.append((np.hstack(least), np.hstack(most)))
             depth *= 2
-        scores = self.vectors[left] @ query  # resolved for the few that are left
-        top = np.lexsort((self.ids[left], -scores))[:k]
-        return self.ids[left][top], scores[top]
+
+    def best(self, queries: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row of the query, id, score) of the k best of each query, ties to smaller ids."""
+        mine = self.ids == own[:, None]
+        left = ~mine
+        split = np.hstack([np.maximum(queries, 0), np.minimum(queries, 0)])
+        leaders = max(k, LEADERS)
+        for least, most in self.readings if len(self.ids) > leaders else []:
+            lower = split @ least.T
+            lower[mine] = lower.min(initial=0) - 1
+            lead = np.argpartition(lower, -leaders, axis=1)[:, -leaders:]
+            score = np.einsum("qd,qld->ql", queries, self.vectors[lead])
+            own_lead = np.take_along_axis(mine, lead, 1)
+            score[own_lead] = np.take_along_axis(lower, lead, 1)[own_lead]
+            bar = np.partition(score, -k, axis=1)[:, -k]
+            left = (split @ most.T >= bar[:, None]) & ~mine
+            if left.sum() <= FEW * len(queries):
+                break
+        rows, found = np.nonzero(left)
+        if len(rows) > FEW * len(queries):  # resolved together, and cut at the k-th score
+            score = queries @ self.vectors.T
+            score[mine] = score.min(initial=0) - 1
+            bar = np.partition(score, -k, axis=1)[:, -k] if score.shape[1] >= k else score.min(axis=1)
+            rows, found = np.nonzero((score >= bar[:, None]) & ~mine)
+            score = score[rows, found]
+        else:
+            score = np.einsum("pd,pd->p", queries[rows], self.vectors[found])
+        order = np.lexsort((self.ids[found], -score, rows))
+        rows, found, score = rows[order], found[order], score[order]
+        top = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
+        return rows[top], self.ids[found[top]], score[top].astype(np.int64)
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
@@ -97,12 +122,15 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     def best(rows):
         asks = np.asarray(rows["asks"].combine_chunks())
         ids, matrix = np.asarray(rows["id"]), _matrix(rows, width)
-        lists = SortedLists(ids[~asks], matrix[~asks])
-        found = [(q, *lists.best(v, q, k)) for q, v in zip(ids[asks].tolist(), matrix[asks])] if not asks.all() else []
-        own = np.concatenate([np.full(len(i), q) for q, i, _ in found] or [np.empty(0)]).astype(np.int64)
+        matrix = matrix.astype(_exact_type(matrix[~asks], matrix[asks]))
+        lists, own, asked = SortedLists(ids[~asks], matrix[~asks]), ids[asks], matrix[asks]
+        batches = range(0, len(own) if len(lists.ids) else 0, BATCH)
+        met = [(at, *lists.best(asked[at:at + BATCH], own[at:at + BATCH], k)) for at in batches]
+        none = [np.empty(0, np.int64)]
         return pa.table({
-            "query_id": own, "vec_id": np.concatenate([i for _, i, _ in found] or [own]),
-            "score": np.concatenate([s for *_, s in found] or [own]),
+            "query_id": np.concatenate([own[at + row] for at, row, *_ in met] or none),
+            "vec_id": np.concatenate([vec for *_, vec, _ in met] or none),
+            "score": np.concatenate([score for *_, score in met] or none),
         })
 
     both = dealt(vectors, "vb", n_blocks, "qb", m_blocks, False).unionByName(dealt(queries, "qb", m_blocks, "vb", n_blocks, True))
