@@ -14,6 +14,7 @@ from wickwork.operators.facts import DAILY_KEY
 from wickwork.operators.silver import problems
 
 GATE, REPORT = "gate", "report"
+REQUIRED = ["symbol", "open_time_ms", "close_time_ms", *C.PRICE_FIELDS]
 
 
 class QualityError(AssertionError):
@@ -31,8 +32,7 @@ class Rule:
 
 def bronze_rules() -> list[Rule]:
     """Required fields of a landed candle."""
-    required = ["symbol", "open_time_ms", "close_time_ms", *C.PRICE_FIELDS]
-    return [Rule(f"missing_{f}", REPORT, F.col(f).isNull()) for f in required]
+    return [Rule(f"missing_{f}", REPORT, F.col(f).isNull()) for f in REQUIRED]
 
 
 def typing_rules() -> list[Rule]:
@@ -244,13 +244,15 @@ def duplicate_report(df: DataFrame, keys: list[str], table: str) -> DataFrame:
     )
 
 
-def series_calendar(profile: DataFrame) -> DataFrame:
-    """Every series on every day from the first through the last day of the whole table."""
+def series_calendar(profile: DataFrame, since_listed: bool = False) -> DataFrame:
+    """Every series on every day from the first through the last day of the whole table.
+
+    With `since_listed`, each series starts on its own first day.
+    """
     bounds = profile.agg(F.min("min_date").alias("first"), F.max("max_date").alias("last"))
+    first = F.col("min_date") if since_listed else bounds.select("first").scalar()
     ranged = profile.select(
-        "exchange", "symbol",
-        bounds.select("first").scalar().alias("first"),
-        bounds.select("last").scalar().alias("last"),
+        "exchange", "symbol", first.alias("first"), bounds.select("last").scalar().alias("last")
     )
     return days_between(ranged, "exchange", "symbol").withColumnRenamed("date_id", "rate_date")
 
@@ -262,20 +264,29 @@ def date_gaps(silver: DataFrame, profile: DataFrame) -> DataFrame:
 
 
 def gap_report(silver: DataFrame, profile: DataFrame) -> DataFrame:
-    """One row per series: days of the calendar and days without a row."""
-    gaps = date_gaps(silver, profile).groupBy("exchange", "symbol").agg(F.count(F.lit(1)).alias("missing"))
-    days = series_calendar(profile).groupBy("exchange", "symbol").agg(F.count(F.lit(1)).alias("calendar_days"))
-    return days.join(gaps, ["exchange", "symbol"], "left").select(
+    """One row per series: days of the calendar and days without a row.
+
+    Counts only, so no calendar is laid out: the days of the range less those present.
+    """
+    length = profile.agg((F.date_diff(F.max("max_date"), F.min("min_date")) + 1).cast("bigint").alias("days"))
+    present = silver.groupBy("exchange", "symbol").agg(F.count_distinct("rate_date").alias("present"))
+    return profile.select("exchange", "symbol", length.scalar().alias("calendar_days")).join(
+        present, ["exchange", "symbol"], "left"
+    ).select(
         "exchange", "symbol", "calendar_days",
-        F.coalesce(F.col("missing"), F.lit(0)).alias("missing_days"),
+        (F.col("calendar_days") - F.coalesce(F.col("present"), F.lit(0))).alias("missing_days"),
     )
 
 
 def hour_completeness(silver: DataFrame, profile: DataFrame, expected: int = 24) -> DataFrame:
-    """Rows of each series and day against the hours of a day; absent days have 0 rows."""
+    """Rows of each series and day, from its first day on, against the hours of a day.
+
+    Absent days have 0 rows.
+    """
     counted = silver.groupBy("exchange", "symbol", "rate_date").agg(F.count(F.lit(1)).alias("found"))
     found = F.coalesce(F.col("found"), F.lit(0))
-    return series_calendar(profile).join(counted, ["exchange", "symbol", "rate_date"], "left").select(
+    days = series_calendar(profile, since_listed=True)
+    return days.join(counted, ["exchange", "symbol", "rate_date"], "left").select(
         "exchange", "symbol", "rate_date",
         found.alias("hours"),
         F.lit(expected).alias("expected_hours"),
@@ -283,6 +294,15 @@ def hour_completeness(silver: DataFrame, profile: DataFrame, expected: int = 24)
     )
 
 
+def hour_summary(completeness: DataFrame) -> DataFrame:
+    """One row per series over `hour_completeness`: days, complete days and missing hours."""
+    return completeness.groupBy("exchange", "symbol").agg(
+        F.count(F.lit(1)).alias("days"),
+        F.count_if(F.col("missing_hours") == 0).alias("complete_days"),
+        F.sum("missing_hours").alias("missing_hours"),
+    )
+
+
 def reconcile_daily(hourly: DataFrame, daily: DataFrame) -> DataFrame:
     """Sums of the hours next to the daily row, per key that either table has."""
     summed = (

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from wickwork import constants as C
 from wickwork.operators import dims, facts, metrics, quality, silver
 from wickwork.operators.latest import dedupe_latest
-from wickwork.plans.refresh import Warehouse, refresh_warehouse
+from wickwork.plans.refresh import KEYED, Warehouse, refresh_warehouse
 from wickwork.session import new_folder, pin_utc, staged
 from wickwork.sources import candles as feed
 from wickwork.sources import tables
@@ -166,7 +166,27 @@ def bronze_range_profile(case: Case) -> DataFrame:
 
 @query
 def bronze_required_fields(case: Case) -> DataFrame:
-    return quality.quality_report(case.bronze, quality.bronze_rules())
+    """Bronze in which each required field is missing in one hour of every day."""
+    hour = F.hour(F.timestamp_millis("open_time_ms"))
+    holes = case.bronze.withColumns({f: F.when(hour != at, F.col(f)) for at, f in enumerate(quality.REQUIRED)})
+    return quality.quality_report(holes, quality.bronze_rules())
+
+
+@query
+def bronze_rejected(case: Case) -> DataFrame:
+    """Payloads with a fault on four days of the month: what is set aside, and what is kept."""
+    day, payload = F.dayofmonth("landed_at"), F.col("payload")
+    timeless = F.regexp_replace(payload, r"\b\d{13}\b", "null")
+    raw = staged(case.raw.withColumn("payload", F.when(day == 4, None).when(day == 5, "[]").when(
+        day == 6, "{oops").when(day == 7, timeless).otherwise(payload)), "raw")
+    aside = feed.union_days([feed.set_aside(raw, layout) for layout in feed.LAYOUTS.values()])
+    kept = feed.union_days([
+        feed.parse_candles(raw, layout).where("open_time_ms IS NOT NULL").select(
+            F.lit(exchange).alias("exchange"), F.lit("kept").alias("reason"))
+        for exchange, layout in feed.LAYOUTS.items()
+    ])
+    return aside.select("exchange", "reason").unionByName(kept).groupBy("exchange", "reason").agg(
+        F.count(F.lit(1)).alias("items"))
 
 
 @query
@@ -339,7 +359,16 @@ def fact_market_hourly(case: Case) -> DataFrame:
 
 @query
 def fact_hourly_quality(case: Case) -> DataFrame:
-    return quality.quality_profile(case.hourly, quality.hourly_rules())
+    """The hourly fact with a fault of each kind in some hours of every day."""
+    hour = F.hour("datetime_id")
+    faulty = case.hourly.withColumns({
+        "open_price": F.when(hour != 0, F.col("open_price")),
+        "high_price": F.when(hour == 6, F.col("low_price") - 1).when(hour != 1, F.col("high_price")),
+        "low_price": F.when(hour == 7, F.col("high_price") + 1).when(hour != 2, F.col("low_price")),
+        "close_price": F.when(hour != 3, F.col("close_price")),
+        "volume": F.when(hour == 5, 0).when(hour != 4, F.col("volume")),
+    })
+    return quality.quality_profile(faulty, quality.hourly_rules())
 
 
 @query
@@ -359,7 +388,8 @@ def fact_daily_summary(case: Case) -> DataFrame:
 
 @query
 def daily_prev_gap(case: Case) -> DataFrame:
-    gaps = facts.with_prev_gap(case.daily)
+    """The daily fact without every fifth day."""
+    gaps = facts.with_prev_gap(case.daily.where(F.dayofmonth("date_id") % 5 != 0))
     return gaps.select("exchange_id", "symbol_id", "date_id", "prev_date_gap_days")
 
 
@@ -374,11 +404,62 @@ def warehouse_refresh(case: Case) -> DataFrame:
     return Warehouse(case.spark, root).read("fact_market_daily")
 
 
+@query
+def refresh_subset(case: Case) -> DataFrame:
+    """A full refresh, then the last day again for one pair: no other pair is lost."""
+    root = new_folder(case.spark, "warehouse")
+    raw = staged(case.raw, "raw")
+    first, last = case.range_of_days()
+    refresh_warehouse(case.spark, raw, root, first, last, ingested_at="landed_at")
+    some = {C.BINANCE: ["BTCUSDT"], C.POLONIEX: ["BTC_USDT"]}
+    refresh_warehouse(case.spark, raw, root, last, last, some, "landed_at")
+    return Warehouse(case.spark, root).read("fact_market_daily")
+
+
+@query
+def refresh_with_corrections(case: Case) -> DataFrame:
+    """Every payload landed an hour earlier with highs and lows exchanged; the later one counts."""
+    root = new_folder(case.spark, "warehouse")
+    candles = staged(case.candles, "candles")
+    swapped = candles.withColumns({"high": F.col("low"), "low": F.col("high")})
+    early = payloads_from_candles(swapped).withColumn("landed_at", F.col("landed_at") - F.expr("interval 1 hour"))
+    raw = staged(early.unionByName(payloads_from_candles(candles)), "raw")
+    refresh_warehouse(case.spark, raw, root, *case.range_of_days())
+    return Warehouse(case.spark, root).read("fact_market_daily")
+
+
+@query
+def refresh_after_break(case: Case) -> DataFrame:
+    """A refresh whose write of the daily fact broke off, made good by one of the last day."""
+    house = Warehouse(case.spark, new_folder(case.spark, "warehouse"))
+    raw = staged(case.raw, "raw")
+    first, last = case.range_of_days()
+    refresh_warehouse(case.spark, raw, house.root, first, last, ingested_at="landed_at")
+    for table in (*[f"fact_keys_{d}" for d in KEYED], "fact_market_daily"):
+        tables.write_table(house.read(table).limit(0), house.path(table))
+    refresh_warehouse(case.spark, raw, house.root, last, last, ingested_at="landed_at")
+    return house.read("fact_market_daily")
+
+
 # Relations between tables -------------------------------------------------
 
+def _thinned(silver: DataFrame) -> DataFrame:
+    """Silver without every fifth day of one pair and without the first days of another."""
+    day = F.dayofmonth("rate_date")
+    gap = (F.col("symbol") == "BTC_USDT") & (day % 5 == 0)
+    unlisted = (F.col("symbol") == "ETH_USDT") & (day < 4)
+    return silver.where(~gap & ~unlisted)
+
+
 @query
 def fk_orphans(case: Case) -> DataFrame:
-    return quality.orphan_report(case.silver, case.exchanges, case.symbols, case.datetimes)
+    """Silver against dimensions that each lack some of their members."""
+    return quality.orphan_report(
+        case.silver,
+        case.exchanges.where(F.col("exchange_name") != C.POLONIEX),
+        case.symbols.where(F.col("symbol_name") != "LINK_USDT"),
+        case.datetimes.where(F.col("hour") != 3),
+    )
 
 
 @query
@@ -394,17 +475,26 @@ def key_duplicates(case: Case) -> DataFrame:
 
 @query
 def date_gaps(case: Case) -> DataFrame:
-    return quality.gap_report(case.silver, case.profile)
+    return quality.gap_report(_thinned(case.silver), case.profile)
 
 
 @query
 def hour_completeness(case: Case) -> DataFrame:
-    return quality.hour_completeness(case.silver, case.profile)
+    thinned = _thinned(case.silver)
+    return quality.hour_completeness(thinned, staged(dims.series_profile(thinned), "profile"))
+
+
+@query
+def hour_completeness_summary(case: Case) -> DataFrame:
+    return quality.hour_summary(hour_completeness(case))
 
 
 @query
 def daily_equals_hourly(case: Case) -> DataFrame:
-    return quality.reconcile_report(case.hourly, case.daily)
+    """The hourly fact against a daily one with a changed volume on one day of the month and without another."""
+    day, volume = F.dayofmonth("date_id"), F.col("volume")
+    altered = case.daily.where(day != 11).withColumn("volume", F.when(day == 10, volume + 1).otherwise(volume))
+    return quality.reconcile_report(case.hourly, altered)
 
 
 # Metrics ------------------------------------------------------------------

@@ -85,6 +85,20 @@ calendar AS (SELECT CAST(d AS DATE) AS day
              FROM bounds, generate_series(CAST(first_day AS TIMESTAMP), CAST(last_day AS TIMESTAMP), INTERVAL 1 DAY) AS g(d)),
 hours AS (SELECT h AS hour FROM bounds, generate_series(first_hour, last_hour, INTERVAL 1 HOUR) AS g(h))"""
 
+_THINNED = """,
+thinned AS (
+  SELECT * FROM silver
+  WHERE NOT (symbol = 'BTC_USDT' AND day(rate_date) % 5 = 0) AND NOT (symbol = 'ETH_USDT' AND day(rate_date) < 4))"""
+
+_COMPLETE = _THINNED + """,
+complete AS (
+  SELECT s.exchange, s.symbol, c.day AS rate_date, CAST(COUNT(x.open_time) AS BIGINT) AS hours,
+         CAST(24 AS INTEGER) AS expected_hours, CAST(24 - COUNT(x.open_time) AS BIGINT) AS missing_hours
+  FROM (SELECT exchange, symbol, MIN(rate_date) AS listed FROM thinned GROUP BY ALL) s
+  JOIN calendar c ON c.day BETWEEN s.listed AND (SELECT MAX(rate_date) FROM thinned)
+  LEFT JOIN thinned x ON x.exchange = s.exchange AND x.symbol = s.symbol AND x.rate_date = c.day
+  GROUP BY s.exchange, s.symbol, c.day)"""
+
 _BRONZE_COLUMNS = """close, close_time_ms, high, "interval", low, open, open_time_ms, symbol,
        trade_count, volume, ingested_at, rate_date"""
 
@@ -188,8 +202,18 @@ FROM bronze GROUP BY symbol"""),
 SELECT MIN(rate_date) AS min_date, MAX(rate_date) AS max_date, CAST(COUNT(*) AS BIGINT) AS total_rows,
        CAST(COUNT(DISTINCT rate_date) AS BIGINT) AS distinct_dates,
        CAST(COUNT(DISTINCT symbol) AS BIGINT) AS distinct_symbols FROM bronze"""),
-    "bronze_required_fields": _with(_CANDLES, _rules(
-        "bronze", [(f"missing_{f}", "report", f"{f} IS NULL") for f in _REQUIRED])),
+    "bronze_required_fields": _with(_CANDLES + """,
+holes AS (
+  SELECT """ + ", ".join(f"CASE WHEN hr <> {at} THEN {f} END AS {f}" for at, f in enumerate(_REQUIRED)) + """
+  FROM (SELECT *, EXTRACT(hour FROM make_timestamp(open_time_ms * 1000)) AS hr FROM bronze))""", _rules(
+        "holes", [(f"missing_{f}", "report", f"{f} IS NULL") for f in _REQUIRED])),
+    "bronze_rejected": _with(_CANDLES, """
+SELECT exchange, CASE day(ingested_at) WHEN 4 THEN 'missing_payload' WHEN 5 THEN 'empty_payload' ELSE 'unreadable_payload' END AS reason,
+       CAST(COUNT(DISTINCT (symbol, ingested_at)) AS BIGINT) AS items
+FROM bronze WHERE day(ingested_at) IN (4, 5, 6) GROUP BY ALL
+UNION ALL
+SELECT exchange, CASE day(ingested_at) WHEN 7 THEN 'unreadable_open_time' ELSE 'kept' END, CAST(COUNT(*) AS BIGINT)
+FROM bronze WHERE day(ingested_at) NOT IN (4, 5, 6) GROUP BY ALL"""),
     "bronze_partition_inventory": "SELECT DISTINCT CAST(ts AS DATE) AS rate_date FROM events",
     "bronze_missing_days": """
 SELECT CAST(d AS DATE) AS rate_date
@@ -266,7 +290,14 @@ FROM silver GROUP BY exchange, symbol"""),
     "fact_market_hourly": _with(_HOURLY, f"""
 SELECT symbol_id, exchange_id, datetime_id, {_FACT_PRICES}, trade_count,
        CAST(ROUND(variation_1h_pct, 6) AS DOUBLE) AS variation_1h_pct, close_time, ingested_at FROM hourly"""),
-    "fact_hourly_quality": _with(_HOURLY, """
+    "fact_hourly_quality": _with(_HOURLY + """,
+faulty AS (
+  SELECT CASE WHEN h <> 0 THEN open_price END AS open_price,
+         CASE WHEN h = 6 THEN low_price - 1 WHEN h <> 1 THEN high_price END AS high_price,
+         CASE WHEN h = 7 THEN high_price + 1 WHEN h <> 2 THEN low_price END AS low_price,
+         CASE WHEN h <> 3 THEN close_price END AS close_price,
+         CASE WHEN h = 5 THEN 0 WHEN h <> 4 THEN volume END AS volume
+  FROM (SELECT *, hour(datetime_id) AS h FROM hourly))""", """
 SELECT CAST(COUNT(*) AS BIGINT) AS total_rows,
        CAST(COUNT(*) - COUNT(open_price) AS BIGINT) AS null_open, CAST(COUNT(*) - COUNT(high_price) AS BIGINT) AS null_high,
        CAST(COUNT(*) - COUNT(low_price) AS BIGINT) AS null_low, CAST(COUNT(*) - COUNT(close_price) AS BIGINT) AS null_close,
@@ -276,7 +307,7 @@ SELECT CAST(COUNT(*) AS BIGINT) AS total_rows,
        CAST(COUNT(*) FILTER (WHERE high_price < close_price) AS BIGINT) AS invalid_high_close,
        CAST(COUNT(*) FILTER (WHERE low_price > open_price) AS BIGINT) AS invalid_low_open,
        CAST(COUNT(*) FILTER (WHERE low_price > close_price) AS BIGINT) AS invalid_low_close
-FROM hourly"""),
+FROM faulty"""),
     "fact_hourly_summary": _with(_HOURLY, """
 SELECT CAST(COUNT(*) AS BIGINT) AS total_records, CAST(COUNT(DISTINCT exchange_id) AS BIGINT) AS distinct_exchanges,
        CAST(COUNT(DISTINCT symbol_id) AS BIGINT) AS distinct_symbols,
@@ -292,37 +323,46 @@ SELECT CAST(COUNT(*) AS BIGINT) AS total_records, CAST(COUNT(DISTINCT exchange_i
        CAST(ROUND(AVG((close_price - prev_close) / NULLIF(prev_close, 0) * 100), 2) AS DOUBLE) AS avg_variation_prev_day
 FROM daily"""),
     "daily_prev_gap": _with(_DAILY, """
-SELECT exchange_id, symbol_id, date_id, CAST(datediff('day', prev_date, date_id) AS INTEGER) AS prev_date_gap_days
-FROM daily"""),
-    "warehouse_refresh": _with(_DAILY, f"SELECT {_DAILY_COLUMNS} FROM daily"),
+SELECT exchange_id, symbol_id, date_id,
+       CAST(datediff('day', LAG(date_id) OVER (PARTITION BY exchange_id, symbol_id ORDER BY date_id), date_id) AS INTEGER) AS prev_date_gap_days
+FROM daily WHERE day(date_id) % 5 <> 0"""),
+    **{name: _with(_DAILY, f"SELECT {_DAILY_COLUMNS} FROM daily") for name in (
+        "warehouse_refresh", "refresh_subset", "refresh_with_corrections", "refresh_after_break")},
 
-    "fk_orphans": _with(_SILVER + _BOUNDS, """
+    "fk_orphans": _with(_SILVER, """
 SELECT 'dim_exchange' AS dimension, CAST(COUNT(DISTINCT exchange) AS BIGINT) AS orphan_values, CAST(COUNT(*) AS BIGINT) AS orphan_rows
-FROM silver WHERE exchange NOT IN ('binance', 'poloniex')
+FROM silver WHERE exchange NOT IN (SELECT exchange FROM silver WHERE exchange <> 'poloniex')
 UNION ALL
-SELECT 'dim_symbol', COUNT(DISTINCT symbol), COUNT(*) FROM silver WHERE symbol IS NULL
+SELECT 'dim_symbol', COUNT(DISTINCT symbol), COUNT(*) FROM silver
+WHERE symbol NOT IN (SELECT symbol FROM silver WHERE symbol <> 'LINK_USDT')
 UNION ALL
-SELECT 'dim_datetime', COUNT(DISTINCT open_time), COUNT(*) FROM silver WHERE open_time NOT IN (SELECT hour FROM hours)"""),
-    "key_duplicates": _with(_SILVER, """
-SELECT 'silver_twice' AS table_name, CAST(COUNT(*) AS BIGINT) AS duplicate_keys, CAST(COUNT(*) AS BIGINT) AS surplus_rows
-FROM silver WHERE exchange = 'binance'
-UNION ALL SELECT 'fact_market_hourly', 0, 0
-UNION ALL SELECT 'fact_market_daily', 0, 0"""),
-    "date_gaps": _with(_SILVER + _BOUNDS, """
+SELECT 'dim_datetime', COUNT(DISTINCT open_time), COUNT(*) FROM silver
+WHERE open_time NOT IN (SELECT open_time FROM silver WHERE hour(open_time) <> 3)"""),
+    "key_duplicates": _with(_DAILY + """,
+counted AS (
+  SELECT 'silver_twice' AS table_name, COUNT(*) AS n
+  FROM (FROM silver UNION ALL FROM silver WHERE exchange = 'binance') GROUP BY exchange, symbol, open_time
+  UNION ALL SELECT 'fact_market_hourly', COUNT(*) FROM hourly GROUP BY exchange_id, symbol_id, datetime_id
+  UNION ALL SELECT 'fact_market_daily', COUNT(*) FROM daily GROUP BY exchange_id, symbol_id, date_id)""", """
+SELECT table_name, CAST(COUNT(*) FILTER (WHERE n > 1) AS BIGINT) AS duplicate_keys, CAST(SUM(n - 1) AS BIGINT) AS surplus_rows
+FROM counted GROUP BY table_name"""),
+    "date_gaps": _with(_SILVER + _BOUNDS + _THINNED, """
 SELECT exchange, symbol, CAST(ANY_VALUE(n) AS BIGINT) AS calendar_days,
        CAST(ANY_VALUE(n) - COUNT(DISTINCT rate_date) AS BIGINT) AS missing_days
-FROM silver, (SELECT COUNT(*) AS n FROM calendar) GROUP BY exchange, symbol"""),
-    "hour_completeness": _with(_SILVER + _BOUNDS, """
-SELECT s.exchange, s.symbol, c.day AS rate_date, CAST(COUNT(x.open_time) AS BIGINT) AS hours,
-       CAST(24 AS INTEGER) AS expected_hours, CAST(24 - COUNT(x.open_time) AS BIGINT) AS missing_hours
-FROM (SELECT DISTINCT exchange, symbol FROM silver) s CROSS JOIN calendar c
-LEFT JOIN silver x ON x.exchange = s.exchange AND x.symbol = s.symbol AND x.rate_date = c.day
-GROUP BY s.exchange, s.symbol, c.day"""),
-    "daily_equals_hourly": _with(_DAILY, """
+FROM thinned, (SELECT COUNT(*) AS n FROM calendar) GROUP BY exchange, symbol"""),
+    "hour_completeness": _with(_SILVER + _BOUNDS + _COMPLETE, "SELECT * FROM complete"),
+    "hour_completeness_summary": _with(_SILVER + _BOUNDS + _COMPLETE, """
+SELECT exchange, symbol, CAST(COUNT(*) AS BIGINT) AS days, CAST(COUNT(*) FILTER (WHERE hours = 24) AS BIGINT) AS complete_days,
+       CAST(24 * COUNT(*) - SUM(hours) AS BIGINT) AS missing_hours
+FROM complete GROUP BY exchange, symbol"""),
+    "daily_equals_hourly": _with(_DAILY + """,
+altered AS (
+  SELECT symbol_id, exchange_id, date_id, trade_count, CASE WHEN day(date_id) = 10 THEN volume + 1 ELSE volume END AS volume
+  FROM daily WHERE day(date_id) <> 11)""", """
 SELECT CAST(COUNT(*) AS BIGINT) AS compared_keys,
        CAST(COUNT(*) FILTER (WHERE h.v IS DISTINCT FROM d.volume OR h.t IS DISTINCT FROM d.trade_count) AS BIGINT) AS mismatched_keys
-FROM daily d FULL JOIN (SELECT symbol_id, exchange_id, CAST(datetime_id AS DATE) AS date_id, SUM(volume) AS v, SUM(trade_count) AS t
-                        FROM hourly GROUP BY ALL) h
+FROM altered d FULL JOIN (SELECT symbol_id, exchange_id, CAST(datetime_id AS DATE) AS date_id, SUM(volume) AS v, SUM(trade_count) AS t
+                          FROM hourly GROUP BY ALL) h
   ON h.symbol_id = d.symbol_id AND h.exchange_id = d.exchange_id AND h.date_id = d.date_id"""),
 
     "current_price": _with(_DAILY, """
