@@ -152,6 +152,10 @@ def test_gaps_and_completeness(spark):
     short = rows(quality.hour_completeness(source, profile).where("missing_hours > 0"), "symbol", "rate_date", "missing_hours")
     assert [(s, d.day, n) for s, d, n in short] == [
         ("BTC_USDT", 3, 24), ("ETH_USDT", 1, 23), ("ETH_USDT", 2, 24), ("ETH_USDT", 3, 24), ("ETH_USDT", 4, 24)]
+    listed_late = silver.usable(bronze(spark, made[24:48] + [bronze_row("2024-01-04 00:00:00", symbol="ETHUSDT")]))
+    own_days = quality.hour_completeness(listed_late, dims.series_profile(listed_late))
+    assert rows(quality.hour_summary(own_days), "symbol", "days", "complete_days", "missing_hours") == [
+        ("BTC_USDT", 3, 1, 48), ("ETH_USDT", 1, 0, 23)]
 
 
 def test_duplicates(spark):

@@ -152,15 +152,54 @@ def test_daily_facts_survive_a_write_that_breaks_off(spark, tmp_path, monkeypatc
     whole = stored(spark, tmp_path)
     real = refresh.tables.write_table
 
-    def breaks(df, path, by=None):
+    def breaks(df, path, by="rate_date"):
         if path.endswith("fact_market_daily"):
             real(df.limit(0), path, by)  # what a dying overwrite leaves
             raise OSError("lost")
-        return real(df, path, by)
+        return partly(df, path, by)
 
-    monkeypatch.setattr(refresh.tables, "write_table", breaks)
+    partly = refresh.tables.write_partitions
+    monkeypatch.setattr(refresh.tables, "write_partitions", breaks)
     with pytest.raises(OSError):
         refresh_warehouse(spark, raw, str(tmp_path), day(3), day(3), ingested_at=LOADED)
     monkeypatch.undo()
     refresh_warehouse(spark, raw, str(tmp_path), day(3), day(3), ingested_at=LOADED)
     assert stored(spark, tmp_path) == whole
+
+
+def files_of(root, table):
+    return {p: p.stat().st_mtime_ns for p in (root / table).rglob("*.parquet")}
+
+
+def test_one_day_leaves_the_other_days_files_alone(spark, tmp_path):
+    raw = grid(spark, 4, ("BTC",)).cache()
+    late = raw.where("landed_at = TIMESTAMP'2024-01-03'").withColumn(  # the second day, corrected
+        "payload", F.regexp_replace("payload", r'"(\d+)","(\d+)","(\d+)","\d+","1\.5"', '"$1","$2","$3","$1","1.5"'))
+    refresh_warehouse(spark, raw, str(tmp_path / "a"), day(1), day(4), ingested_at=LOADED)
+    before = files_of(tmp_path / "a", "fact_market_daily")
+    refresh_warehouse(spark, late, str(tmp_path / "a"), day(2), day(2), ingested_at=LOADED)
+    kept = {p.parent.name for p in files_of(tmp_path / "a", "fact_market_daily").keys() & before.keys()}
+    assert kept == {"date_id=2024-01-01", "date_id=2024-01-04"}
+    changed = raw.where("landed_at <> TIMESTAMP'2024-01-03'").unionByName(late)
+    refresh_warehouse(spark, changed, str(tmp_path / "b"), day(1), day(4), ingested_at=LOADED)
+    assert stored(spark, tmp_path / "a") == stored(spark, tmp_path / "b")
+
+
+def test_a_series_with_gaps_gets_its_own_next_day(spark, tmp_path):
+    raw = grid(spark, 4, ("BTC", "ETH"))
+    raw = raw.where("NOT (symbol LIKE 'ETH%' AND landed_at IN (TIMESTAMP'2024-01-03', TIMESTAMP'2024-01-04'))").cache()
+    for n in (1, 3, 4, 2):
+        refresh_warehouse(spark, raw, str(tmp_path / "a"), day(n), day(n), ingested_at=LOADED)
+    refresh_warehouse(spark, raw, str(tmp_path / "b"), day(1), day(4), ingested_at=LOADED)
+    assert stored(spark, tmp_path / "a") == stored(spark, tmp_path / "b")
+
+
+def test_a_wholly_rejected_day_leaves_silver_and_facts(spark, tmp_path):
+    raw = grid(spark, 3, ("BTC",)).cache()
+    refresh_warehouse(spark, raw, str(tmp_path / "a"), day(1), day(3), ingested_at=LOADED)
+    bad = raw.withColumn("payload", F.regexp_replace("payload", r'"1\.5"', '"many"'))
+    got = refresh_warehouse(spark, bad, str(tmp_path / "a"), day(2), day(2), ingested_at=LOADED)
+    assert got["silver_rejected"] == 48 and got["silver_hourly"] == 0
+    others = raw.where("landed_at <> TIMESTAMP'2024-01-03'")
+    refresh_warehouse(spark, others, str(tmp_path / "b"), day(1), day(3), ingested_at=LOADED)
+    assert stored(spark, tmp_path / "a") == stored(spark, tmp_path / "b")

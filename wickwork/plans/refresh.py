@@ -19,7 +19,7 @@ from wickwork.operators import dims, facts, quality, silver
 from wickwork.operators.latest import dedupe_latest, latest_known
 from wickwork.session import pin_utc, staged
 from wickwork.sources import tables
-from wickwork.sources.candles import LAYOUTS, load_days, require_rows, set_aside
+from wickwork.sources.candles import LAYOUTS, EmptyLoad, load_days, set_aside
 
 log = logging.getLogger(__name__)
 
@@ -42,7 +42,8 @@ class Warehouse:
         """The table, or None before its first write."""
         name = table.removeprefix("fact_keys_")
         schema = schemas.BRONZE if name.startswith("bronze_") else schemas.STORED.get(name)
-        return tables.read_table(self.spark, self.path(table), schema)
+        found = tables.read_table(self.spark, self.path(table), schema)
+        return found if found is None or schema is None else found.select(*schema.names)
 
     def read(self, table: str) -> DataFrame:
         found = self.find(table)
@@ -79,23 +80,33 @@ def load_bronze(
     for exchange, layout in LAYOUTS.items():
         wanted = (symbols or {}).get(exchange)
         days = load_days(raw, layout, start, end, wanted, ingested_at)
-        require_rows(days, f"{exchange} {start}..{end}")
         table = f"bronze_{exchange}"
         if wanted:
             rows[table] = tables.merge_days(days, house.path(table), BRONZE_KEY)
         else:
             rows[table] = tables.write_partitions(days, house.path(table))
+        if not rows[table]:
+            raise EmptyLoad(f"no rows for {exchange} {start}..{end}")
     return rows
 
 
+def _clear(house: Warehouse, table: str, by: str, start: dt.date, end: dt.date, present: set[dt.date]) -> None:
+    """Empty the table's days of the range that should have no rows any more."""
+    stored = house.find(table)
+    if stored is not None:
+        gone = tables.days_held(stored, by, start, end) - present
+        tables.empty_days(stored, house.path(table), gone, by)
+
+
 def refresh_silver(house: Warehouse, start: dt.date, end: dt.date) -> dict[str, int]:
     """Type and check the days, stop on a failed gate, then replace them in silver.
 
     Only the latest version of each candle is judged: what a correction has replaced
     cannot stop a run.
 
-    Two passes over the days' bronze: all counts, then the write. Rows that cannot be
-    typed cost a third one, only when there are any.
+    A day of which no row is left leaves silver, and later the facts. Two passes over the
+    days' bronze: all counts, then the write. Rows that cannot be typed cost two more, only
+    when there are any.
     """
     bronze = latest_known(silver.unify({
         exchange: _days(house.read(f"bronze_{exchange}"), "rate_date", start, end)
@@ -108,20 +119,14 @@ def refresh_silver(house: Warehouse, start: dt.date, end: dt.date) -> dict[str,
     good, aside = silver.to_silver(bronze)
     latest = dedupe_latest(good, silver.SILVER_KEY)
     written = tables.write_partitions(latest, house.path("silver_hourly"))
-    _replace_rejects(house, aside, start, end, counts["rejected"])
+    bad_days = tables.days_held(aside, "rate_date", start, end) if counts["rejected"] else set()
+    if bad_days:
+        _clear(house, "silver_hourly", "rate_date", start, end, tables.days_held(good, "rate_date", start, end))
+        tables.write_partitions(aside, house.path("silver_rejected"))
+    _clear(house, "silver_rejected", "rate_date", start, end, bad_days)
     return {"silver_hourly": written, "silver_rejected": counts["rejected"]}
 
 
-def _replace_rejects(house: Warehouse, aside: DataFrame, start: dt.date, end: dt.date, rows: int) -> None:
-    """Rejected rows of the days replace earlier ones, also when none are left."""
-    stored = house.find("silver_rejected")
-    if stored is None and not rows:
-        return
-    if stored is not None:
-        aside = staged(aside.unionByName(_other_days(stored, "rate_date", start, end)), "rejected")
-    tables.write_table(aside, house.path("silver_rejected"))
-
-
 def refresh_dims(house: Warehouse, start: dt.date, end: dt.date) -> None:
     """Rebuild the four dimensions.
 
@@ -130,6 +135,7 @@ def refresh_dims(house: Warehouse, start: dt.date, end: dt.date) -> None:
     """
     rows = _days(house.read("silver_hourly"), "rate_date", start, end)
     tables.write_partitions(dims.series_days(rows), house.path("series_days"))
+    _clear(house, "series_days", "rate_date", start, end, tables.days_held(rows, "rate_date", start, end))
     profile = staged(dims.profile_of_days(house.read("series_days")), "profile")
     tables.write_table(dims.exchange_dim(profile), house.path("dim_exchange"))
     tables.write_table(dims.symbol_dim(profile), house.path("dim_symbol"))
@@ -146,35 +152,71 @@ def _facts_use_current_keys(house: Warehouse) -> bool:
     return True
 
 
+def _neighbours(house: Warehouse, start: dt.date, end: dt.date) -> DataFrame:
+    """Each series' last day with data before the range, and its first one after it.
+
+    They come from the summary with one small row per series and day.
+    """
+    day = F.col("rate_date")
+    series = house.read("series_days").groupBy("exchange", "symbol").agg(
+        F.max(F.when(day < F.lit(start), day)).alias("before"),
+        F.min(F.when(day > F.lit(end), day)).alias("after"),
+    )
+    exchanges, symbols = (house.read(t) for t in KEYED)
+    return series.join(exchanges, series["exchange"] == exchanges["exchange_name"]).join(
+        symbols, series["symbol"] == symbols["symbol_name"]
+    ).select(*facts.SERIES, "before", "after")
+
+
+def _daily_days(house: Warehouse, start: dt.date, end: dt.date) -> DataFrame:
+    """The days' daily facts, and the later days whose variation depends on them.
+
+    Of the stored daily fact, only partitions with a series' neighbouring day are read.
+    On a later one, the rows that directly follow the range get a new variation, the
+    others stay as they are.
+    """
+    near = staged(_neighbours(house, start, end), "neighbours")
+    dates = [r.day for r in near.select(F.explode(F.array_compact(F.array("before", "after"))).alias("day"))
+             .distinct().collect()]  # no more than the calendar has
+    stored = house.read("fact_market_daily").where(F.col("date_id").isin(dates))
+    candles = facts.daily_candles(_days(house.read("fact_market_hourly"), "date_id", start, end))
+    fresh = facts.with_variations(candles.unionByName(stored.select(*candles.columns)))
+    inside = F.col("date_id").between(F.lit(start), F.lit(end))
+
+    follows = near.where("after IS NOT NULL").select(*facts.SERIES, F.col("after").alias("date_id"))
+    later = stored.where(F.col("date_id") > F.lit(end))
+    return fresh.where(inside).unionByName(
+        fresh.join(follows, facts.DAILY_KEY, "left_semi")
+    ).unionByName(later.join(follows, facts.DAILY_KEY, "left_anti"))
+
+
 def refresh_facts(house: Warehouse, start: dt.date, end: dt.date) -> dict[str, int]:
     """Hourly, then daily facts.
 
-    While keys keep their meaning, only the given days are computed from silver and
-    from the hourly table. The other days of the daily table are taken as stored,
-    and only the variations, at one row per series and day, are computed anew. The
-    record of the keys in use is emptied before a fact is touched and written last, so a
-    run that broke off anywhere in between is made good by the next, which builds anew.
+    While keys keep their meaning, only the given days are computed and written, and of
+    the daily fact the days that directly follow them in a series. The record of the keys
+    in use is emptied before a fact is touched and written last, so a run that broke off
+    anywhere in between is made good by the next, which builds anew.
     """
-    stored = house.find("fact_market_daily") if _facts_use_current_keys(house) else None
+    anew = not _facts_use_current_keys(house) or house.find("fact_market_daily") is None
     exchanges, symbols, datetimes = (house.read(t) for t in (*KEYED, "dim_datetime"))
     for name, dim in zip(KEYED, (exchanges, symbols)):
         tables.write_table(dim.limit(0), house.path(f"fact_keys_{name}"))
 
-    def wanted(df: DataFrame, by: str) -> DataFrame:
-        return df if stored is None else _days(df, by, start, end)
-
-    rows = wanted(house.read("silver_hourly"), "rate_date")
-    hourly = facts.hourly_fact(rows, exchanges, symbols, datetimes)
-    by_day = hourly.withColumn("date_id", F.to_date("datetime_id"))
-    write = tables.write_table if stored is None else tables.write_partitions
-    hourly_rows = write(by_day, house.path("fact_market_hourly"), "date_id")
-
-    daily = facts.daily_candles(wanted(house.read("fact_market_hourly"), "date_id"))
-    if stored is not None:
-        others = _other_days(stored, "date_id", start, end)
-        daily = daily.unionByName(others.select(*daily.columns))
-    complete = staged(facts.with_variations(daily), "daily")
-    daily_rows = tables.write_table(complete, house.path("fact_market_daily"))
+    silver_rows = house.read("silver_hourly")
+    write = tables.write_table if anew else tables.write_partitions
+    hourly = facts.hourly_fact(
+        silver_rows if anew else _days(silver_rows, "rate_date", start, end), exchanges, symbols, datetimes
+    ).withColumn("date_id", F.to_date("datetime_id"))
+    hourly_rows = write(hourly, house.path("fact_market_hourly"), "date_id")
+    present = tables.days_held(silver_rows, "rate_date", start, end)
+    if not anew:
+        _clear(house, "fact_market_hourly", "date_id", start, end, present)
+
+    daily = facts.daily_fact(house.read("fact_market_hourly")) if anew else staged(_daily_days(house, start, end), "daily")
+    daily_rows = write(daily, house.path("fact_market_daily"), "date_id")
+    if not anew:
+        _clear(house, "fact_market_daily", "date_id", start, end, present)
     for name, dim in zip(KEYED, (exchanges, symbols)):
         tables.write_table(dim, house.path(f"fact_keys_{name}"))
     return {"fact_market_hourly": hourly_rows, "fact_market_daily": daily_rows}

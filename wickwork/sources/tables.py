@@ -53,6 +53,18 @@ def write_partitions(df: DataFrame, path: str, by: str = "rate_date") -> int:
     return _write(df, path, by, "dynamic")
 
 
+def days_held(df: DataFrame, by: str, start: dt.date, end: dt.date) -> set[dt.date]:
+    """Days of the range that have rows; no more than the calendar has."""
+    return {row[by] for row in df.where(F.col(by).between(F.lit(start), F.lit(end))).select(by).distinct().collect()}
+
+
+def empty_days(stored: DataFrame, path: str, days: set[dt.date], by: str = "rate_date") -> None:
+    """Leave the given days of a stored table without rows. Other days are not touched."""
+    none = stored.sparkSession.createDataFrame([], stored.drop(by).schema)
+    for day in sorted(days):
+        none.write.mode("overwrite").parquet(f"{path}/{by}={day}")
+
+
 def merge_days(df: DataFrame, path: str, keys: list[str], by: str = "rate_date") -> int:
     """Add late rows to days that are already stored; the later load of a key wins.
 
