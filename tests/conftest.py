@@ -19,7 +19,7 @@ def spark(tmp_path_factory):
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="4g",
         # Many small jobs: quick compilation counts for more than the fastest code.
-        spark__driver__extraJavaOptions="-XX:TieredStopAtLevel=1 -XX:+UseParallelGC",
+        spark__driver__extraJavaOptions="-XX:TieredStopAtLevel=1 -XX:ReservedCodeCacheSize=512m -XX:+UseParallelGC",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("tables")),
     )

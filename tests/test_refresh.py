@@ -62,22 +62,90 @@ def test_day_by_day_equals_all_at_once(spark, tmp_path):
     assert stored(spark, tmp_path / "daily") == stored(spark, tmp_path / "once")
 
 
-def test_new_symbol_moves_keys_even_when_a_run_breaks_off(spark, tmp_path, monkeypatch):
+def test_new_symbol_follows_the_stored_ones_even_when_a_run_breaks_off(spark, tmp_path, monkeypatch):
     from wickwork.plans import refresh
 
     raw = grid(spark, 2, ("AAA", "BTC")).cache()
-    root, both = str(tmp_path / "a"), symbols("AAA", "BTC")
+    root, both = str(tmp_path), symbols("AAA", "BTC")
     refresh_warehouse(spark, raw, root, day(1), day(1), symbols("BTC"), LOADED)
+    first = files_of(tmp_path, "fact_market_hourly")
     with monkeypatch.context() as broken:
         broken.setattr(refresh, "refresh_facts", lambda *a: 1 / 0)
         with pytest.raises(ZeroDivisionError):
-            refresh_warehouse(spark, raw, root, day(1), day(1), both, LOADED)
+            refresh_warehouse(spark, raw, root, day(2), day(2), both, LOADED)
     refresh_warehouse(spark, raw, root, day(2), day(2), both, LOADED)
-    refresh_warehouse(spark, raw, str(tmp_path / "b"), day(1), day(2), both, LOADED)
-    got = stored(spark, root)
-    assert got == stored(spark, tmp_path / "b")
-    assert got["dim_symbol"] == [(1, "AAA_USDT"), (2, "BTC_USDT")]
-    assert len(got["fact_market_daily"]) == 8
+    assert stored(spark, root)["dim_symbol"] == [(1, "BTC_USDT"), (2, "AAA_USDT")]
+    kept = files_of(tmp_path, "fact_market_hourly")
+    assert all(kept.get(p) == at for p, at in first.items())  # the first day's files are the same
+    refresh_warehouse(spark, raw, root, day(1), day(1), both, LOADED)
+
+    def by_name():
+        house = Warehouse(spark, root)
+        return rows(house.read("fact_market_daily").join(house.read("dim_symbol"), "symbol_id"),
+                    "symbol_name", "exchange_id", "date_id", "close_price", "variation_prev_day_pct")
+
+    got = by_name()
+    root = str(tmp_path / "once")
+    refresh_warehouse(spark, raw, root, day(1), day(2), both, LOADED)
+    assert got == by_name() and len(got) == 8
+
+
+def test_lost_dimension_makes_the_facts_anew(spark, tmp_path):
+    from wickwork.sources.tables import write_table
+
+    raw = grid(spark, 2, ("AAA", "BTC")).cache()
+    house = Warehouse(spark, str(tmp_path))
+    refresh_warehouse(spark, raw, house.root, day(1), day(1), symbols("BTC"), LOADED)
+    refresh_warehouse(spark, raw, house.root, day(1), day(1), ingested_at=LOADED)
+    write_table(house.read("dim_symbol").limit(0), house.path("dim_symbol"))  # what a dying overwrite leaves
+    refresh_warehouse(spark, raw, house.root, day(2), day(2), ingested_at=LOADED)
+    refresh_warehouse(spark, raw, str(tmp_path / "once"), day(1), day(2), ingested_at=LOADED)
+    assert stored(spark, tmp_path) == stored(spark, tmp_path / "once")
+
+
+def test_without_days_yesterday_is_loaded(spark, tmp_path):
+    from wickwork.sources.candles import previous_day
+
+    yesterday = previous_day()
+    raw = grid(spark, 3, ("BTC",), start=str(yesterday - dt.timedelta(days=1)))
+    refresh_warehouse(spark, raw, str(tmp_path), ingested_at=LOADED)
+    assert {r[-1] for r in rows(Warehouse(spark, str(tmp_path)).read("silver_hourly").select("rate_date"))} <= {
+        yesterday, yesterday + dt.timedelta(days=1)}  # midnight may pass meanwhile
+
+
+def checks(spark, root, **wanted):
+    lines = Warehouse(spark, str(root)).read("checks").where(" AND ".join(f"{k} = '{v}'" for k, v in wanted.items()))
+    return rows(lines, "rule", "subject", "total_rows", "violations")
+
+
+def test_checks_of_a_run_are_stored_by_its_last_day(spark, tmp_path):
+    raw = grid(spark, 4, ("BTC",)).where("NOT (symbol = 'BTCUSDT' AND landed_at = TIMESTAMP'2024-01-04')").cache()
+    refresh_warehouse(spark, raw, str(tmp_path), day(1), day(3), ingested_at=LOADED)
+    refresh_warehouse(spark, raw, str(tmp_path), day(4), day(4), ingested_at=LOADED)
+    assert [v for *_, v in checks(spark, tmp_path, rule="missing_day", last_day="2024-01-03")] == [1, 0]
+    assert checks(spark, tmp_path, rule="missing_day", last_day="2024-01-04") == [
+        ("missing_day", "bronze_binance", 1, 0), ("missing_day", "bronze_poloniex", 1, 0)]
+    assert checks(spark, tmp_path, rule="series_gap", last_day="2024-01-04") == [("series_gap", "silver_hourly", 8, 1)]
+    assert checks(spark, tmp_path, rule="missing_hour", last_day="2024-01-03") == [("missing_hour", "silver_hourly", 144, 24)]
+    assert checks(spark, tmp_path, rule="missing_hour", last_day="2024-01-04") == [("missing_hour", "silver_hourly", 48, 0)]
+
+
+def test_checks_see_altered_tables_and_stop_on_repeated_keys(spark, tmp_path):
+    from wickwork.plans.refresh import refresh_checks
+    from wickwork.session import staged
+    from wickwork.sources.tables import write_table
+
+    house = Warehouse(spark, str(tmp_path))
+    refresh_warehouse(spark, grid(spark, 1, ("BTC",)), house.root, day(1), day(1), ingested_at=LOADED)
+    daily = staged(house.read("fact_market_daily"), "daily")
+    write_table(daily.withColumn("volume", F.col("volume") + 1), house.path("fact_market_daily"), "date_id")
+    write_table(staged(house.read("dim_symbol"), "symbols").limit(0), house.path("dim_symbol"))
+    refresh_checks(house, day(1), day(1))
+    assert checks(spark, tmp_path, rule="daily_not_sum_of_hours") == [("daily_not_sum_of_hours", "fact_market_daily", 2, 2)]
+    assert checks(spark, tmp_path, rule="orphan", subject="dim_symbol") == [("orphan", "dim_symbol", 48, 48)]
+    write_table(daily.unionByName(daily), house.path("fact_market_daily"), "date_id")
+    with pytest.raises(quality.QualityError, match="duplicate_key: 2 of 4"):
+        refresh_checks(house, day(1), day(1))
 
 
 def test_empty_day_stops_the_run(spark, tmp_path):

@@ -46,22 +46,26 @@ def series_profile(silver: DataFrame) -> DataFrame:
     return profile_of_days(single)
 
 
-def key_dim(profile: DataFrame, source: str, key: str, name: str) -> DataFrame:
+def key_dim(profile: DataFrame, source: str, key: str, name: str, stored: DataFrame | None = None) -> DataFrame:
     """Distinct names with a surrogate key, numbered alphabetically from 1.
 
-    A name that is new and sorts first moves the keys after it, so facts must be
-    rebuilt together with their dimensions.
+    Members of a stored dimension keep their keys, also when they have no rows any more.
+    New names are numbered after its largest key, so facts that are stored stay valid.
     """
     names = profile.select(F.col(source).alias(name)).where(F.col(name).isNotNull()).distinct()
-    return number_names(names, name, key).select(key, name)
+    if stored is None:
+        return number_names(names, name, key).select(key, name)
+    largest = stored.agg(F.coalesce(F.max(key), F.lit(0)).alias(key)).scalar()
+    new = number_names(names.join(stored, name, "left_anti"), name, key)
+    return stored.select(key, name).unionByName(new.select((F.col(key) + largest).alias(key), name))
 
 
-def exchange_dim(profile: DataFrame) -> DataFrame:
-    return key_dim(profile, "exchange", "exchange_id", "exchange_name")
+def exchange_dim(profile: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    return key_dim(profile, "exchange", "exchange_id", "exchange_name", stored)
 
 
-def symbol_dim(profile: DataFrame) -> DataFrame:
-    return key_dim(profile, "symbol", "symbol_id", "symbol_name")
+def symbol_dim(profile: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    return key_dim(profile, "symbol", "symbol_id", "symbol_name", stored)
 
 
 def _months(bounds: DataFrame) -> DataFrame:

@@ -26,9 +26,9 @@ from wickwork.sources import candles as feed
 from wickwork.sources import tables
 from wickwork.sources.events import candles_from_events, landing_time, payloads_from_candles
 
-# Days that the queries with a date range use; the events cover January 2024.
-SLICE = (dt.date(2024, 1, 10), dt.date(2024, 1, 12))
-PERIOD = (dt.date(2024, 1, 1), dt.date(2024, 1, 31))
+# Where a range of days begins after the data's first day, and how long it is or how far it ends before the last.
+SLICE_FROM, SLICE_DAYS = dt.timedelta(days=9), dt.timedelta(days=2)
+PERIOD_MARGIN = dt.timedelta(days=5)
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -116,6 +116,15 @@ class Case:
         events = self.spark.read.parquet(f"{self.sf_dir}/events.parquet")
         return tuple(events.agg(F.min(day), F.max(day)).first())
 
+    def few_days(self) -> tuple[dt.date, dt.date]:
+        start = self.range_of_days()[0] + SLICE_FROM
+        return start, start + SLICE_DAYS
+
+    def period(self) -> tuple[dt.date, dt.date]:
+        """All days but the first and last few."""
+        first, last = self.range_of_days()
+        return first + PERIOD_MARGIN, last - PERIOD_MARGIN
+
 
 REGISTRY: dict[str, Callable[[Case], DataFrame]] = {}
 
@@ -144,13 +153,13 @@ def bronze_wide_poloniex(case: Case) -> DataFrame:
 
 @query
 def bronze_day_slice(case: Case) -> DataFrame:
-    return feed.load_days(case.raw, feed.BINANCE, *SLICE, ingested_at="landed_at")
+    return feed.load_days(case.raw, feed.BINANCE, *case.few_days(), ingested_at="landed_at")
 
 
 @query
 def bronze_symbol_subset(case: Case) -> DataFrame:
     return feed.load_days(
-        case.raw, feed.POLONIEX, *SLICE, symbols=["BTC_USDT", "ETH_USDT"], ingested_at="landed_at"
+        case.raw, feed.POLONIEX, *case.few_days(), symbols=["BTC_USDT", "ETH_USDT"], ingested_at="landed_at"
     )
 
 
@@ -441,6 +450,32 @@ def refresh_after_break(case: Case) -> DataFrame:
     return house.read("fact_market_daily")
 
 
+@query
+def refresh_new_pairs(case: Case) -> DataFrame:
+    """A refresh of some pairs, then one of all: first names keep their keys, others follow."""
+    house = Warehouse(case.spark, new_folder(case.spark, "warehouse"))
+    raw = staged(case.raw, "raw")
+    first, last = case.range_of_days()
+    some = {C.BINANCE: ["ETHUSDT", "SOLUSDT"], C.POLONIEX: ["ETH_USDT"]}
+    refresh_warehouse(case.spark, raw, house.root, first, first, some, "landed_at")
+    refresh_warehouse(case.spark, raw, house.root, first, last, ingested_at="landed_at")
+    return house.read("fact_market_daily")
+
+
+@query
+def refresh_checks(case: Case) -> DataFrame:
+    """The checks of a refresh: a day of one exchange, an hour of one pair and some fields are missing."""
+    house = Warehouse(case.spark, new_folder(case.spark, "warehouse"))
+    opened = F.timestamp_millis("open_time_ms")
+    day, hour = F.dayofmonth(opened), F.hour(opened)
+    holes = case.candles.where(
+        ~((F.col("exchange") == C.BINANCE) & (day == 11)) & ~((F.col("symbol") == "BTC_USDT") & (hour == 3))
+    ).withColumns({"open": F.when(hour != 9, F.col("open")), "volume": F.when(hour != 6, F.col("volume"))})
+    raw = staged(payloads_from_candles(holes), "raw")
+    refresh_warehouse(case.spark, raw, house.root, *case.range_of_days(), ingested_at="landed_at")
+    return house.read("checks")
+
+
 # Relations between tables -------------------------------------------------
 
 def _thinned(silver: DataFrame) -> DataFrame:
@@ -510,22 +545,22 @@ def current_price(case: Case) -> DataFrame:
 
 @query
 def accumulated_return(case: Case) -> DataFrame:
-    return _named(case, metrics.accumulated_return(metrics.in_period(case.daily, *PERIOD)))
+    return _named(case, metrics.accumulated_return(metrics.in_period(case.daily, *case.period())))
 
 
 @query
 def index_base_100(case: Case) -> DataFrame:
-    return _named(case, metrics.index_base_100(metrics.in_period(case.daily, *PERIOD)))
+    return _named(case, metrics.index_base_100(metrics.in_period(case.daily, *case.period())))
 
 
 @query
 def volume_traded(case: Case) -> DataFrame:
-    return _named(case, metrics.volume_traded(metrics.in_period(case.daily, *PERIOD)))
+    return _named(case, metrics.volume_traded(metrics.in_period(case.daily, *case.period())))
 
 
 @query
 def rank_by_return(case: Case) -> DataFrame:
-    return _named(case, metrics.rank_by_return(metrics.in_period(case.daily, *PERIOD))).select(
+    return _named(case, metrics.rank_by_return(metrics.in_period(case.daily, *case.period()))).select(
         "return_rank", "exchange_name", "symbol_name", "return_pct"
     )
 
@@ -538,13 +573,13 @@ def data_available_until(case: Case) -> DataFrame:
 @query
 def cross_exchange_price(case: Case) -> DataFrame:
     return metrics.cross_exchange_price(
-        case.daily, case.dates, case.exchanges, case.symbols, "BTC_USDT", *PERIOD
+        case.daily, case.dates, case.exchanges, case.symbols, "BTC_USDT", *case.period()
     )
 
 
 @query
 def top_volatile_days(case: Case) -> DataFrame:
-    return metrics.top_volatile(case.daily, case.dates, case.exchanges, case.symbols, 5, *PERIOD)
+    return metrics.top_volatile(case.daily, case.dates, case.exchanges, case.symbols, 5, *case.period())
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """SQL with the meaning of each contract query, for DuckDB over the same tables.
 
 The statements are written from the definitions, in another shape than the Spark
-queries where there is a choice: first and last candles by ROW_NUMBER, surrogate
+queries where there is a choice: first and last candles from ordered lists, surrogate
 keys by DENSE_RANK over the rows themselves, calendars by recursion-free series.
 """
 
@@ -11,10 +11,9 @@ _CANDLES = """
 trades AS (
   SELECT CASE WHEN user_id % 2 = 0 THEN 'binance' ELSE 'poloniex' END AS exchange,
          CASE event_type WHEN 'click' THEN 'BTC' WHEN 'view' THEN 'ETH' WHEN 'purchase' THEN 'SOL'
-                         WHEN 'signup' THEN 'ADA' WHEN 'error' THEN 'LINK' END AS asset,
+                         WHEN 'signup' THEN 'ADA' WHEN 'error' THEN 'LINK' ELSE upper(event_type) END AS asset,
          date_trunc('hour', ts) AS hour, ts, event_id, value
-  FROM events
-  WHERE event_type IN ('click', 'view', 'purchase', 'signup', 'error')),
+  FROM events WHERE event_type IS NOT NULL),
 numbered AS (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY exchange, asset, hour ORDER BY ts, event_id) AS up,
             ROW_NUMBER() OVER (PARTITION BY exchange, asset, hour ORDER BY ts DESC, event_id DESC) AS down
@@ -58,21 +57,14 @@ hourly AS (
   FROM silver)"""
 
 _DAILY = _HOURLY + """,
-ordered AS (
-  SELECT *, CAST(datetime_id AS DATE) AS date_id,
-         ROW_NUMBER() OVER (PARTITION BY symbol_id, exchange_id, CAST(datetime_id AS DATE) ORDER BY datetime_id) AS first_no,
-         ROW_NUMBER() OVER (PARTITION BY symbol_id, exchange_id, CAST(datetime_id AS DATE) ORDER BY datetime_id DESC) AS last_no
-  FROM hourly),
-totals AS (
-  SELECT symbol_id, exchange_id, date_id, MAX(high_price) AS high_price, MIN(low_price) AS low_price,
+days AS (
+  SELECT symbol_id, exchange_id, symbol_name, exchange_name, CAST(datetime_id AS DATE) AS date_id,
+         list(open_price ORDER BY datetime_id)[1] AS open_price, list(close_price ORDER BY datetime_id)[-1] AS close_price,
+         list(close_time ORDER BY datetime_id)[-1] AS close_time,
+         MAX(high_price) AS high_price, MIN(low_price) AS low_price,
          CAST(SUM(volume) AS DECIMAL(28,8)) AS volume, CAST(SUM(trade_count) AS BIGINT) AS trade_count,
          MAX(ingested_at) AS ingested_at
-  FROM ordered GROUP BY symbol_id, exchange_id, date_id),
-days AS (
-  SELECT t.*, f.symbol_name, f.exchange_name, f.open_price, l.close_price, l.close_time
-  FROM totals t
-  JOIN ordered f ON f.first_no = 1 AND f.symbol_id = t.symbol_id AND f.exchange_id = t.exchange_id AND f.date_id = t.date_id
-  JOIN ordered l ON l.last_no = 1 AND l.symbol_id = t.symbol_id AND l.exchange_id = t.exchange_id AND l.date_id = t.date_id),
+  FROM hourly GROUP BY symbol_id, exchange_id, symbol_name, exchange_name, CAST(datetime_id AS DATE)),
 daily AS (
   SELECT *, (close_price - open_price) / NULLIF(open_price, 0) * 100 AS variation_daily_pct,
          LAG(close_price) OVER series AS prev_close, LAG(date_id) OVER series AS prev_date
@@ -166,7 +158,9 @@ _DAILY_COLUMNS = f"""symbol_id, exchange_id, date_id, {_FACT_PRICES}, trade_coun
        CAST(ROUND((close_price - prev_close) / NULLIF(prev_close, 0) * 100, 6) AS DOUBLE) AS variation_prev_day_pct,
        close_time, ingested_at"""
 
-_PERIOD = "date_id BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'"
+_FIRST, _LAST = ("(SELECT CAST(MIN(ts) AS DATE) FROM events)", "(SELECT CAST(MAX(ts) AS DATE) FROM events)")
+_PERIOD = f"date_id BETWEEN {_FIRST} + 5 AND {_LAST} - 5"
+_FEW_DAYS = f"rate_date BETWEEN {_FIRST} + 9 AND {_FIRST} + 11"
 _ENDS = _DAILY + f""",
 ends AS (
   SELECT exchange_name, symbol_name, exchange_id, symbol_id,
@@ -190,10 +184,10 @@ SELECT symbol, low, high, open, close, volume, trade_count, "interval", open_tim
 FROM bronze WHERE exchange = 'poloniex'"""),
     "bronze_day_slice": _with(_CANDLES, f"""
 SELECT {_BRONZE_COLUMNS} FROM bronze
-WHERE exchange = 'binance' AND rate_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'"""),
+WHERE exchange = 'binance' AND {_FEW_DAYS}"""),
     "bronze_symbol_subset": _with(_CANDLES, f"""
 SELECT {_BRONZE_COLUMNS} FROM bronze
-WHERE exchange = 'poloniex' AND rate_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'
+WHERE exchange = 'poloniex' AND {_FEW_DAYS}
   AND symbol IN ('BTC_USDT', 'ETH_USDT')"""),
     "bronze_profile_by_symbol": _with(_CANDLES, """
 SELECT symbol, CAST(COUNT(*) AS BIGINT) AS "rows", MIN(rate_date) AS min_date, MAX(rate_date) AS max_date
@@ -328,6 +322,59 @@ SELECT exchange_id, symbol_id, date_id,
 FROM daily WHERE day(date_id) % 5 <> 0"""),
     **{name: _with(_DAILY, f"SELECT {_DAILY_COLUMNS} FROM daily") for name in (
         "warehouse_refresh", "refresh_subset", "refresh_with_corrections", "refresh_after_break")},
+    "refresh_new_pairs": _with(_DAILY + """,
+known AS (
+  SELECT DISTINCT symbol FROM silver WHERE rate_date = (SELECT CAST(MIN(ts) AS DATE) FROM events)
+    AND (symbol = 'ETH_USDT' OR (symbol = 'SOL_USDT' AND exchange = 'binance'))),
+keyed AS (
+  SELECT * REPLACE (CAST(DENSE_RANK() OVER (ORDER BY symbol_name NOT IN (FROM known), symbol_name) AS INTEGER) AS symbol_id)
+  FROM daily)""", f"SELECT {_DAILY_COLUMNS} FROM keyed"),
+    "refresh_checks": _with(_CANDLES + """,
+held AS (
+  SELECT exchange, asset, hour, CAST(hour AS DATE) AS day, high, low, close,
+         CASE WHEN EXTRACT(hour FROM hour) <> 9 THEN open END AS open,
+         CASE WHEN EXTRACT(hour FROM hour) <> 6 THEN volume END AS volume
+  FROM candles WHERE NOT (exchange = 'binance' AND day(hour) = 11)
+    AND NOT (exchange = 'poloniex' AND asset = 'BTC' AND EXTRACT(hour FROM hour) = 3)),
+asked AS (SELECT CAST(MIN(ts) AS DATE) AS a, CAST(MAX(ts) AS DATE) AS b FROM events),
+series AS (SELECT exchange, asset, MIN(day) AS listed, COUNT(DISTINCT day) AS days, COUNT(*) AS hours FROM held GROUP BY ALL),
+span AS (SELECT MAX(day) - MIN(day) + 1 AS days, datediff('hour', MIN(hour), MAX(hour)) + 1 AS hours, COUNT(*) AS n,
+                COUNT(DISTINCT (exchange, asset, day)) AS daily FROM held),
+lines AS (
+  SELECT 'missing_' || f AS rule, 'bronze_' || exchange AS subject, 'report' AS severity, COUNT(*) AS total_rows,
+         COUNT(*) FILTER (WHERE (f = 'open' AND open IS NULL) OR (f = 'volume' AND volume IS NULL)) AS violations
+  FROM held, (SELECT unnest(['""" + "', '".join(_REQUIRED) + """']) AS f) GROUP BY ALL
+  UNION ALL
+  SELECT 'missing_day', 'bronze_' || exchange, 'report', ANY_VALUE(b - a + 1), ANY_VALUE(b - a + 1) - COUNT(DISTINCT day)
+  FROM held, asked GROUP BY exchange
+  UNION ALL
+  SELECT f, 'fact_market_hourly', 'report', COUNT(*), COUNT(*) FILTER (WHERE CASE f
+           WHEN 'null_open' THEN open IS NULL WHEN 'null_high' THEN high IS NULL WHEN 'null_low' THEN low IS NULL
+           WHEN 'null_close' THEN close IS NULL WHEN 'invalid_volume' THEN volume IS NULL OR volume <= 0
+           WHEN 'invalid_high_low' THEN high < low WHEN 'invalid_high_open' THEN high < open
+           WHEN 'invalid_high_close' THEN high < close WHEN 'invalid_low_open' THEN low > open ELSE low > close END)
+  FROM held, (SELECT unnest(['null_open', 'null_high', 'null_low', 'null_close', 'invalid_volume', 'invalid_high_low',
+                             'invalid_high_open', 'invalid_high_close', 'invalid_low_open', 'invalid_low_close']) AS f)
+  GROUP BY ALL
+  UNION ALL
+  SELECT 'duplicate_key', t, 'gate', CASE t WHEN 'fact_market_daily' THEN daily ELSE n END,
+         CASE WHEN t = 'fact_market_daily' THEN 0 ELSE n - (SELECT COUNT(DISTINCT (exchange, asset, hour)) FROM held) END
+  FROM span, (SELECT unnest(['silver_hourly', 'fact_market_hourly', 'fact_market_daily']) AS t)
+  UNION ALL
+  SELECT 'orphan', t, 'report', n, 0 FROM span, (SELECT unnest(['dim_exchange', 'dim_symbol', 'dim_datetime']) AS t)
+  UNION ALL
+  SELECT 'series_gap', 'silver_hourly', 'report', SUM(span.days), SUM(span.days - series.days) FROM series, span
+  UNION ALL
+  SELECT 'missing_hour', 'silver_hourly', 'report', SUM(24 * (b - greatest(a, listed) + 1)),
+         SUM(24 * (b - greatest(a, listed) + 1) - hours) FROM series, asked
+  UNION ALL
+  SELECT 'missing_member', 'dim_date', 'report', days, 0 FROM span
+  UNION ALL
+  SELECT 'missing_member', 'dim_datetime', 'report', hours, 0 FROM span
+  UNION ALL
+  SELECT 'daily_not_sum_of_hours', 'fact_market_daily', 'report', daily, 0 FROM span)""", """
+SELECT rule, subject, severity, CAST(total_rows AS BIGINT) AS total_rows, CAST(violations AS BIGINT) AS violations,
+       a AS first_day, b AS last_day FROM lines, asked"""),
 
     "fk_orphans": _with(_SILVER, """
 SELECT 'dim_exchange' AS dimension, CAST(COUNT(DISTINCT exchange) AS BIGINT) AS orphan_values, CAST(COUNT(*) AS BIGINT) AS orphan_rows

@@ -1,7 +1,7 @@
 """One ordered run from landed payloads to the star schema.
 
-Bronze, then silver, then dimensions, then hourly facts, then daily facts. Every
-stage reads what the stage before it stored.
+Bronze, then silver, then dimensions, then hourly facts, then daily facts, then checks.
+Every stage reads what the stage before it stored.
 """
 
 from __future__ import annotations
@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 from wickwork import schemas
 from wickwork.operators import dims, facts, quality, silver
 from wickwork.operators.latest import dedupe_latest, latest_known
+from wickwork.plans.checks import check_lines
 from wickwork.session import pin_utc, staged
 from wickwork.sources import tables
-from wickwork.sources.candles import LAYOUTS, EmptyLoad, load_days, set_aside
+from wickwork.sources.candles import LAYOUTS, EmptyLoad, load_days, previous_day, set_aside
 
 log = logging.getLogger(__name__)
 
@@ -128,7 +129,7 @@ def refresh_silver(house: Warehouse, start: dt.date, end: dt.date) -> dict[str,
 
 
 def refresh_dims(house: Warehouse, start: dt.date, end: dt.date) -> None:
-    """Rebuild the four dimensions.
+    """Bring the four dimensions up to date; known names keep their keys.
 
     Only the given days of silver are read. The other days come from the stored
     summary that has one row per series and day.
@@ -137,8 +138,10 @@ def refresh_dims(house: Warehouse, start: dt.date, end: dt.date) -> None:
     tables.write_partitions(dims.series_days(rows), house.path("series_days"))
     _clear(house, "series_days", "rate_date", start, end, tables.days_held(rows, "rate_date", start, end))
     profile = staged(dims.profile_of_days(house.read("series_days")), "profile")
-    tables.write_table(dims.exchange_dim(profile), house.path("dim_exchange"))
-    tables.write_table(dims.symbol_dim(profile), house.path("dim_symbol"))
+    for name, build in zip(KEYED, (dims.exchange_dim, dims.symbol_dim)):
+        stored = house.find(name)
+        # Staged, since it is replaced by what is built from it.
+        tables.write_table(build(profile, None if stored is None else staged(stored, name)), house.path(name))
     tables.write_table(dims.date_dim(profile), house.path("dim_date"))
     tables.write_table(dims.datetime_dim(profile), house.path("dim_datetime"))
 
@@ -222,16 +225,30 @@ def refresh_facts(house: Warehouse, start: dt.date, end: dt.date) -> dict[str, i
     return {"fact_market_hourly": hourly_rows, "fact_market_daily": daily_rows}
 
 
+def refresh_checks(house: Warehouse, start: dt.date, end: dt.date) -> None:
+    """Store the checks of the days under their last day, then stop on a failed gate."""
+    lines = check_lines(house.read, start, end)
+    tables.write_partitions(
+        lines.withColumns({"first_day": F.lit(start), "last_day": F.lit(end)}), house.path("checks"), "last_day"
+    )
+    quality.enforce(_days(house.read("checks"), "last_day", end, end))
+
+
 def refresh_warehouse(
-    spark: SparkSession, raw: DataFrame, root: str, start: dt.date, end: dt.date,
+    spark: SparkSession, raw: DataFrame, root: str, start: dt.date | None = None, end: dt.date | None = None,
     symbols: dict[str, list[str]] | None = None, ingested_at: Column | str | None = None,
 ) -> dict[str, int]:
     """Load the days and bring every table up to date; returns rows written per table.
 
-    Safe to repeat: each stage replaces whole days or whole tables.
+    Without days it loads yesterday (UTC), without an end one day. Safe to repeat: each
+    stage replaces whole days or whole tables. Ends with the checks of what is stored.
     """
+    start = start or previous_day()
+    end = end or start
     house = Warehouse(pin_utc(spark), root)
     written = load_bronze(raw, house, start, end, symbols, ingested_at)
     written |= refresh_silver(house, start, end)
     refresh_dims(house, start, end)
-    return written | refresh_facts(house, start, end)
+    written |= refresh_facts(house, start, end)
+    refresh_checks(house, start, end)
+    return written

@@ -54,6 +54,11 @@ SERIES_DAYS = _table(
     _TEXT,
 )
 
+CHECKS = _table(
+    ["rule", "subject", "severity", "total_rows", "violations", "first_day", "last_day"],
+    {"total_rows": _LONG, "violations": _LONG, "first_day": _DAY, "last_day": _DAY}, _TEXT,
+)
+
 EXCHANGES = _table(["exchange_id", "exchange_name"], {"exchange_id": _INT}, _TEXT)
 SYMBOLS = _table(["symbol_id", "symbol_name"], {"symbol_id": _INT}, _TEXT)
 
@@ -65,4 +70,5 @@ STORED = {
     "dim_symbol": SYMBOLS,
     "fact_market_hourly": HOURLY_STORED,
     "fact_market_daily": DAILY,
+    "checks": CHECKS,
 }

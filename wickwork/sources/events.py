@@ -2,6 +2,7 @@
 
 Each event is taken as one trade: the event type gives the asset, the parity of
 the user gives the exchange, the value is the price and also the traded volume.
+A type without a fixed asset is an asset of its own; events without a type are none.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ def candles_from_events(events: DataFrame) -> DataFrame:
     millis = F.unix_millis(F.col("ts").cast("timestamp"))
     opened = millis - F.pmod(millis, F.lit(_HOUR_MS))
     hourly = (
-        events.where(F.col("event_type").isin(list(_ASSETS)))
+        events.where("event_type IS NOT NULL")
         .groupBy((F.col("user_id") % 2 == 0).alias("on_binance"), "event_type", opened.alias("open_time_ms"))
         .agg(
             F.min_by("value", order).alias("open"),
@@ -48,7 +49,8 @@ def candles_from_events(events: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("trade_count"),
         )
     )
-    asset = F.create_map(*[F.lit(x) for pair in _ASSETS.items() for x in pair])[F.col("event_type")]
+    known = F.create_map(*[F.lit(x) for pair in _ASSETS.items() for x in pair])
+    asset = F.coalesce(F.try_element_at(known, F.col("event_type")), F.upper("event_type"))
     on_binance = F.col("on_binance")
     return hourly.select(
         F.when(on_binance, C.BINANCE).otherwise(C.POLONIEX).alias("exchange"),
@@ -75,7 +77,7 @@ def payloads_from_candles(candles: DataFrame) -> DataFrame:
     opened, closed = F.col("open_time_ms"), F.col("close_time_ms")
 
     def text(name: str) -> Column:
-        return F.concat(F.lit('"'), F.col(name), F.lit('"'))
+        return F.coalesce(F.concat(F.lit('"'), F.col(name), F.lit('"')), F.lit("null"))
 
     trades = F.col("trade_count")
 
