@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 import logging
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -22,16 +21,18 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Asked of the path's own file system: a failing read would fill the log with stack traces."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
     """Scan of a stored table; None, with a warning, when it does not exist yet."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    try:
-        return reader.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not _exists(spark, path):
         log.warning("table %s does not exist yet", path)
         return None
+    return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
 
 
 def _write(df: DataFrame, path: str, by: str | None, overwrite: str) -> int:
