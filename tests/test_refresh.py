@@ -138,7 +138,7 @@ def test_checks_see_altered_tables_and_stop_on_repeated_keys(spark, tmp_path):
     house = Warehouse(spark, str(tmp_path))
     refresh_warehouse(spark, grid(spark, 1, ("BTC",)), house.root, day(1), day(1), ingested_at=LOADED)
     daily = staged(house.read("fact_market_daily"), "daily")
-    write_table(daily.withColumn("volume", F.col("volume") + 1), house.path("fact_market_daily"), "date_id")
+    write_table(daily.withColumn("volume", (F.col("volume") + 1).cast("decimal(28,8)")), house.path("fact_market_daily"), "date_id")
     write_table(staged(house.read("dim_symbol"), "symbols").limit(0), house.path("dim_symbol"))
     refresh_checks(house, day(1), day(1))
     assert checks(spark, tmp_path, rule="daily_not_sum_of_hours") == [("daily_not_sum_of_hours", "fact_market_daily", 2, 2)]
