@@ -21,8 +21,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that stand on many sources; n_chars follows the text."""
-    cleaned = lines.dedupe_lines(docs)
+    """All documents, without lines that stand on many sources; n_chars follows the text.
+
+    A text copied to many sources, as it is or nearly, shows its lines on one of them: that
+    of its first copy. Else all its lines would go as boilerplate, from every copy.
+    """
+    firsts = near.keep_one(docs.where("source IS NOT NULL"))
+    nameless = firsts.where("doc_id IS NULL").groupBy("text").agg(F.min("source").alias("source"))
+    seen = firsts.where("doc_id IS NOT NULL").select("doc_id", "text", "source").unionByName(nameless, allowMissingColumns=True)
+    cleaned = lines.dedupe_lines(docs, seen=seen)
     return cleaned.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else cleaned
 
 

@@ -206,3 +206,23 @@ def test_pipeline(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     assert out.columns == [*docs.columns, "size", "target", "taken"]
     assert 0 < out.count() <= docs.count() and out.select("doc_id").distinct().count() == out.count()
+
+
+def test_copies_on_many_sources_stay_once(spark, tmp_path):
+    import corpus_pipeline
+
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
+    page = lambda n: [" ".join(word() for _ in range(12)) for _ in range(n)]
+    copied, edited, footer = page(6), page(40), "all rights reserved by the owner"
+    rows = [(i, "\n".join(copied), "en", f"s{i:02}") for i in range(20)]
+    for i in range(20):  # each copy has one line of its own
+        rows.append((100 + i, "\n".join([*edited[:i], " ".join(word() for _ in range(12)), *edited[i + 1:]]), "en", f"s{i:02}"))
+    rows += [(200 + i, "\n".join([*page(2), footer]), "en", f"s{i:02}") for i in range(20)]
+    rows += [(None, "\n".join(page(1) if i else copied), "en", f"s{i:02}") for i in range(2)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    for table in ("labels", "benchmark"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{table}.parquet").limit(0).write.parquet(f"{tmp_path}/{table}.parquet")
+    out = {r.doc_id: r.text for r in corpus_pipeline.run(spark, str(tmp_path)).where("doc_id IS NOT NULL").collect()}
+    assert {i: t for i, t in out.items() if i < 200} == {0: rows[0][1], 100: rows[20][1]}
+    assert len(out) > 10 and not any(footer in t for t in out.values())

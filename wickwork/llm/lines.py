@@ -67,11 +67,15 @@ def _without(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series
 
 def dedupe_lines(
     docs: DataFrame, id_: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = MIN_SITES,
-    counts: bool = False,
+    counts: bool = False, seen: DataFrame | None = None,
 ) -> DataFrame:
-    """`docs` with boilerplate lines removed from `text`; `counts` adds n_lines, n_removed."""
+    """`docs` with boilerplate lines removed from `text`; `counts` adds n_lines, n_removed.
+
+    `seen`: the rows whose sites count, if not all of `docs`.
+    """
     lines = staged(_keyed_lines(docs, id_, text, site), "lines")
-    hits = lines.join(boilerplate(lines, min_sites), ["h", "g"], "left_semi")
+    counted = lines if seen is None else staged(_keyed_lines(seen, id_, text, site), "seen-lines")
+    hits = lines.join(boilerplate(counted, min_sites), ["h", "g"], "left_semi")
     at = hits.groupBy(F.col("id").alias("_id"), F.col("v").alias("_v")).agg(F.collect_set("pos").alias("_at"))
     joined = docs.join(at, docs[id_].eqNullSafe(at["_id"]) & (F.xxhash64(docs[text]) == at["_v"]), "left")
     without = F.pandas_udf(_without, "string")
