@@ -226,3 +226,31 @@ def test_copies_on_many_sources_stay_once(spark, tmp_path):
     out = {r.doc_id: r.text for r in corpus_pipeline.run(spark, str(tmp_path)).where("doc_id IS NOT NULL").collect()}
     assert {i: t for i, t in out.items() if i < 200} == {0: rows[0][1], 100: rows[20][1]}
     assert len(out) > 10 and not any(footer in t for t in out.values())
+
+
+def test_a_passage_in_many_contexts_is_not_one_group(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(7)
+    letters = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
+    passage = letters(120)
+    rows = [(i, letters(60) + passage + letters(60), "en", "a") for i in range(150)]
+    limit, plain_matched = 2048, suffix._matched
+
+    def bounded(width):
+        of = plain_matched(width)
+
+        def checked(group):
+            by_anchor = {}
+            for h, piece in zip(group["h"].to_pylist(), group["piece"].to_pylist()):
+                by_anchor[h] = by_anchor.get(h, 0) + len(piece)
+            assert max(by_anchor.values()) <= limit, "one anchor whole in one task"
+            return of(group)
+
+        return checked
+
+    monkeypatch.setattr(suffix, "GROUP_BYTES", limit)
+    monkeypatch.setattr(suffix, "_matched", bounded)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    out = suffix.remove_repeated(docs).withColumn("sha", F.sha2("kept", 256))
+    assert got(out, "doc_id", "n_bytes", "n_removed", "n_spans", "sha") == brute.repeated_bytes(rows)

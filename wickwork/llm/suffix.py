@@ -9,6 +9,9 @@ a smaller id. Texts are UTF-8 bytes; matches never cross documents. The steps:
 2. Where segments around an anchor differ, the bytes of each distinct segment, in its first
    document, go to the group of the anchor. A group, or several small ones together, gets
    one suffix array over the window starts of all its segments, compared on `WIDTH` bytes.
+   An anchor with more than `GROUP_BYTES` of them, as at the edges of a passage that very many
+   documents share, is settled apart: its windows meet by 128-bit hashes in an aggregate that keeps
+   the smallest document of each, merged in the tasks.
 3. In suffix order, equal suffixes stand side by side, smaller documents first. So the
    previous smaller position of a suffix, if its common prefix has `WIDTH` bytes, is an
    earlier match; the next smaller position never has one, as it stands after all equal
@@ -119,6 +122,39 @@ def _matched(width: int):
     return of
 
 
+def _windows(width: int):
+    """Each window of the pieces: (doc, start, window)."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for lo in range(0, whole.num_rows, _ROWS):
+                batch = whole.slice(lo, _ROWS)
+                n = np.asarray(batch.column(2)).astype(np.int64)
+                pieces = batch.column(3)
+                sizes = np.array([len(p.as_buffer()) for p in pieces], np.int64)
+                data = np.frombuffer(b"".join(pieces.to_pylist()), np.uint8)
+                piece = np.repeat(np.arange(len(n)), n)
+                rel = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                at = (np.cumsum(sizes) - sizes)[piece] + rel
+                flat = np.ascontiguousarray(data[at[:, None] + np.arange(width)])
+                windows = pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), len(at), [None, pa.py_buffer(flat)])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(piece)), pa.array((np.asarray(batch.column(1))[piece] + rel).astype(np.int32)),
+                     windows.cast(pa.binary())], ["doc", "start", "window"],
+                )
+
+    return of
+
+
+def _hot_matched(pieces: DataFrame, width: int) -> DataFrame:
+    """(doc, start, n) like `_matched`, window by window and without a group in one task."""
+    each = pieces.select("doc", "start", "n", "piece").mapInArrow(_windows(width), "doc long, start int, window binary")
+    # 128 bits tell windows apart.
+    windows = staged(each.select("doc", "start", F.xxhash64("window").alias("a"), F.xxhash64(F.lit(1), "window").alias("b")), "windows")
+    firsts = windows.groupBy("a", "b").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
+    return windows.join(firsts, ["a", "b"]).where("doc > first").select("doc", "start", F.lit(1).alias("n"))
+
+
 def covered_windows(docs: DataFrame, width: int = WIDTH, k: int = K) -> DataFrame:
     """(doc, start, n, more): runs of byte windows that also start in a document with a smaller id."""
     docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
@@ -132,7 +168,12 @@ def covered_windows(docs: DataFrame, width: int = WIDTH, k: int = K) -> DataFram
     )
     total = pieces.agg(F.sum(F.octet_length("piece"))).first()[0] or 0
     groups = max(1, -(-total // GROUP_BYTES))
-    matched = pieces.groupBy(F.pmod("h", F.lit(groups)).alias("group")).applyInArrow(_matched(width), "doc long, start int, n int")
+    by_anchor = pieces.groupBy("h").agg(F.sum(F.octet_length("piece")).alias("size"))
+    hot = staged(by_anchor.where(F.col("size") > GROUP_BYTES).select("h"), "hot")
+    few, many = (pieces.join(hot, "h", how) for how in ("left_anti", "left_semi")) if not hot.isEmpty() else (pieces, None)
+    matched = few.groupBy(F.pmod("h", F.lit(groups)).alias("group")).applyInArrow(_matched(width), "doc long, start int, n int")
+    if many is not None:
+        matched = matched.unionByName(_hot_matched(many, width))
     return whole.unionByName(matched.withColumn("more", F.lit(None).cast("binary")))
 
 
