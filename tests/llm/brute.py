@@ -153,3 +153,61 @@ def top_k(vectors: list[tuple], k: int = 5) -> list[tuple]:
             scored = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)[:k]
             out += [(q, rank, i, -s) for rank, (s, i) in enumerate(scored, 1)]
     return out
+
+
+def spellings(docs: list[tuple], least: int = 2, factor: int = 10) -> list[tuple]:
+    """(word, form, root, n, n_near, form_n) of (doc_id, text) rows; near words by trying every edit."""
+    from collections import Counter
+    from zlib import crc32
+
+    seen = Counter()
+    for i, text, *_ in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(UPPER)
+            h = crc32(f"{'' if i is None else i}:{run}".encode())
+            if h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1:]
+            if len(run) >= 7:
+                seen[run] += 1
+    count = {w: n for w, n in seen.items() if n >= least}
+    letters = sorted({c for w in count for c in w})
+    near = {}
+    for w in count:
+        cuts = [(w[:i], w[i:]) for i in range(len(w) + 1)]
+        edits = {a + b[1:] for a, b in cuts if b} | {a + c + b[1:] for a, b in cuts if b for c in letters} | {a + c + b for a, b in cuts for c in letters}
+        near[w] = sorted((x for x in edits if x in count and x != w), key=lambda x: (-count[x], x))
+    form = {w: x[0] if x and count[x[0]] >= factor * count[w] else None for w, x in near.items()}
+
+    def root(w):
+        while form[w]:
+            w = form[w]
+        return w
+
+    return sorted(((w, form[w], root(w), n, len(near[w]), count.get(form[w])) for w, n in count.items()), key=repr)
+
+
+def searched(docs: list[tuple], items: list[tuple], k: int = 50) -> list[tuple]:
+    """(item_id, rank, doc_id, score) of (doc_id, text) and (item_id, text) rows."""
+    import math
+    from collections import Counter
+
+    term = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    bags = [(i, Counter(re.findall(term, (text or "").translate(UPPER)))) for i, text, *_ in docs]
+    asked = defaultdict(set)
+    for item, text in items:
+        asked[item] |= set(re.findall(term, (text or "").translate(UPPER)))
+    n_docs, n_terms = sum(bool(b) for _, b in bags), sum(b.total() for _, b in bags)
+    df = Counter(t for _, b in bags for t in b)
+    out = []
+    for item, terms in asked.items():
+        scored = []
+        for i, bag in bags:
+            score = 0
+            for t in terms & bag.keys():
+                w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                m = 100 - 50 + (50 * bag.total() * n_docs) // n_terms
+                score += w * ((1000000000 * bag[t]) // (1000 * bag[t] + 20 * m))
+            if score > 0:
+                scored.append((-score, i is not None, i))
+        out += [(item, rank, i, -s) for rank, (s, _, i) in enumerate(sorted(scored)[:k], 1)]
+    return sorted(out, key=repr)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wickwork.llm import chat, debruijn, decontam, html, lines, mixing, near, suffix, topk, toxicity
+from wickwork.llm import chat, debruijn, decontam, html, lines, mixing, near, quality, search, spelling, suffix, topk, toxicity
 from wickwork.llm.common import read
 
 
@@ -72,15 +72,33 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("text", "utf-8"), 256).alias("kept_sha256"))
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    scored = quality.score(docs.select("doc_id", "text"), quality.fit(docs, read(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= quality.ACCEPT_FROM).cast("int").alias("predicted")
+    )
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(read(spark, sf_dir, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_toxicity, op2_chat_formatting, op3_exact_top_k, op4_minhash_near_dedup, op5_suffix_array_dedup,
         op6_html_extraction, op7_line_dedup, op8_source_mixing,
-        op9_benchmark_decontamination, op10_substring_dedup,
+        op9_benchmark_decontamination, op10_substring_dedup, op11_quality_classifier,
+        op12_spelling_variants, op13_ranked_search,
     )
 }
 
 _WORD9 = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_TERM13 = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES: dict[str, str] = {
@@ -153,4 +171,25 @@ ORACLES: dict[str, str] = {
                    list_transform(list_sort(list_filter(range(1, len(w) + 1), lambda k: NOT list_contains(g, k))), lambda k: w[k]) END, ' '), '')) AS kept_sha256
         FROM d LEFT JOIN gone USING (doc_id)
     """,
+    "op13_ranked_search": f"""
+        WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("text")}, '{_TERM13}') AS w FROM documents),
+        size AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n FROM d WHERE len(w) > 0),
+        total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM size),
+        asked AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER.format("text")}, '{_TERM13}')) AS term FROM benchmark
+        ), posting AS (
+            SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d)
+            WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term
+        ), weight AS (
+            SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM posting, total GROUP BY term, docs
+        ), impact AS (
+            SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * docs) // terms)))) AS impact
+            FROM posting JOIN weight USING (term) JOIN size USING (doc_id), total
+        ), scored AS (
+            SELECT item_id, doc_id, CAST(sum(impact) AS BIGINT) AS score FROM asked JOIN impact USING (term) GROUP BY item_id, doc_id
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS r FROM scored WHERE score > 0
+        )
+        SELECT item_id, CAST(r AS INTEGER) AS rank, doc_id, score FROM ranked WHERE r <= {search.K}
+    """,
 }
