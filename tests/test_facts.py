@@ -4,11 +4,12 @@ import datetime as dt
 import random
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import bronze, bronze_row, executed, hourly, rows
 from wickwork import schemas
-from wickwork.operators import dims, facts, metrics, quality, silver
+from wickwork.operators import dims, facts, metrics, numbering, quality, silver
 
 
 def star(spark, *bronze_rows):
@@ -175,3 +176,48 @@ def test_summaries(spark):
     got = quality.hourly_summary(hours).first()
     assert (got.total_records, got.distinct_exchanges, got.distinct_symbols) == (hours.count(), 2, 3)
     assert quality.daily_summary(facts.daily_fact(hours)).first().distinct_dates == 12
+
+
+@pytest.fixture
+def several_ranges(spark):
+    """Small ranges are put together at run time; here they stay as they are dealt."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_previous_row_of_a_long_series_comes_from_any_range(spark, several_ranges):
+    """One series has nearly all rows, so it lies in every range; others have one row or a NULL order."""
+    frame = spark.range(20_000).selectExpr(
+        "CASE WHEN id % 50 = 0 THEN id ELSE 7 END AS symbol_id", "CASE WHEN id % 9 = 0 THEN NULL ELSE 1 END AS exchange_id",
+        "CASE WHEN id <> 101 THEN id END AS at", "id * 3 AS v")
+    got = numbering.previous_in_order(frame, {"before": "v", "at_before": "at"}, ["exchange_id", "symbol_id"], "at")
+    wanted = facts.previous(facts.previous(frame, "v", "before", ["exchange_id", "symbol_id"], "at"),
+                            "at", "at_before", ["exchange_id", "symbol_id"], "at")
+    assert rows(got) == rows(wanted)
+    ranges = numbering.dealt(frame, "exchange_id", "symbol_id", "at").where("symbol_id = 7")
+    sizes = [r["count"] for r in ranges.groupBy("_bucket").count().collect()]
+    assert len(sizes) >= 4 and max(sizes) < 20_000 / 3
+    assert numbering.previous_in_order(frame.limit(0), {"before": "v"}, ["symbol_id"], "at").count() == 0
+
+
+def test_both_forms_of_the_previous_day_agree(spark, several_ranges):
+    daily = spark.range(3000).selectExpr("cast(id % 6 AS int) AS symbol_id", "cast(id % 2 AS int) AS exchange_id",
+                                         "date_add(DATE'2020-01-01', cast(id * id % 2999 AS int)) AS date_id").distinct()
+    got = numbering.previous_in_order(daily, {"_prev_date": "date_id"}, facts.SERIES, "date_id").selectExpr(
+        "symbol_id", "exchange_id", "date_id", "date_diff(date_id, _prev_date) AS prev_date_gap_days")
+    assert rows(got) == rows(facts.with_prev_gap(daily), *got.columns)
+
+
+@pytest.mark.parametrize("values", ["id % 3", "1", "NULL", "CASE WHEN id % 5 > 0 THEN id % 4 END", "id"])
+def test_ranks_over_ties_do_not_meet_in_one_task(spark, several_ranges, values):
+    frame = spark.range(20_000).selectExpr("id", f"cast({values} AS bigint) AS v")
+    ranked = numbering.rank_descending(frame, "v", "n")
+    got = sorted(((r.v is None, -(r.v or 0)), r.n) for r in ranked.collect())
+    first = {}
+    for place, (v, _) in enumerate(got, 1):
+        first.setdefault(v, place)
+    assert got == [(v, first[v]) for v, _ in got]
+    dealt = numbering.dealt(frame, F.desc_nulls_last("v"), F.xxhash64("id")).groupBy("_bucket").count()
+    assert max(r["count"] for r in dealt.collect()) < 20_000 / 3
+    assert numbering.rank_descending(frame.limit(0), "v", "n").count() == 0

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wickwork import constants as C
 from wickwork.functions.candle import pct_change
+from wickwork.operators.numbering import previous_in_order
 
 SERIES = ["exchange_id", "symbol_id"]
 HOURLY_KEY = [*SERIES, "datetime_id"]
@@ -66,7 +67,8 @@ def previous(df: DataFrame, column: str, out: str, keys: list[str], order_col: s
     """The column's value in the row before, within each key.
 
     One task holds a key's rows, so the order must be a bounded one: a daily
-    series has one row per day and stays below a few thousand rows.
+    series has one row per day and stays below a few thousand rows. For longer
+    series there is `previous_in_order`.
     """
     before = Window.partitionBy(*keys).orderBy(order_col)
     return df.withColumn(out, F.lag(column).over(before))
@@ -94,6 +96,19 @@ def with_prev_gap(daily: DataFrame) -> DataFrame:
     ).drop("_prev_date")
 
 
+def with_previous_hour(hourly: DataFrame) -> DataFrame:
+    """Change against the close of the previous hour that has data, and how many hours ago that was.
+
+    An hourly series has no useful bound, so it is not gathered in one task.
+    """
+    before = {"prev_close_price": "close_price", "_prev_hour": "datetime_id"}
+    lagged = previous_in_order(hourly, before, SERIES, "datetime_id")
+    return lagged.withColumns({
+        "variation_prev_hour_pct": pct_change(F.col("close_price"), F.col("prev_close_price")),
+        "prev_gap_hours": F.timestamp_diff("HOUR", F.col("_prev_hour"), F.col("datetime_id")),
+    }).drop("_prev_hour")
+
+
 def with_processed_at(fact: DataFrame) -> DataFrame:
     """Planned attribute: when the fact row was computed."""
     return fact.withColumn("processed_at", F.current_timestamp())

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from wickwork import constants as C
 from wickwork.operators import dims, facts, metrics, quality, silver
 from wickwork.operators.latest import dedupe_latest
+from wickwork.operators.numbering import rank_descending
 from wickwork.plans.refresh import KEYED, Warehouse, refresh_warehouse
 from wickwork.session import new_folder, pin_utc, staged
 from wickwork.sources import candles as feed
@@ -402,6 +403,15 @@ def daily_prev_gap(case: Case) -> DataFrame:
     return gaps.select("exchange_id", "symbol_id", "date_id", "prev_date_gap_days")
 
 
+@query
+def hourly_prev_change(case: Case) -> DataFrame:
+    """The hourly fact without every seventh hour of the day."""
+    kept = case.hourly.where(F.hour("datetime_id") % 7 != 0)
+    return facts.with_previous_hour(kept).select(
+        "exchange_id", "symbol_id", "datetime_id", "prev_close_price", "variation_prev_hour_pct", "prev_gap_hours"
+    )
+
+
 @query
 def warehouse_refresh(case: Case) -> DataFrame:
     """The whole refresh into new tables, and again for the last day; then the daily fact."""
@@ -565,6 +575,21 @@ def rank_by_return(case: Case) -> DataFrame:
     )
 
 
+@query
+def rank_by_active_days(case: Case) -> DataFrame:
+    """Series ranked by the days they have data on, with very many ties, and those of one pair without a number."""
+    days = dims.series_days(case.silver_rows).groupBy("exchange", "symbol").agg(F.count(F.lit(1)).alias("days"))
+    ranked = days.withColumn("days", F.when(F.col("symbol") != "LINK_USDT", F.col("days")))
+    return rank_descending(ranked, "days", "days_rank")
+
+
+@query
+def rank_by_trades(case: Case) -> DataFrame:
+    """Every series and day ranked by its trades: long runs of equal values, and days without a number."""
+    trades = F.when(F.dayofmonth("date_id") % 10 != 0, F.col("trade_count"))
+    return rank_descending(case.daily.select("exchange_id", "symbol_id", "date_id", trades.alias("trades")), "trades", "trades_rank")
+
+
 @query
 def data_available_until(case: Case) -> DataFrame:
     return metrics.available_until(case.daily)

@@ -320,6 +320,13 @@ FROM daily"""),
 SELECT exchange_id, symbol_id, date_id,
        CAST(datediff('day', LAG(date_id) OVER (PARTITION BY exchange_id, symbol_id ORDER BY date_id), date_id) AS INTEGER) AS prev_date_gap_days
 FROM daily WHERE day(date_id) % 5 <> 0"""),
+    "hourly_prev_change": _with(_HOURLY, """
+SELECT exchange_id, symbol_id, datetime_id, CAST(before AS DOUBLE) AS prev_close_price,
+       CAST(ROUND((close_price - before) / NULLIF(before, 0) * 100, 6) AS DOUBLE) AS variation_prev_hour_pct,
+       CAST(datediff('hour', hour_before, datetime_id) AS BIGINT) AS prev_gap_hours
+FROM (SELECT *, LAG(close_price) OVER series AS before, LAG(datetime_id) OVER series AS hour_before
+      FROM hourly WHERE hour(datetime_id) % 7 <> 0
+      WINDOW series AS (PARTITION BY exchange_id, symbol_id ORDER BY datetime_id))"""),
     **{name: _with(_DAILY, f"SELECT {_DAILY_COLUMNS} FROM daily") for name in (
         "warehouse_refresh", "refresh_subset", "refresh_with_corrections", "refresh_after_break")},
     "refresh_new_pairs": _with(_DAILY + """,
@@ -429,6 +436,13 @@ FROM daily WHERE {_PERIOD} GROUP BY exchange_name, symbol_name"""),
     "rank_by_return": _with(_ENDS, """
 SELECT CAST(RANK() OVER (ORDER BY return_pct DESC NULLS LAST) AS INTEGER) AS return_rank, exchange_name, symbol_name,
        CAST(ROUND(return_pct, 6) AS DOUBLE) AS return_pct FROM returns"""),
+    "rank_by_active_days": _with(_SILVER, """
+SELECT exchange, symbol, days, CAST(RANK() OVER (ORDER BY days DESC NULLS LAST) AS INTEGER) AS days_rank
+FROM (SELECT exchange, symbol, CASE WHEN symbol <> 'LINK_USDT' THEN CAST(COUNT(DISTINCT rate_date) AS BIGINT) END AS days
+      FROM silver GROUP BY exchange, symbol)"""),
+    "rank_by_trades": _with(_DAILY, """
+SELECT exchange_id, symbol_id, date_id, trades, CAST(RANK() OVER (ORDER BY trades DESC NULLS LAST) AS INTEGER) AS trades_rank
+FROM (SELECT *, CASE WHEN day(date_id) % 10 <> 0 THEN trade_count END AS trades FROM daily)"""),
     "data_available_until": "SELECT MAX(CAST(ts AS DATE)) AS available_until FROM events",
     "cross_exchange_price": _with(_DAILY, f"""
 SELECT date_id AS date, symbol_name, exchange_name, CAST(close_price AS DOUBLE) AS close_price, CAST(volume AS DOUBLE) AS volume
