@@ -59,13 +59,45 @@ def test_what_cannot_be_loaded_is_set_aside_with_its_reason(spark):
     ]
     kept = candles.load_days(landed, candles.BINANCE, dt.date(2024, 1, 1))
     assert rows(kept.select("symbol").distinct()) == [("BTCUSDT",)]
-    assert candles.unreadable_payloads(landed.where("payload IS NOT NULL")).count() == 1
+    both = candles.stored_fates(candles.sort_out(landed))
+    assert rows(candles.rejects(both).where("exchange = 'poloniex'"), "reason") == [("missing_payload",)]
+    assert rows(candles.bronze_days(both, candles.BINANCE, dt.date(2024, 1, 1), dt.date(2024, 1, 1))) == rows(kept)
+
+
+def test_a_payload_keeps_its_good_candles(spark):
+    odd = raw(spark, ("binance", "BTCUSDT", '[[1704067200000,"1",2.50],5,null,["x"],{"a":1}]'), ("binance", "ETHUSDT", '{"code":-1}'),
+              ("other", "BTCUSDT", "{oops"))
+    fates = candles.sort_out(odd)
+    assert sorted(rows(fates, "symbol", "fate", "open", "high"), key=str) == [
+        ("BTCUSDT", "kept", "1", "2.5"), *[("BTCUSDT", "unreadable_open_time", None, None)] * 4,
+        ("ETHUSDT", "unreadable_payload", None, None)]
+
+
+def test_a_load_parses_each_payload_once_and_bounds_landing_times(spark, tmp_path, both, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tests.helpers import executed
+    from wickwork.plans.refresh import Warehouse, load_bronze
+
+    plans = []
+    whole = candles.stored_fates
+    monkeypatch.setattr("wickwork.plans.refresh.stored_fates", lambda df: plans.append(executed(df)) or whole(df))
+    for name in ("from_json", "parse_json"):
+        monkeypatch.setattr(F, name, lambda *a: 1 / 0)  # nothing else reads JSON
+    both.write.parquet(str(tmp_path / "landed"))
+    stored = spark.read.schema(both.schema).parquet(str(tmp_path / "landed"))
+    house, day = Warehouse(spark, str(tmp_path / "house")), dt.date(2024, 1, 1)
+    assert load_bronze(stored, house, day, day, landed_until=dt.date(2024, 1, 3)) == {"bronze_rejected": 0, "bronze_binance": 2, "bronze_poloniex": 1}
+    [plan] = plans
+    assert plan.count("parseJson") == 1 and "Exchange" not in plan
+    assert "GreaterThanOrEqual(landed_at," in plan and "LessThan(landed_at," in plan
 
 
 def test_short_or_malformed_candle_gives_nulls(spark):
     odd = raw(spark, ("binance", "BTCUSDT", '[[1704067200000,"1"],["x","1","2","1","1","5",7]]'))
     got = rows(candles.parse_candles(odd, candles.BINANCE), "open_time_ms", "open", "volume", "trade_count")
-    assert got == [(1704067200000, "1", None, None), (None, "1", "5", None)]
+    assert got == [(1704067200000, "1", None, None)]
+    assert rows(candles.set_aside(odd, candles.BINANCE), "reason") == [("unreadable_open_time",)]
 
 
 def test_stamp_defaults_to_the_landing_time_or_now(both):
@@ -100,12 +132,6 @@ def test_symbols_are_limited(spark):
     assert rows(chosen.select("symbol").distinct()) == [("DOGEUSDT",)]
 
 
-def test_empty_load_raises(spark, both):
-    with pytest.raises(candles.EmptyLoad):
-        candles.require_rows(both.where("false"), "nothing")
-    assert candles.require_rows(both, "something") is both
-
-
 def test_union_matches_names(spark):
     a = spark.createDataFrame([(1, "x")], "n int, s string")
     assert rows(candles.union_days([a, a.select("s", "n"), a])) == [(1, "x")] * 3

@@ -271,3 +271,24 @@ def test_a_wholly_rejected_day_leaves_silver_and_facts(spark, tmp_path):
     others = raw.where("landed_at <> TIMESTAMP'2024-01-03'")
     refresh_warehouse(spark, others, str(tmp_path / "b"), day(1), day(3), ingested_at=LOADED)
     assert stored(spark, tmp_path / "a") == stored(spark, tmp_path / "b")
+
+
+def test_rejects_of_a_landing_day_leave_with_their_faults(spark, tmp_path):
+    from wickwork.plans.refresh import load_bronze
+
+    raw = grid(spark, 3, ("BTC",)).cache()
+    bad = raw.withColumn("payload", F.when((F.col("landed_at") != F.lit(utc("2024-01-02"))) & (F.col("exchange") == C.BINANCE), "{oops").otherwise(F.col("payload")))
+    early = raw.withColumn("landed_at", F.col("landed_at") - F.expr("interval 1 hour"))
+    house = Warehouse(spark, str(tmp_path))
+
+    def faulty():
+        return rows(house.read("bronze_rejected"), "landed_on", "reason")
+
+    load_bronze(bad.unionByName(early), house, day(1), day(3))
+    assert faulty() == [(day(3), "unreadable_payload"), (day(4), "unreadable_payload")]
+    load_bronze(raw, house, day(2), day(2), landed_until=day(3))  # the fourth is not looked at
+    assert faulty() == [(day(4), "unreadable_payload")]
+    load_bronze(raw.where(F.col("landed_at") == F.lit(utc("2024-01-03"))), house, day(2), day(2))
+    assert faulty() == [(day(4), "unreadable_payload")]  # nothing of that day was landed again
+    load_bronze(raw, house, day(3), day(3))
+    assert faulty() == []

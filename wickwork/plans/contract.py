@@ -187,16 +187,9 @@ def bronze_rejected(case: Case) -> DataFrame:
     """Payloads with a fault on four days of the month: what is set aside, and what is kept."""
     day, payload = F.dayofmonth("landed_at"), F.col("payload")
     timeless = F.regexp_replace(payload, r"\b\d{13}\b", "null")
-    raw = staged(case.raw.withColumn("payload", F.when(day == 4, None).when(day == 5, "[]").when(
-        day == 6, "{oops").when(day == 7, timeless).otherwise(payload)), "raw")
-    aside = feed.union_days([feed.set_aside(raw, layout) for layout in feed.LAYOUTS.values()])
-    kept = feed.union_days([
-        feed.parse_candles(raw, layout).where("open_time_ms IS NOT NULL").select(
-            F.lit(exchange).alias("exchange"), F.lit("kept").alias("reason"))
-        for exchange, layout in feed.LAYOUTS.items()
-    ])
-    return aside.select("exchange", "reason").unionByName(kept).groupBy("exchange", "reason").agg(
-        F.count(F.lit(1)).alias("items"))
+    raw = case.raw.withColumn("payload", F.when(day == 4, None).when(day == 5, "[]").when(
+        day == 6, "{oops").when(day == 7, timeless).otherwise(payload))
+    return feed.sort_out(raw).groupBy("exchange", F.col("fate").alias("reason")).agg(F.count(F.lit(1)).alias("items"))
 
 
 @query
@@ -236,7 +229,8 @@ def backfill_equals_daily_loads(case: Case) -> DataFrame:
     path = new_folder(case.spark, "history")
 
     def load(start: dt.date, end: dt.date, symbols: list[str] | None = None) -> DataFrame:
-        return feed.load_days(raw, feed.BINANCE, start, end, symbols, "landed_at")
+        # All candles of a day have landed by the day after.
+        return feed.load_days(raw, feed.BINANCE, start, end, symbols, "landed_at", end + dt.timedelta(days=1))
 
     tables.write_partitions(load(first, middle), path)
     tables.write_partitions(load(middle + dt.timedelta(days=1), last), path)
@@ -419,7 +413,7 @@ def warehouse_refresh(case: Case) -> DataFrame:
     raw = staged(case.raw, "raw")
     first, last = case.range_of_days()
     refresh_warehouse(case.spark, raw, root, first, last, ingested_at="landed_at")
-    refresh_warehouse(case.spark, raw, root, last, last, ingested_at="landed_at")
+    refresh_warehouse(case.spark, raw, root, last, last, ingested_at="landed_at", landed_until=last + dt.timedelta(days=1))
     return Warehouse(case.spark, root).read("fact_market_daily")
 
 

@@ -9,7 +9,6 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +19,9 @@ from wickwork.operators.latest import dedupe_latest, latest_known
 from wickwork.plans.checks import check_lines
 from wickwork.session import pin_utc, staged
 from wickwork.sources import tables
-from wickwork.sources.candles import LAYOUTS, EmptyLoad, load_days, previous_day, set_aside
+from wickwork.sources.candles import (
+    LAYOUTS, EmptyLoad, bronze_days, landed_between, previous_day, rejects, sort_out, stored_fates,
+)
 
 log = logging.getLogger(__name__)
 
@@ -42,7 +43,7 @@ class Warehouse:
     def find(self, table: str) -> DataFrame | None:
         """The table, or None before its first write."""
         name = table.removeprefix("fact_keys_")
-        schema = schemas.BRONZE if name.startswith("bronze_") else schemas.STORED.get(name)
+        schema = schemas.STORED.get(name, schemas.BRONZE if name.startswith("bronze_") else None)
         found = tables.read_table(self.spark, self.path(table), schema)
         return found if found is None or schema is None else found.select(*schema.names)
 
@@ -58,29 +59,41 @@ def _days(df: DataFrame, by: str, start: dt.date, end: dt.date) -> DataFrame:
     return df.where(F.col(by).between(F.lit(start), F.lit(end)))
 
 
-def _other_days(df: DataFrame, by: str, start: dt.date, end: dt.date) -> DataFrame:
-    return df.where(F.coalesce(~F.col(by).between(F.lit(start), F.lit(end)), F.lit(True)))
+def _clear(house: Warehouse, table: str, by: str, start: dt.date, end: dt.date, present: set[dt.date],
+           among: set[dt.date] | None = None) -> None:
+    """Empty the table's days of the range (of those in `among`) that should have no rows any more."""
+    stored = house.find(table)
+    if stored is not None:
+        gone = tables.days_held(stored, by, start, end) - present
+        if among is not None:
+            gone &= among
+        tables.empty_days(stored, house.path(table), gone, by)
 
 
 def load_bronze(
     raw: DataFrame, house: Warehouse, start: dt.date, end: dt.date,
     symbols: dict[str, list[str]] | None = None, ingested_at: Column | str | None = None,
+    landed_until: dt.date | None = None,
 ) -> dict[str, int]:
     """Land the days in each exchange's bronze table; a rerun replaces them.
 
-    With a list of symbols for an exchange, only their candles are replaced. What cannot be
-    loaded goes to bronze_rejected, by landing day, with its reason.
+    What has landed is read and parsed once, for all exchanges. With a list of symbols for
+    an exchange, only their candles are replaced. What cannot be loaded goes to
+    bronze_rejected, by landing day, with its reason; a landing day that was read again and
+    has no faults any more leaves it.
     """
     rows = {}
-    midnight = F.lit(dt.datetime.combine(start, dt.time(), dt.UTC))
-    recent = raw.where(F.col("landed_at").isNull() | (F.col("landed_at") >= midnight))
-    aside = reduce(DataFrame.unionByName, [set_aside(recent, layout) for layout in LAYOUTS.values()])
-    rows["bronze_rejected"] = tables.write_partitions(
-        aside.withColumn("landed_on", F.to_date("landed_at")), house.path("bronze_rejected"), "landed_on"
-    )
+    fates = stored_fates(sort_out(landed_between(raw, start, landed_until)))
+    aside = rejects(fates).withColumn("landed_on", F.to_date("landed_at"))
+    rows["bronze_rejected"] = tables.write_partitions(aside, house.path("bronze_rejected"), "landed_on")
+    last = landed_until or dt.date.max
+    if house.find("bronze_rejected") is not None:
+        again = tables.days_held(fates.select(F.to_date("landed_at").alias("landed_on")), "landed_on", start, last)
+        faulty = tables.days_held(aside, "landed_on", start, last) if rows["bronze_rejected"] else set()
+        _clear(house, "bronze_rejected", "landed_on", start, last, faulty, again)
     for exchange, layout in LAYOUTS.items():
         wanted = (symbols or {}).get(exchange)
-        days = load_days(raw, layout, start, end, wanted, ingested_at)
+        days = bronze_days(fates, layout, start, end, wanted, ingested_at)
         table = f"bronze_{exchange}"
         if wanted:
             rows[table] = tables.merge_days(days, house.path(table), BRONZE_KEY)
@@ -91,14 +104,6 @@ def load_bronze(
     return rows
 
 
-def _clear(house: Warehouse, table: str, by: str, start: dt.date, end: dt.date, present: set[dt.date]) -> None:
-    """Empty the table's days of the range that should have no rows any more."""
-    stored = house.find(table)
-    if stored is not None:
-        gone = tables.days_held(stored, by, start, end) - present
-        tables.empty_days(stored, house.path(table), gone, by)
-
-
 def refresh_silver(house: Warehouse, start: dt.date, end: dt.date) -> dict[str, int]:
     """Type and check the days, stop on a failed gate, then replace them in silver.
 
@@ -237,16 +242,18 @@ def refresh_checks(house: Warehouse, start: dt.date, end: dt.date) -> None:
 def refresh_warehouse(
     spark: SparkSession, raw: DataFrame, root: str, start: dt.date | None = None, end: dt.date | None = None,
     symbols: dict[str, list[str]] | None = None, ingested_at: Column | str | None = None,
+    landed_until: dt.date | None = None,
 ) -> dict[str, int]:
     """Load the days and bring every table up to date; returns rows written per table.
 
-    Without days it loads yesterday (UTC), without an end one day. Safe to repeat: each
-    stage replaces whole days or whole tables. Ends with the checks of what is stored.
+    Without days it loads yesterday (UTC), without an end one day; with `landed_until`, only from
+    what had landed by the end of that day. Safe to repeat: each stage replaces whole
+    days or whole tables. Ends with the checks of what is stored.
     """
     start = start or previous_day()
     end = end or start
     house = Warehouse(pin_utc(spark), root)
-    written = load_bronze(raw, house, start, end, symbols, ingested_at)
+    written = load_bronze(raw, house, start, end, symbols, ingested_at, landed_until)
     written |= refresh_silver(house, start, end)
     refresh_dims(house, start, end)
     written |= refresh_facts(house, start, end)

@@ -24,6 +24,10 @@ BRONZE = _table(
     _TEXT,
 )
 
+REJECTED = _table(
+    ["exchange", "symbol", "landed_at", "reason", "landed_on"], {"landed_at": _TIME, "landed_on": _DAY}, _TEXT
+)
+
 SILVER = _table(
     C.SILVER_COLUMNS,
     {"exchange": _TEXT, "symbol": _TEXT, "interval": _TEXT, "trade_count": _LONG,
@@ -64,6 +68,7 @@ SYMBOLS = _table(["symbol_id", "symbol_name"], {"symbol_id": _INT}, _TEXT)
 
 # Stored tables by name. A given schema saves reading one from the files.
 STORED = {
+    "bronze_rejected": REJECTED,
     "silver_hourly": SILVER,
     "series_days": SERIES_DAYS,
     "dim_exchange": EXCHANGES,

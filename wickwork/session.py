@@ -68,3 +68,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def staged_by(df: DataFrame, name: str, by: list[str]) -> DataFrame:
+    """`staged`, in a folder per value of a few columns with few values."""
+    spark = df.sparkSession
+    path = new_folder(spark, name)
+    df.write.partitionBy(*by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
