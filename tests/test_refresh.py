@@ -43,7 +43,7 @@ def grid(spark, days, assets=("BTC", "ETH"), start="2024-01-01"):
 def stored(spark, root):
     house = Warehouse(spark, str(root))
     tables = {t: house.read(t) for t in TABLES}
-    return {t: rows(df.select(*sorted(c for c in df.columns if c != "created_at"))) for t, df in tables.items()}
+    return {t: rows(df.select(*sorted(c for c in df.columns if c not in ("created_at", "processed_at")))) for t, df in tables.items()}
 
 
 def symbols(*assets):

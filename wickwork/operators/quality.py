@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wickwork import constants as C
 from wickwork.functions.candle import breaks_ohlc, breaks_time
 from wickwork.operators.dims import days_between
-from wickwork.operators.facts import DAILY_KEY
+from wickwork.operators.facts import DAILY_KEY, previous
 from wickwork.operators.silver import problems
 
 GATE, REPORT = "gate", "report"
@@ -278,6 +278,26 @@ def gap_report(silver: DataFrame, profile: DataFrame) -> DataFrame:
     )
 
 
+def gap_intervals(days: DataFrame, profile: DataFrame) -> DataFrame:
+    """Runs of days without a row: exchange, symbol, first_missing, last_missing, missing_days.
+
+    `days` has one row per series and day (`dims.series_days`). A gap lies between two days that
+    follow one another in a series, or at either end of the days of the whole table, so
+    no calendar is laid out: a gap of ten years is one row.
+    """
+    bounds = profile.agg(F.min("min_date").alias("first"), F.max("max_date").alias("last"))
+    first, last = (bounds.select(c).scalar() for c in ("first", "last"))
+    present = days.select("exchange", "symbol", "rate_date")
+    between = previous(present, "rate_date", "_before", ["exchange", "symbol"], "rate_date").select(
+        "exchange", "symbol", F.date_add("_before", 1).alias("first_missing"), F.date_sub("rate_date", 1).alias("last_missing")
+    )
+    ends = present.groupBy("exchange", "symbol").agg(F.min("rate_date").alias("listed"), F.max("rate_date").alias("seen"))
+    before = ends.select("exchange", "symbol", first.alias("first_missing"), F.date_sub("listed", 1).alias("last_missing"))
+    after = ends.select("exchange", "symbol", F.date_add("seen", 1).alias("first_missing"), last.alias("last_missing"))
+    runs = between.unionByName(before).unionByName(after).where(F.col("first_missing") <= F.col("last_missing"))
+    return runs.withColumn("missing_days", F.date_diff("last_missing", "first_missing") + 1)
+
+
 def hour_completeness(silver: DataFrame, profile: DataFrame, expected: int = 24) -> DataFrame:
     """Rows of each series and day, from its first day on, against the hours of a day.
 

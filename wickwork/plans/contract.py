@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wickwork import constants as C
-from wickwork.operators import dims, facts, metrics, quality, silver
+from wickwork.operators import dims, facts, metrics, quality, silver, summaries
 from wickwork.operators.latest import dedupe_latest
 from wickwork.operators.numbering import rank_descending
-from wickwork.plans.refresh import KEYED, Warehouse, refresh_warehouse
+from wickwork.plans.refresh import KEYED, Warehouse, load_bronze, refresh_warehouse
 from wickwork.session import new_folder, pin_utc, staged
 from wickwork.sources import candles as feed
 from wickwork.sources import tables
@@ -205,6 +205,47 @@ def bronze_missing_days(case: Case) -> DataFrame:
     return tables.missing_days(case.bronze, first - margin, last + margin)
 
 
+@query
+def empty_load_stops(case: Case) -> DataFrame:
+    """Loads of a day before the data, of its first and last day, and of a day after it: which stop for want of rows."""
+    house = Warehouse(case.spark, new_folder(case.spark, "warehouse"))
+    raw = staged(case.raw, "raw")
+    first, last = case.range_of_days()
+    margin = dt.timedelta(days=2)
+    outcomes = []
+    for day in (first - margin, first, last, last + margin):
+        try:
+            written = load_bronze(raw, house, day, day, ingested_at="landed_at", landed_until=day + dt.timedelta(days=1))
+            outcomes.append((day, False, sum(written.values())))
+        except feed.EmptyLoad:
+            outcomes.append((day, True, 0))
+    return case.spark.createDataFrame(outcomes, "day date, stopped boolean, rows long")
+
+
+@query
+def load_of_yesterday(case: Case) -> DataFrame:
+    """The data moved so that its last day is yesterday, loaded without naming a day."""
+    last = case.range_of_days()[1]
+    # Taken once: the day may change while the query runs.
+    yesterday = feed.previous_day()
+    moved = (yesterday - last).days * 86_400_000
+    shifted = case.candles.withColumns({c: F.col(c) + moved for c in ("open_time_ms", "close_time_ms")})
+    loaded = feed.load_days(payloads_from_candles(shifted), feed.BINANCE, ingested_at="landed_at")
+    back = (F.col("open_time_ms") - moved).alias("open_time_ms")
+    return loaded.select("symbol", back, "open", "close", "volume", "trade_count")
+
+
+@query
+def missing_table_warns(case: Case) -> DataFrame:
+    """A table before its first write, and after it: whether it is found, and its rows."""
+    path = new_folder(case.spark, "days")
+    before = tables.read_table(case.spark, path)
+    tables.write_partitions(case.bronze, path)
+    after = tables.read_table(case.spark, path)
+    found = after.agg(F.lit("after").alias("state"), F.lit(True).alias("found"), F.count(F.lit(1)).alias("rows"))
+    return found.union(case.spark.createDataFrame([("before", before is not None, 0)], found.schema))
+
+
 @query
 def partition_overwrite_idempotent(case: Case) -> DataFrame:
     """The same days written twice, then read back."""
@@ -304,6 +345,16 @@ def dim_datetime(case: Case) -> DataFrame:
     return dims.datetime_dim(dims.series_profile(case.silver_rows)).drop("created_at")
 
 
+@query
+def dim_calendar_fixed_range(case: Case) -> DataFrame:
+    """Days and hours of a calendar of given bounds, a month wider than the data at either end."""
+    first, last = case.range_of_days()
+    bounds = first - dt.timedelta(days=31), last + dt.timedelta(days=31)
+    days, hours = dims.date_dim(case.profile, *bounds), dims.datetime_dim(case.profile, *bounds)
+    counted = hours.groupBy("date_id").agg(F.count(F.lit(1)).alias("hours"))
+    return days.join(counted, "date_id").select("date_id", "year_month", "is_weekend", "hours")
+
+
 @query
 def dim_exchange(case: Case) -> DataFrame:
     return dims.exchange_dim(staged(dims.series_profile(case.silver_rows), "profile"))
@@ -390,6 +441,22 @@ def fact_daily_summary(case: Case) -> DataFrame:
     return quality.daily_summary(case.daily)
 
 
+@query
+def hourly_summary_of_cells(case: Case) -> DataFrame:
+    """The summary of the hourly fact from bitmaps and sums per day, not from the fact."""
+    return summaries.hourly_summary_of(staged(summaries.hourly_cells(case.hourly), "cells"))
+
+
+@query
+def daily_summary_of_cells(case: Case) -> DataFrame:
+    return summaries.daily_summary_of(staged(summaries.daily_cells(case.daily), "cells"))
+
+
+@query
+def range_profile_of_days(case: Case) -> DataFrame:
+    return summaries.range_profile_of(staged(dims.series_days(case.silver_rows), "days"))
+
+
 @query
 def daily_prev_gap(case: Case) -> DataFrame:
     """The daily fact without every fifth day."""
@@ -414,7 +481,7 @@ def warehouse_refresh(case: Case) -> DataFrame:
     first, last = case.range_of_days()
     refresh_warehouse(case.spark, raw, root, first, last, ingested_at="landed_at")
     refresh_warehouse(case.spark, raw, root, last, last, ingested_at="landed_at", landed_until=last + dt.timedelta(days=1))
-    return Warehouse(case.spark, root).read("fact_market_daily")
+    return Warehouse(case.spark, root).read("fact_market_daily").drop("processed_at")
 
 
 @query
@@ -426,7 +493,7 @@ def refresh_subset(case: Case) -> DataFrame:
     refresh_warehouse(case.spark, raw, root, first, last, ingested_at="landed_at")
     some = {C.BINANCE: ["BTCUSDT"], C.POLONIEX: ["BTC_USDT"]}
     refresh_warehouse(case.spark, raw, root, last, last, some, "landed_at")
-    return Warehouse(case.spark, root).read("fact_market_daily")
+    return Warehouse(case.spark, root).read("fact_market_daily").drop("processed_at")
 
 
 @query
@@ -438,7 +505,7 @@ def refresh_with_corrections(case: Case) -> DataFrame:
     early = payloads_from_candles(swapped).withColumn("landed_at", F.col("landed_at") - F.expr("interval 1 hour"))
     raw = staged(early.unionByName(payloads_from_candles(candles)), "raw")
     refresh_warehouse(case.spark, raw, root, *case.range_of_days())
-    return Warehouse(case.spark, root).read("fact_market_daily")
+    return Warehouse(case.spark, root).read("fact_market_daily").drop("processed_at")
 
 
 @query
@@ -451,7 +518,7 @@ def refresh_after_break(case: Case) -> DataFrame:
     for table in (*[f"fact_keys_{d}" for d in KEYED], "fact_market_daily"):
         tables.write_table(house.read(table).limit(0), house.path(table))
     refresh_warehouse(case.spark, raw, house.root, last, last, ingested_at="landed_at")
-    return house.read("fact_market_daily")
+    return house.read("fact_market_daily").drop("processed_at")
 
 
 @query
@@ -463,7 +530,35 @@ def refresh_new_pairs(case: Case) -> DataFrame:
     some = {C.BINANCE: ["ETHUSDT", "SOLUSDT"], C.POLONIEX: ["ETH_USDT"]}
     refresh_warehouse(case.spark, raw, house.root, first, first, some, "landed_at")
     refresh_warehouse(case.spark, raw, house.root, first, last, ingested_at="landed_at")
-    return house.read("fact_market_daily")
+    return house.read("fact_market_daily").drop("processed_at")
+
+
+@query
+def refresh_levels(case: Case) -> DataFrame:
+    """A full refresh, then some days in the middle again: what the small levels above the facts say,
+    and how many rows of the facts were computed since the first refresh began."""
+    house = Warehouse(case.spark, new_folder(case.spark, "warehouse"))
+    raw = staged(case.raw, "raw")
+    began = dt.datetime.now(dt.UTC)
+    refresh_warehouse(case.spark, raw, house.root, *case.range_of_days(), ingested_at="landed_at")
+    refresh_warehouse(case.spark, raw, house.root, *case.few_days(), ingested_at="landed_at")
+
+    def line(level: str, summary: DataFrame, fact: str) -> DataFrame:
+        recent = house.read(fact).agg(F.count_if(F.col("processed_at") >= F.lit(began))).scalar()
+        return summary.select(
+            F.lit(level).alias("level"), "total_records", "distinct_exchanges", "distinct_symbols", recent.alias("processed_rows")
+        )
+
+    months = house.read("fact_market_monthly")
+    monthly = months.agg(
+        F.sum("trade_count").alias("total_records"), F.count_distinct("exchange_id").alias("distinct_exchanges"),
+        F.count_distinct("symbol_id").alias("distinct_symbols"),
+    )
+    return (
+        line("hourly", summaries.hourly_summary_of(house.read("hourly_cells")), "fact_market_hourly")
+        .unionByName(line("daily", summaries.daily_summary_of(house.read("daily_cells")), "fact_market_daily"))
+        .unionByName(monthly.select(F.lit("monthly trades").alias("level"), "*", F.lit(None).cast("bigint").alias("processed_rows")))
+    )
 
 
 @query
@@ -517,6 +612,12 @@ def date_gaps(case: Case) -> DataFrame:
     return quality.gap_report(_thinned(case.silver), case.profile)
 
 
+@query
+def gap_intervals(case: Case) -> DataFrame:
+    """Runs of missing days of every series, as intervals."""
+    return quality.gap_intervals(dims.series_days(_thinned(case.silver)), case.profile)
+
+
 @query
 def hour_completeness(case: Case) -> DataFrame:
     thinned = _thinned(case.silver)
@@ -562,6 +663,44 @@ def volume_traded(case: Case) -> DataFrame:
     return _named(case, metrics.volume_traded(metrics.in_period(case.daily, *case.period())))
 
 
+def _odd_periods(case: Case) -> dict[str, tuple[dt.date, dt.date]]:
+    """Periods that end within months, take in a whole one, and start with one."""
+    first, last = case.range_of_days()
+    day = dt.timedelta(days=1)
+    return {"within": case.period(), "around": (first - 20 * day, last + 45 * day), "from first": (first, last + 2 * day),
+            "one day": (first + 7 * day, first + 7 * day)}
+
+
+def _over_periods(case: Case, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    daily = staged(case.daily, "daily")
+    months = staged(summaries.month_candles(daily), "months")
+    return feed.union_days([
+        _named(case, build(summaries.period_pieces(daily, months, *days))).withColumn("period", F.lit(label))
+        for label, days in _odd_periods(case).items()
+    ])
+
+
+@query
+def return_over_periods(case: Case) -> DataFrame:
+    """Accumulated returns over odd periods, from whole months and the days at both ends."""
+    return _over_periods(case, summaries.return_of)
+
+
+@query
+def volume_over_periods(case: Case) -> DataFrame:
+    return _over_periods(case, summaries.volume_of)
+
+
+@query
+def index_of_last_days(case: Case) -> DataFrame:
+    """The base-100 index of the last days of a period, with the base from months and days of the whole one."""
+    start, end = _odd_periods(case)["around"]
+    daily = staged(case.daily, "daily")
+    pieces = summaries.period_pieces(daily, staged(summaries.month_candles(daily), "months"), start, end)
+    last = case.range_of_days()[1]
+    return _named(case, summaries.index_base_100_of(daily, pieces, last - dt.timedelta(days=4), end))
+
+
 @query
 def rank_by_return(case: Case) -> DataFrame:
     return _named(case, metrics.rank_by_return(metrics.in_period(case.daily, *case.period()))).select(

@@ -172,6 +172,13 @@ ends AS (
   GROUP BY ALL),
 returns AS (SELECT *, (last_price - first_price) / NULLIF(first_price, 0) * 100 AS return_pct FROM ends)"""
 
+_PERIODS = f""",
+periods AS (
+  SELECT 'within' AS period, {_FIRST} + 5 AS a, {_LAST} - 5 AS b
+  UNION ALL SELECT 'around', {_FIRST} - 20, {_LAST} + 45
+  UNION ALL SELECT 'from first', {_FIRST}, {_LAST} + 2
+  UNION ALL SELECT 'one day', {_FIRST} + 7, {_FIRST} + 7)"""
+
 ORACLES: dict[str, str] = {
     "bronze_parse_binance": _with(_CANDLES, f"SELECT {_BRONZE_COLUMNS} FROM bronze WHERE exchange = 'binance'"),
     "bronze_parse_poloniex": _with(_CANDLES, f"SELECT {_BRONZE_COLUMNS} FROM bronze WHERE exchange = 'poloniex'"),
@@ -214,6 +221,16 @@ SELECT CAST(d AS DATE) AS rate_date
 FROM (SELECT MIN(CAST(ts AS DATE)) AS lo, MAX(CAST(ts AS DATE)) AS hi FROM events),
      generate_series(CAST(lo - 2 AS TIMESTAMP), CAST(hi + 2 AS TIMESTAMP), INTERVAL 1 DAY) AS g(d)
 WHERE CAST(d AS DATE) NOT IN (SELECT CAST(ts AS DATE) FROM events)""",
+    "empty_load_stops": _with(_CANDLES, """
+SELECT day, COUNT(c.hour) = 0 AS stopped, CAST(COUNT(c.hour) AS BIGINT) AS "rows"
+FROM (SELECT unnest([MIN(CAST(ts AS DATE)) - 2, MIN(CAST(ts AS DATE)), MAX(CAST(ts AS DATE)), MAX(CAST(ts AS DATE)) + 2]) AS day FROM events)
+LEFT JOIN candles c ON CAST(c.hour AS DATE) = day GROUP BY day"""),
+    "load_of_yesterday": _with(_CANDLES, f"""
+SELECT symbol, open_time_ms, open, close, volume, trade_count FROM bronze
+WHERE exchange = 'binance' AND rate_date = {_LAST}"""),
+    "missing_table_warns": _with(_CANDLES, """
+SELECT 'after' AS state, TRUE AS found, CAST(COUNT(*) AS BIGINT) AS "rows" FROM bronze
+UNION ALL SELECT 'before', FALSE, 0"""),
     "partition_overwrite_idempotent": _with(_CANDLES, """
 SELECT rate_date, CAST(COUNT(*) AS BIGINT) AS "rows", CAST(SUM(trade_count) AS BIGINT) AS trades
 FROM bronze GROUP BY rate_date"""),
@@ -250,6 +267,10 @@ SELECT d AS datetime_id, CAST(d AS DATE) AS date_id, d AS datetime, strftime(d,
        CASE WHEN hour(d) < 6 THEN 'Dawn' WHEN hour(d) < 12 THEN 'Morning'
             WHEN hour(d) < 18 THEN 'Afternoon' ELSE 'Night' END AS hour_period
 FROM (SELECT hour AS d FROM hours)"""),
+    "dim_calendar_fixed_range": """
+SELECT CAST(d AS DATE) AS date_id, strftime(d, '%Y-%m') AS year_month, dayofweek(d) IN (0, 6) AS is_weekend, CAST(24 AS BIGINT) AS hours
+FROM (SELECT MIN(CAST(ts AS DATE)) AS lo, MAX(CAST(ts AS DATE)) AS hi FROM events),
+     generate_series(CAST(lo - 31 AS TIMESTAMP), CAST(hi + 31 AS TIMESTAMP), INTERVAL 1 DAY) AS g(d)""",
     "dim_exchange": _with(_HOURLY, "SELECT DISTINCT exchange_id, exchange_name FROM hourly"),
     "dim_symbol": _with(_HOURLY, "SELECT DISTINCT symbol_id, symbol_name FROM hourly"),
     "dim_symbol_preview": _with(_HOURLY, "SELECT DISTINCT symbol_id, symbol_name FROM hourly"),
@@ -336,6 +357,13 @@ known AS (
 keyed AS (
   SELECT * REPLACE (CAST(DENSE_RANK() OVER (ORDER BY symbol_name NOT IN (FROM known), symbol_name) AS INTEGER) AS symbol_id)
   FROM daily)""", f"SELECT {_DAILY_COLUMNS} FROM keyed"),
+    "refresh_levels": _with(_DAILY + """,
+lines AS (
+  SELECT 'hourly' AS level, COUNT(*) AS n, COUNT(DISTINCT exchange_id) AS e, COUNT(DISTINCT symbol_id) AS s, COUNT(*) AS p FROM hourly
+  UNION ALL SELECT 'daily', COUNT(*), COUNT(DISTINCT exchange_id), COUNT(DISTINCT symbol_id), COUNT(*) FROM daily
+  UNION ALL SELECT 'monthly trades', SUM(trade_count), COUNT(DISTINCT exchange_id), COUNT(DISTINCT symbol_id), NULL FROM hourly)""", """
+SELECT level, CAST(n AS BIGINT) AS total_records, CAST(e AS BIGINT) AS distinct_exchanges, CAST(s AS BIGINT) AS distinct_symbols,
+       CAST(p AS BIGINT) AS processed_rows FROM lines"""),
     "refresh_checks": _with(_CANDLES + """,
 held AS (
   SELECT exchange, asset, hour, CAST(hour AS DATE) AS day, high, low, close,
@@ -404,6 +432,14 @@ FROM counted GROUP BY table_name"""),
 SELECT exchange, symbol, CAST(ANY_VALUE(n) AS BIGINT) AS calendar_days,
        CAST(ANY_VALUE(n) - COUNT(DISTINCT rate_date) AS BIGINT) AS missing_days
 FROM thinned, (SELECT COUNT(*) AS n FROM calendar) GROUP BY exchange, symbol"""),
+    "gap_intervals": _with(_SILVER + _BOUNDS + _THINNED + """,
+absent AS (
+  SELECT s.exchange, s.symbol, c.day,
+         c.day - CAST(ROW_NUMBER() OVER (PARTITION BY s.exchange, s.symbol ORDER BY c.day) AS INTEGER) AS island
+  FROM (SELECT DISTINCT exchange, symbol FROM thinned) s CROSS JOIN calendar c
+  WHERE NOT EXISTS (SELECT 1 FROM thinned t WHERE t.exchange = s.exchange AND t.symbol = s.symbol AND t.rate_date = c.day))""", """
+SELECT exchange, symbol, MIN(day) AS first_missing, MAX(day) AS last_missing, CAST(COUNT(*) AS INTEGER) AS missing_days
+FROM absent GROUP BY exchange, symbol, island"""),
     "hour_completeness": _with(_SILVER + _BOUNDS + _COMPLETE, "SELECT * FROM complete"),
     "hour_completeness_summary": _with(_SILVER + _BOUNDS + _COMPLETE, """
 SELECT exchange, symbol, CAST(COUNT(*) AS BIGINT) AS days, CAST(COUNT(*) FILTER (WHERE hours = 24) AS BIGINT) AS complete_days,
@@ -433,6 +469,19 @@ FROM (SELECT *, FIRST_VALUE(close_price) OVER (PARTITION BY exchange_id, symbol_
     "volume_traded": _with(_DAILY, f"""
 SELECT exchange_name, symbol_name, CAST(SUM(volume) AS DOUBLE) AS volume, CAST(SUM(trade_count) AS BIGINT) AS trade_count
 FROM daily WHERE {_PERIOD} GROUP BY exchange_name, symbol_name"""),
+    "return_over_periods": _with(_DAILY + _PERIODS, """
+SELECT period, exchange_name, symbol_name, CAST(first_price AS DOUBLE) AS first_price, CAST(last_price AS DOUBLE) AS last_price,
+       CAST(ROUND((last_price - first_price) / NULLIF(first_price, 0) * 100, 6) AS DOUBLE) AS return_pct
+FROM (SELECT period, exchange_name, symbol_name, list(close_price ORDER BY date_id)[1] AS first_price, list(close_price ORDER BY date_id)[-1] AS last_price
+      FROM daily JOIN periods ON date_id BETWEEN a AND b GROUP BY ALL)"""),
+    "volume_over_periods": _with(_DAILY + _PERIODS, """
+SELECT period, exchange_name, symbol_name, CAST(SUM(volume) AS DOUBLE) AS volume, CAST(SUM(trade_count) AS BIGINT) AS trade_count
+FROM daily JOIN periods ON date_id BETWEEN a AND b GROUP BY ALL"""),
+    "index_of_last_days": _with(_DAILY, f"""
+SELECT exchange_name, symbol_name, date_id, CAST(close_price AS DOUBLE) AS close_price, CAST(base AS DOUBLE) AS base_price,
+       CAST(ROUND(close_price / NULLIF(base, 0) * 100, 6) AS DOUBLE) AS index_100
+FROM (SELECT *, FIRST_VALUE(close_price) OVER (PARTITION BY exchange_id, symbol_id ORDER BY date_id) AS base FROM daily)
+WHERE date_id >= {_LAST} - 4"""),
     "rank_by_return": _with(_ENDS, """
 SELECT CAST(RANK() OVER (ORDER BY return_pct DESC NULLS LAST) AS INTEGER) AS return_rank, exchange_name, symbol_name,
        CAST(ROUND(return_pct, 6) AS DOUBLE) AS return_pct FROM returns"""),
@@ -454,3 +503,10 @@ SELECT date_id AS date, symbol_name, exchange_name,
 FROM daily WHERE {_PERIOD}
 ORDER BY (high_price - low_price) / NULLIF(open_price, 0) DESC NULLS LAST, date_id, symbol_name, exchange_name LIMIT 5"""),
 }
+
+# The same results from the small levels above the facts.
+ORACLES |= {
+    "hourly_summary_of_cells": ORACLES["fact_hourly_summary"],
+    "daily_summary_of_cells": ORACLES["fact_daily_summary"],
+    "range_profile_of_days": ORACLES["bronze_range_profile"].replace("FROM bronze", "FROM (SELECT rate_date, substr(asset || '_USDT', 1) AS symbol FROM (SELECT *, CAST(hour AS DATE) AS rate_date FROM candles))"),
+}

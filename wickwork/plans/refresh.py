@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wickwork import schemas
-from wickwork.operators import dims, facts, quality, silver
+from wickwork.operators import dims, facts, quality, silver, summaries
 from wickwork.operators.latest import dedupe_latest, latest_known
 from wickwork.plans.checks import check_lines
 from wickwork.session import pin_utc, staged
@@ -133,11 +133,12 @@ def refresh_silver(house: Warehouse, start: dt.date, end: dt.date) -> dict[str,
     return {"silver_hourly": written, "silver_rejected": counts["rejected"]}
 
 
-def refresh_dims(house: Warehouse, start: dt.date, end: dt.date) -> None:
+def refresh_dims(house: Warehouse, start: dt.date, end: dt.date, calendar: tuple[dt.date, dt.date] | None = None) -> None:
     """Bring the four dimensions up to date; known names keep their keys.
 
     Only the given days of silver are read. The other days come from the stored
-    summary that has one row per series and day.
+    summary that has one row per series and day. The calendars cover the data, or the days
+    of `calendar`, with their planned attributes.
     """
     rows = _days(house.read("silver_hourly"), "rate_date", start, end)
     tables.write_partitions(dims.series_days(rows), house.path("series_days"))
@@ -147,8 +148,9 @@ def refresh_dims(house: Warehouse, start: dt.date, end: dt.date) -> None:
         stored = house.find(name)
         # Staged, since it is replaced by what is built from it.
         tables.write_table(build(profile, None if stored is None else staged(stored, name)), house.path(name))
-    tables.write_table(dims.date_dim(profile), house.path("dim_date"))
-    tables.write_table(dims.datetime_dim(profile), house.path("dim_datetime"))
+    days = calendar or (None, None)
+    tables.write_table(dims.with_month_flags(dims.date_dim(profile, *days)), house.path("dim_date"))
+    tables.write_table(dims.with_business_hour(dims.datetime_dim(profile, *days)), house.path("dim_datetime"))
 
 
 def _facts_use_current_keys(house: Warehouse) -> bool:
@@ -188,7 +190,7 @@ def _daily_days(house: Warehouse, start: dt.date, end: dt.date) -> DataFrame:
              .distinct().collect()]  # no more than the calendar has
     stored = house.read("fact_market_daily").where(F.col("date_id").isin(dates))
     candles = facts.daily_candles(_days(house.read("fact_market_hourly"), "date_id", start, end))
-    fresh = facts.with_variations(candles.unionByName(stored.select(*candles.columns)))
+    fresh = facts.with_processed_at(facts.with_variations(candles.unionByName(stored.select(*candles.columns))))
     inside = F.col("date_id").between(F.lit(start), F.lit(end))
 
     follows = near.where("after IS NOT NULL").select(*facts.SERIES, F.col("after").alias("date_id"))
@@ -198,6 +200,28 @@ def _daily_days(house: Warehouse, start: dt.date, end: dt.date) -> DataFrame:
     ).unionByName(later.join(follows, facts.DAILY_KEY, "left_anti"))
 
 
+def _refresh_levels(house: Warehouse, start: dt.date, end: dt.date, present: set[dt.date], daily: DataFrame | None) -> None:
+    """The small levels above the facts: cells per day, candles per month. `daily`: the days that were
+    written; None: all. A month is made again from the days that are stored of it."""
+    write = tables.write_table if daily is None else tables.write_partitions
+    hourly, stored = house.read("fact_market_hourly"), house.read("fact_market_daily")
+    if daily is None:
+        daily, touched = stored, stored
+    else:
+        hourly = _days(hourly, "date_id", start, end)
+        first, last = start.replace(day=1), (end.replace(day=1) + dt.timedelta(days=31)).replace(day=1) - dt.timedelta(days=1)
+        touched = _days(stored, "date_id", first, last)
+    write(summaries.hourly_cells(hourly), house.path("hourly_cells"), "date_id")
+    write(summaries.daily_cells(daily), house.path("daily_cells"), "date_id")
+    months = summaries.month_candles(touched)
+    write(months, house.path("fact_market_monthly"), "month")
+    if touched is not stored:
+        for table in ("hourly_cells", "daily_cells"):
+            _clear(house, table, "date_id", start, end, present)
+        _clear(house, "fact_market_monthly", "month", first, last, tables.days_held(
+            touched.select(F.trunc("date_id", "month").alias("month")), "month", first, last))
+
+
 def refresh_facts(house: Warehouse, start: dt.date, end: dt.date) -> dict[str, int]:
     """Hourly, then daily facts.
 
@@ -213,25 +237,31 @@ def refresh_facts(house: Warehouse, start: dt.date, end: dt.date) -> dict[str, i
 
     silver_rows = house.read("silver_hourly")
     write = tables.write_table if anew else tables.write_partitions
-    hourly = facts.hourly_fact(
+    hourly = facts.with_processed_at(facts.hourly_fact(
         silver_rows if anew else _days(silver_rows, "rate_date", start, end), exchanges, symbols, datetimes
-    ).withColumn("date_id", F.to_date("datetime_id"))
+    )).withColumn("date_id", F.to_date("datetime_id"))
     hourly_rows = write(hourly, house.path("fact_market_hourly"), "date_id")
     present = tables.days_held(silver_rows, "rate_date", start, end)
     if not anew:
         _clear(house, "fact_market_hourly", "date_id", start, end, present)
 
-    daily = facts.daily_fact(house.read("fact_market_hourly")) if anew else staged(_daily_days(house, start, end), "daily")
+    if anew:
+        daily = facts.with_processed_at(facts.daily_fact(house.read("fact_market_hourly")))
+    else:
+        daily = staged(_daily_days(house, start, end), "daily")
     daily_rows = write(daily, house.path("fact_market_daily"), "date_id")
     if not anew:
         _clear(house, "fact_market_daily", "date_id", start, end, present)
+    _refresh_levels(house, start, end, present, None if anew else daily)
     for name, dim in zip(KEYED, (exchanges, symbols)):
         tables.write_table(dim, house.path(f"fact_keys_{name}"))
     return {"fact_market_hourly": hourly_rows, "fact_market_daily": daily_rows}
 
 
 def refresh_checks(house: Warehouse, start: dt.date, end: dt.date) -> None:
-    """Store the checks of the days under their last day, then stop on a failed gate."""
+    """Store the gaps of all series, and the checks of the days under their last day; then stop on a failed gate."""
+    days = house.read("series_days")
+    tables.write_table(quality.gap_intervals(days, dims.profile_of_days(days)), house.path("series_gaps"))
     lines = check_lines(house.read, start, end)
     tables.write_partitions(
         lines.withColumns({"first_day": F.lit(start), "last_day": F.lit(end)}), house.path("checks"), "last_day"
@@ -242,20 +272,21 @@ def refresh_checks(house: Warehouse, start: dt.date, end: dt.date) -> None:
 def refresh_warehouse(
     spark: SparkSession, raw: DataFrame, root: str, start: dt.date | None = None, end: dt.date | None = None,
     symbols: dict[str, list[str]] | None = None, ingested_at: Column | str | None = None,
-    landed_until: dt.date | None = None,
+    landed_until: dt.date | None = None, calendar: tuple[dt.date, dt.date] | None = None,
 ) -> dict[str, int]:
     """Load the days and bring every table up to date; returns rows written per table.
 
     Without days it loads yesterday (UTC), without an end one day; with `landed_until`, only from
-    what had landed by the end of that day. Safe to repeat: each stage replaces whole
-    days or whole tables. Ends with the checks of what is stored.
+    what had landed by the end of that day. The calendars cover the days of the data, or
+    of `calendar`. Safe to repeat: each stage replaces whole days or whole tables. Ends
+    with the checks of what is stored.
     """
     start = start or previous_day()
     end = end or start
     house = Warehouse(pin_utc(spark), root)
     written = load_bronze(raw, house, start, end, symbols, ingested_at, landed_until)
     written |= refresh_silver(house, start, end)
-    refresh_dims(house, start, end)
+    refresh_dims(house, start, end, calendar)
     written |= refresh_facts(house, start, end)
     refresh_checks(house, start, end)
     return written

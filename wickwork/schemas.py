@@ -50,7 +50,14 @@ DAILY = _table(
     _PRICE,
 )
 
-HOURLY_STORED = T.StructType([*HOURLY.fields, T.StructField("date_id", _DAY)])
+_PROCESSED = T.StructField("processed_at", _TIME)
+HOURLY_STORED = T.StructType([*HOURLY.fields, _PROCESSED, T.StructField("date_id", _DAY)])
+DAILY_STORED = T.StructType([*DAILY.fields, _PROCESSED])
+
+GAPS = _table(
+    ["exchange", "symbol", "first_missing", "last_missing", "missing_days"],
+    {"first_missing": _DAY, "last_missing": _DAY, "missing_days": _INT}, _TEXT,
+)
 
 SERIES_DAYS = _table(
     ["exchange", "symbol", "row_count", "min_open_time", "max_close_time", "rate_date"],
@@ -74,6 +81,7 @@ STORED = {
     "dim_exchange": EXCHANGES,
     "dim_symbol": SYMBOLS,
     "fact_market_hourly": HOURLY_STORED,
-    "fact_market_daily": DAILY,
+    "fact_market_daily": DAILY_STORED,
+    "series_gaps": GAPS,
     "checks": CHECKS,
 }
