@@ -36,7 +36,7 @@ from wickwork.llm.common import staged
 
 WIDTH, K = 50, 18
 #: Bytes of segments that one suffix array is made for, on average.
-GROUP_BYTES = 2 << 20
+GROUP_BYTES = 1 << 19
 _ROWS = 256
 _TABLE = tokens.byte_table(range(256), lower=False)
 _KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
