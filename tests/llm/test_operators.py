@@ -173,6 +173,31 @@ def test_main_text(spark):
     assert [r.text == "" for r in html.extract(df).orderBy("page_id").collect()] == [True, True, True, False]
 
 
+LONG = "".join(f"<p>{'A long paragraph of the article, with many words in it. ' * 3}{i}</p>" for i in range(5))
+
+
+@pytest.mark.parametrize("wrapper", [
+    "<div class='has-sidebar'>{}</div>", "<div class='with-ads'><main>{}</main></div>", "<div id='menu-wrapper'>{}</div>",
+    "<article class='cookie recipe'>{}</article>", "<div class='sidebar'><main>{}</main></div>", "<body><div>{}</div>",
+])
+def test_wrappers_do_not_hide_the_article(wrapper):
+    page = f"<body><nav><a href=x>Menu</a></nav>{wrapper.format(LONG)}<article class='comment'><p>Nice work, and thank you.</p></article>"
+    assert [line[-1] for line in html.main_text(page).split("\n")] == list("01234")
+
+
+def test_short_pages_and_what_stands_in_a_line():
+    assert html.main_text("<body><div><p>Short story here.</p></div>") == "Short story here."
+    assert html.main_text("<nav><a href=x>Menu</a></nav><p>One</p><p><a href=y>Read more</a></p>") == "One"
+    line = "<article><p>The formula <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds<script>var x = '<p>'</script>, <button>press</button> or <object>see</object> it.</p></article>"
+    assert html.main_text(line) == "The formula x=1 holds, press or see it."
+    assert html.main_text("<div class='sidebar'><p>a b</p></div><select><option>a<option>b</select>") == ""
+
+
+def test_extract_of_no_pages(spark):
+    pages = spark.createDataFrame([(1, "<p>One</p>", 5)], "page_id long, html string, text int")
+    assert html.extract(pages.limit(0)).count() == 0 and html.extract(pages).first().text == "One"
+
+
 def test_cut_is_minimal():
     rnd = random.Random(2)
     for _ in range(40):

@@ -5,10 +5,13 @@ node. A small fixed classifier (where the node stands, links, length) gives each
 cost of calling it content and of calling it boilerplate; these are its capacities to the
 two terminals. Neighbours in page order, and nodes whose containers are near in the DOM,
 are joined by smoothness edges. The minimum cut, found by maximum flow, labels all
-nodes of a page at the least total cost; the content side is the main text.
+nodes of a page at the least total cost; the content side is the main text. A page
+without a content side, as a very short one, gives its nodes that are neither marked as
+something else nor mostly links.
 
 Scripts, styles, form controls and other elements that show no text are left out while
-parsing. Character references are decoded, white space in a block becomes one blank, and
+parsing, and do not end the block they stand in; formulas, drawings' words, buttons and
+fallback texts of objects stay in their line. Character references are decoded, white space in a block becomes one blank, and
 blocks are joined by one line feed. A null or empty page, and one without content, has the
 empty text. Every page stands alone, so repeated rows, ids and other columns do not matter.
 """
@@ -24,14 +27,19 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_SILENT = set("script style noscript template head title svg math iframe object canvas select option button textarea datalist audio video map".split())
+_SILENT = set("script style noscript template head title iframe select option textarea datalist".split())
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-_INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt rp s samp small span strike strong sub sup time tt u var".split())
+_INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt rp s samp small span strike strong sub sup time tt u var math svg object canvas button audio video map".split())
+#: Whatever is inside these is part of the line they stand in.
+_IN_LINE_WHOLE = set("math svg".split())
 _LEAF = set("p h1 h2 h3 h4 h5 h6 li dt dd td th pre blockquote figcaption caption summary address legend".split())
 _AWAY = set("nav footer aside form menu dialog fieldset".split())
 _MAIN = set("article main".split())
-#: Words of class, id and role that name what is not the article; the first set holds whatever is inside.
+#: Words of class, id and role that name what is not the article. The first set holds whatever is inside,
+#: but not where the same name tells of a layout, as in has-sidebar; comments hold articles, too.
 _AWAY_NAMES = set("nav navbar navigation menu footer sidebar aside comment comments disqus reply replies respond advert adverts advertisement ad ads adsense cookie consent breadcrumb breadcrumbs newsletter subscribe signup login popup modal share sharing social related recommended promo promoted sponsor sponsored".split())
+_COMMENT_NAMES = set("comment comments disqus reply replies respond".split())
+_LAYOUT_WORDS = set("has have with without no not enabled disabled wrap wrapper container page layout outer inner site".split())
 _SOFT_NAMES = set("header masthead banner notice alert toolbar widget teaser pagination pager tags meta byline".split())
 _MAIN_NAMES = set("article content main post entry story body".split())
 
@@ -40,22 +48,41 @@ _ADJACENT, _DOM = 0.5, 1.0
 _UNIT = 1000  # capacities are whole thousandths, so the cut is exact
 
 
+def _words(names: str) -> list[set[str]]:
+    """The words of each name."""
+    return [set(re.split(r"[^a-z0-9]+", name)) - {""} for name in names.lower().split()]
+
+
 class _Element:
+    """An open element: -1 away from the article, 0 unknown, 1 in it; and whether that holds for all inside.
+
+    Tags and names of comments hold whatever is inside. Of other names, only a whole one does, and
+    a main element inside is the article all the same. An article is not away by what
+    it is about, only as a comment.
+    """
+
     __slots__ = ("tag", "parent", "depth", "place", "hard")
 
-    def __init__(self, tag: str, parent: _Element | None, names: set[str]):
+    def __init__(self, tag: str, parent: _Element | None, names: list[set[str]]):
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
-        place, hard = (parent.place, parent.hard) if parent else (0, False)
+        place, hard = (parent.place, parent.hard) if parent else (0, "")
+        every = set().union(*names)
+        away = set().union(*(n for n in names if not n & _LAYOUT_WORDS)) & _AWAY_NAMES
+        if tag in _MAIN:
+            away &= _COMMENT_NAMES
+        if tag == "main" and hard == "name":
+            hard = ""
         if not hard:
-            if tag in _AWAY or names & _AWAY_NAMES and tag not in ("body", "html"):
+            if tag in _AWAY or away and tag not in ("body", "html"):
                 # A wrapper that is named after its sidebar may still hold the article.
-                place, hard = -1, tag in _AWAY or bool(names & _AWAY_NAMES and not names & _MAIN_NAMES)
-            elif tag in _MAIN or "main" in names:
+                place = -1
+                hard = "tag" if tag in _AWAY or away & _COMMENT_NAMES else "name" if not every & _MAIN_NAMES else ""
+            elif tag in _MAIN or "main" in every:
                 place = 1
-            elif tag == "header" and place <= 0 or names & _SOFT_NAMES and tag not in ("body", "html"):
+            elif tag == "header" and place <= 0 or every & _SOFT_NAMES and tag not in ("body", "html"):
                 place = -1
-            elif names & _MAIN_NAMES and tag != "body":
+            elif every & _MAIN_NAMES and tag != "body":
                 place = 1
         self.place, self.hard = place, hard
 
@@ -65,8 +92,8 @@ class _Blocks(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open = [_Element("html", None, set())]
-        self.links = self.silent = self.link_chars = 0
+        self.open = [_Element("html", None, [])]
+        self.links = self.silent = self.whole = self.link_chars = 0
         self.parts: list[str] = []
         self.blocks: list[tuple[str, _Element, int]] = []
 
@@ -74,7 +101,7 @@ class _Blocks(HTMLParser):
         text = " ".join("".join(self.parts).split())
         if text:
             at = self.open[-1]
-            while at.parent and at.tag in _LEAF | _INLINE:
+            while at.parent and (at.tag in _LEAF | _INLINE or at.tag[:1] in "!="):
                 at = at.parent
             self.blocks.append((text, at, self.link_chars))
         self.parts, self.link_chars = [], 0
@@ -83,36 +110,45 @@ class _Blocks(HTMLParser):
         if tag in _VOID:
             self.parts.append(" ")
             return
+        values = dict(attrs)
+        if self.silent or tag in _SILENT:  # shows nothing, and does not end the block it stands in
+            self.silent += 1
+            self.open.append(_Element("!" + tag, self.open[-1], []))
+            return
+        if self.whole or tag in _IN_LINE_WHOLE:
+            self.whole += 1
+            self.open.append(_Element("=" + tag, self.open[-1], []))
+            return
         if tag not in _INLINE:
             self._flush()
             if self.open[-1].tag == "p" or tag in ("li", "dt", "dd", "td", "th", "tr") and self.open[-1].tag == tag:
                 self.open.pop()
-            elif tag in _LEAF or tag not in _SILENT:
+            else:
                 for i in range(len(self.open) - 1, max(len(self.open) - 8, 0), -1):  # <p> ends at the next block
                     if self.open[i].tag == "p":
                         self._close(i)
                         break
                     if self.open[i].tag not in _INLINE:
                         break
-        values = dict(attrs)
-        if tag in _SILENT or "hidden" in values:
+        if "hidden" in values:
             self.silent += 1
-            self.open.append(_Element("!" + tag, self.open[-1], set()))
+            self.open.append(_Element("!" + tag, self.open[-1], []))
             return
         self.links += tag == "a"
-        names = set(re.split(r"[^a-z0-9]+", " ".join((values.get(k) or "").lower() for k in ("class", "id", "role")))) - {""}
-        self.open.append(_Element(tag, self.open[-1], names))
+        self.open.append(_Element(tag, self.open[-1], _words(" ".join(values.get(k) or "" for k in ("class", "id", "role")))))
 
     def _close(self, i: int) -> None:
         for x in self.open[i:]:
             self.links -= x.tag == "a"
             self.silent -= x.tag[:1] == "!"
+            self.whole -= x.tag[:1] == "="
         del self.open[i:]
 
     def handle_endtag(self, tag):
         for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag.removeprefix("!") == tag:
-                if tag not in _INLINE:
+            own = self.open[i].tag
+            if own.lstrip("!=") == tag:
+                if own == tag not in _INLINE:
                     self._flush()
                 self._close(i)
                 return
@@ -230,7 +266,10 @@ def main_text(page: str | None) -> str:
             graph.join(last[at], i, round(_UNIT * _DOM), round(_UNIT * _DOM))
         last[at] = i
     side = graph.source_side(n, n + 1)
-    return "\n".join(text for i, node in enumerate(nodes) if side[i] for text in node[4])
+    kept = [side[i] for i in range(n)]
+    if not any(kept):  # nothing tells the article: all that is not marked as something else, but for lists of links
+        kept = [at.place >= 0 and 2 * linked < chars for at, chars, linked, *_ in nodes]
+    return "\n".join(text for i, node in enumerate(nodes) if kept[i] for text in node[4])
 
 
 def _main_texts(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:

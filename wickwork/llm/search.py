@@ -238,7 +238,7 @@ def _found(found: list[tuple], id_: pa.Array) -> pa.RecordBatch:
 
 
 def _block(docs: DataFrame, items: list[tuple], k: int) -> DataFrame:
-    """Results of some items: (item_id, doc_id, score), the best k of each shard."""
+    """Results of some items: (item_id, rank, doc_id, score)."""
     spark = docs.sparkSession
     terms = sorted({t for _, own in items for t in own})
     posted = staged(docs.mapInArrow(_posted(spark.sparkContext.broadcast(terms)), _POSTED), "postings")
@@ -253,8 +253,11 @@ def _block(docs: DataFrame, items: list[tuple], k: int) -> DataFrame:
     shards = max(1, -(-(n_postings or 0) // SHARD_POSTINGS))
     # Dealt by the row's place in the hash space of its contents; equal documents may lie anywhere.
     dealt = posted.where(F.size("terms") > 0).repartition(shards, F.xxhash64("doc_id", "n", "terms"))
+    found = dealt.mapInArrow(work, "item int, doc_id long, score long")
+    best = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_first("doc_id"))
+    merged = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     names = spark.createDataFrame([(i, item) for i, (item, _) in enumerate(items)], "item int, item_id long")
-    return dealt.mapInArrow(work, "item int, doc_id long, score long").join(F.broadcast(names), "item").select("item_id", "doc_id", "score")
+    return merged.join(F.broadcast(names), "item").select("item_id", "rank", "doc_id", "score")
 
 
 def search(docs: DataFrame, items: DataFrame, k: int = K, block_terms: int = BLOCK_TERMS) -> DataFrame:
@@ -270,6 +273,4 @@ def search(docs: DataFrame, items: DataFrame, k: int = K, block_terms: int = BLO
         rows = asked.where(block == i).groupBy("item_id").agg(F.collect_list("term").alias("terms"))
         chosen = sorted(((r["item_id"], [bytes(t) for t in r["terms"]]) for r in rows.toLocalIterator()), key=lambda x: (x[0] is not None, x[0]))
         parts.append(_block(own, chosen, k))
-    best = Window.partitionBy("item_id").orderBy(F.desc("score"), F.asc_nulls_first("doc_id"))
-    merged = reduce(DataFrame.unionByName, parts).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return merged.select("item_id", "rank", "doc_id", "score")
+    return reduce(DataFrame.unionByName, parts)
