@@ -6,7 +6,7 @@ cost of calling it content and of calling it boilerplate; these are its capaciti
 two terminals. Neighbours in page order, and nodes whose containers are near in the DOM,
 are joined by smoothness edges. The minimum cut, found by maximum flow, labels all
 nodes of a page at the least total cost; the content side is the main text. A page
-without a content side, as a very short one, gives its nodes that are neither marked as
+without a content side, as a very short one, gives its blocks that are neither marked as
 something else nor mostly links.
 
 Scripts, styles, form controls and other elements that show no text are left out while
@@ -266,10 +266,9 @@ def main_text(page: str | None) -> str:
             graph.join(last[at], i, round(_UNIT * _DOM), round(_UNIT * _DOM))
         last[at] = i
     side = graph.source_side(n, n + 1)
-    kept = [side[i] for i in range(n)]
-    if not any(kept):  # nothing tells the article: all that is not marked as something else, but for lists of links
-        kept = [at.place >= 0 and 2 * linked < chars for at, chars, linked, *_ in nodes]
-    return "\n".join(text for i, node in enumerate(nodes) if kept[i] for text in node[4])
+    if not any(side[:n]):  # nothing tells the article
+        return "\n".join(text for text, at, linked in blocks if at.place >= 0 and 2 * linked < len(text))
+    return "\n".join(text for i, node in enumerate(nodes) if side[i] for text in node[4])
 
 
 def _main_texts(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
