@@ -99,3 +99,25 @@ def top_volatile(
         .orderBy(F.desc_nulls_last("volatility_pct"), "date", "symbol_name", "exchange_name")
         .limit(n)
     )
+
+
+def day_peaks(daily: DataFrame) -> DataFrame:
+    """The largest volatility of each day: a stored level that tells which days a top list can come from."""
+    swing = volatility_pct(F.col("high_price"), F.col("low_price"), F.col("open_price"))
+    return daily.groupBy("date_id").agg(F.max(swing).alias("peak"))
+
+
+def top_volatile_by_peaks(
+    daily: DataFrame, peaks: DataFrame, dates: DataFrame, exchanges: DataFrame, symbols: DataFrame,
+    n: int = 5, start: dt.date | None = None, end: dt.date | None = None,
+) -> DataFrame:
+    """`top_volatile`, reading at most n days of the daily fact.
+
+    Days are taken from the largest peak down, earlier ones first among equals, until there are
+    n. Each gives a row as high as its peak, and every row of the days left out stands behind
+    all of these: its value is at most its day's peak, and at equal values its day is later. So
+    the reading may stop there, also with ties at the border.
+    """
+    highest = in_period(peaks, start, end).orderBy(F.desc_nulls_last("peak"), "date_id").limit(n)
+    days = [r.date_id for r in highest.collect()]
+    return top_volatile(daily.where(F.col("date_id").isin(days)), dates, exchanges, symbols, n)

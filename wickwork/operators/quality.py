@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row
@@ -325,11 +326,7 @@ def hour_summary(completeness: DataFrame) -> DataFrame:
 
 def reconcile_daily(hourly: DataFrame, daily: DataFrame) -> DataFrame:
     """Sums of the hours next to the daily row, per key that either table has."""
-    summed = (
-        hourly.withColumn("date_id", F.to_date("datetime_id"))
-        .groupBy(*DAILY_KEY)
-        .agg(F.sum("volume").alias("hours_volume"), F.sum("trade_count").alias("hours_trades"))
-    )
+    summed = _keyed_hours(hourly).withColumnsRenamed({"volume": "hours_volume", "trade_count": "hours_trades"})
     stored = daily.select(*DAILY_KEY, F.col("volume").alias("day_volume"), F.col("trade_count").alias("day_trades"))
     same = F.col("hours_volume").eqNullSafe(F.col("day_volume")) & F.col("hours_trades").eqNullSafe(F.col("day_trades"))
     return summed.join(stored, DAILY_KEY, "full_outer").withColumn("matches", same)
@@ -341,3 +338,59 @@ def reconcile_report(hourly: DataFrame, daily: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("compared_keys"),
         F.count_if(~F.col("matches")).alias("mismatched_keys"),
     )
+
+
+# Checksums by month, day and key ---------------------------------------------
+
+def _keyed_hours(hourly: DataFrame) -> DataFrame:
+    return hourly.withColumn("date_id", F.to_date("datetime_id")).groupBy(*DAILY_KEY).agg(
+        F.sum("volume").alias("volume"), F.sum("trade_count").alias("trade_count"))
+
+
+def day_checksums(keyed: DataFrame) -> DataFrame:
+    """One row per day: its keys, an order-free hash over keys and totals, and the sums.
+
+    `keyed` has one row per series and day, as the daily fact. Checksums of more days come
+    from those of each: hashes by XOR, the rest by addition.
+    """
+    totals = [F.col("volume").cast("decimal(38,8)"), F.col("trade_count").cast("bigint")]
+    return keyed.groupBy("date_id").agg(
+        F.count(F.lit(1)).alias("keys"), F.bit_xor(F.xxhash64(*DAILY_KEY, *totals)).alias("hash"),
+        F.sum(totals[0]).alias("volume"), F.sum(totals[1]).alias("trades"),
+    )
+
+
+def hourly_checksums(hourly: DataFrame) -> DataFrame:
+    """`day_checksums` of what the hours of each series and day add up to."""
+    return day_checksums(_keyed_hours(hourly))
+
+
+def _differing(left: DataFrame, right: DataFrame, by: Column) -> DataFrame:
+    """Values of `by` for which the checksums of the two sides are not the same."""
+    def rolled(side: DataFrame, name: str) -> DataFrame:
+        return side.groupBy(by.alias("part")).agg(F.struct(
+            F.sum("keys"), F.bit_xor("hash"), F.sum("volume"), F.sum("trades")).alias(name))
+
+    both = rolled(left, "l").join(rolled(right, "r"), "part", "full_outer")
+    return both.where(~F.col("l").eqNullSafe(F.col("r"))).select("part")
+
+
+def differing_days(left: DataFrame, right: DataFrame) -> list[dt.date]:
+    """Days whose checksums differ, looked for only in months whose checksums differ.
+
+    No more than the calendar has. Both sides are stored checksums, partitioned by day or small.
+    """
+    months = [r.part for r in _differing(left, right, F.trunc("date_id", "month")).collect()]
+    if not months:
+        return []
+    in_months = F.trunc("date_id", "month").isin(months)
+    return sorted(r.part for r in _differing(left.where(in_months), right.where(in_months), F.col("date_id")).collect())
+
+
+def reconcile_differing(hourly: DataFrame, daily: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """The keys of `reconcile_daily` that do not match, from the days whose checksums differ alone.
+
+    `hourly` and `daily` are stored by `date_id`; of both only the partitions of those days are read.
+    """
+    wanted = F.col("date_id").isin(differing_days(left, right))
+    return reconcile_daily(hourly.where(wanted), daily.where(wanted)).where(~F.col("matches")).drop("matches")

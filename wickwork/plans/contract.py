@@ -21,6 +21,7 @@ from wickwork import constants as C
 from wickwork.operators import dims, facts, metrics, quality, silver, summaries
 from wickwork.operators.latest import dedupe_latest
 from wickwork.operators.numbering import rank_descending
+from wickwork.plans import views
 from wickwork.plans.refresh import KEYED, Warehouse, load_bronze, refresh_warehouse
 from wickwork.session import new_folder, pin_utc, staged
 from wickwork.sources import candles as feed
@@ -637,6 +638,23 @@ def daily_equals_hourly(case: Case) -> DataFrame:
     return quality.reconcile_report(case.hourly, altered)
 
 
+@query
+def altered_days(case: Case) -> DataFrame:
+    """Stored facts of which one day was altered in one series and another lost a key: the keys that do
+    not match, found by checksums of months, then of days, then in those days alone."""
+    root = new_folder(case.spark, "facts")
+    tables.write_table(case.hourly.withColumn("date_id", F.to_date("datetime_id")), f"{root}/hourly", "date_id")
+    first = case.range_of_days()[0]
+    changed, lost = F.lit(first + dt.timedelta(days=4)), F.lit(first + dt.timedelta(days=12))
+    hourly, series = case.spark.read.parquet(f"{root}/hourly"), (F.col("symbol_id") == 1) & (F.col("exchange_id") == 1)
+    altered = facts.daily_fact(hourly).where(~(series & (F.col("date_id") == lost))).withColumn(
+        "trade_count", F.col("trade_count") + F.when(series & (F.col("date_id") == changed), 1).otherwise(0))
+    tables.write_table(altered, f"{root}/daily", "date_id")
+    daily = case.spark.read.parquet(f"{root}/daily")
+    sums = [staged(s, "sums") for s in (quality.hourly_checksums(hourly), quality.day_checksums(daily))]
+    return quality.reconcile_differing(hourly, daily, *sums)
+
+
 # Metrics ------------------------------------------------------------------
 
 def _named(case: Case, rows: DataFrame) -> DataFrame:
@@ -740,6 +758,35 @@ def top_volatile_days(case: Case) -> DataFrame:
     return metrics.top_volatile(case.daily, case.dates, case.exchanges, case.symbols, 5, *case.period())
 
 
+@query
+def top_volatile_by_peaks(case: Case) -> DataFrame:
+    """The most volatile days from the stored days whose largest volatility is highest."""
+    path = new_folder(case.spark, "daily")
+    tables.write_table(case.daily, path, "date_id")
+    daily = case.spark.read.schema(case.daily.schema).parquet(path)
+    peaks = staged(metrics.day_peaks(daily), "peaks")
+    return metrics.top_volatile_by_peaks(daily, peaks, case.dates, case.exchanges, case.symbols, 5, *case.period())
+
+
+# Metrics as SQL -------------------------------------------------------------
+
+def _sql_metric(name: str) -> Callable[[Case], DataFrame]:
+    def build(case: Case) -> DataFrame:
+        named_tables = {"fact_market_daily": staged(case.daily, "daily"), "dim_exchange": case.exchanges,
+                        "dim_symbol": case.symbols, "dim_date": case.dates}
+        for table, df in named_tables.items():
+            df.createOrReplaceTempView(table)
+        start, end = case.period()
+        return views.metric(case.spark, name, start=start, end=end, symbol="BTC_USDT", n=5)
+
+    build.__name__ = f"sql_{name}"
+    return build
+
+
+for _name in views.METRICS:
+    query(_sql_metric(_name))
+
+
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Build one query; its result is not computed yet."""
     return plain(REGISTRY[name](Case(pin_utc(spark), sf_dir)))

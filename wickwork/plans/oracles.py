@@ -504,6 +504,23 @@ FROM daily WHERE {_PERIOD}
 ORDER BY (high_price - low_price) / NULLIF(open_price, 0) DESC NULLS LAST, date_id, symbol_name, exchange_name LIMIT 5"""),
 }
 
+ORACLES |= {
+    "altered_days": _with(_DAILY, f"""
+SELECT d.symbol_id, d.exchange_id, d.date_id, CAST(d.volume AS DOUBLE) AS hours_volume, d.trade_count AS hours_trades,
+       CASE WHEN date_id = {_FIRST} + 4 THEN CAST(d.volume AS DOUBLE) END AS day_volume,
+       CASE WHEN date_id = {_FIRST} + 4 THEN d.trade_count + 1 END AS day_trades
+FROM daily d WHERE symbol_id = 1 AND exchange_id = 1 AND date_id IN ({_FIRST} + 4, {_FIRST} + 12)"""),
+    "sql_daily_variation": _with(_DAILY, f"""
+SELECT exchange_name, symbol_name, date_id, CAST(ROUND(variation_daily_pct, 6) AS DOUBLE) AS variation_daily_pct,
+       CAST(ROUND((close_price - prev_close) / NULLIF(prev_close, 0) * 100, 6) AS DOUBLE) AS variation_prev_day_pct
+FROM daily WHERE {_PERIOD}"""),
+    # The same metrics, as SQL and from the days of the largest peaks.
+    "top_volatile_by_peaks": ORACLES["top_volatile_days"],
+    **{f"sql_{name}": ORACLES[name] for name in (
+        "current_price", "accumulated_return", "index_base_100", "volume_traded", "rank_by_return",
+        "data_available_until", "cross_exchange_price", "top_volatile_days")},
+}
+
 # The same results from the small levels above the facts.
 ORACLES |= {
     "hourly_summary_of_cells": ORACLES["fact_hourly_summary"],

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wickwork import schemas
-from wickwork.operators import dims, facts, quality, silver, summaries
+from wickwork.operators import dims, facts, metrics, quality, silver, summaries
 from wickwork.operators.latest import dedupe_latest, latest_known
 from wickwork.plans.checks import check_lines
 from wickwork.session import pin_utc, staged
@@ -201,7 +201,7 @@ def _daily_days(house: Warehouse, start: dt.date, end: dt.date) -> DataFrame:
 
 
 def _refresh_levels(house: Warehouse, start: dt.date, end: dt.date, present: set[dt.date], daily: DataFrame | None) -> None:
-    """The small levels above the facts: cells per day, candles per month. `daily`: the days that were
+    """The small levels above the facts: cells and peaks per day, candles per month. `daily`: the days that were
     written; None: all. A month is made again from the days that are stored of it."""
     write = tables.write_table if daily is None else tables.write_partitions
     hourly, stored = house.read("fact_market_hourly"), house.read("fact_market_daily")
@@ -213,10 +213,11 @@ def _refresh_levels(house: Warehouse, start: dt.date, end: dt.date, present: set
         touched = _days(stored, "date_id", first, last)
     write(summaries.hourly_cells(hourly), house.path("hourly_cells"), "date_id")
     write(summaries.daily_cells(daily), house.path("daily_cells"), "date_id")
+    write(metrics.day_peaks(daily), house.path("daily_peaks"), "date_id")
     months = summaries.month_candles(touched)
     write(months, house.path("fact_market_monthly"), "month")
     if touched is not stored:
-        for table in ("hourly_cells", "daily_cells"):
+        for table in ("hourly_cells", "daily_cells", "daily_peaks"):
             _clear(house, table, "date_id", start, end, present)
         _clear(house, "fact_market_monthly", "month", first, last, tables.days_held(
             touched.select(F.trunc("date_id", "month").alias("month")), "month", first, last))
