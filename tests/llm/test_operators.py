@@ -279,3 +279,42 @@ def test_a_passage_in_many_contexts_is_not_one_group(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
     out = suffix.remove_repeated(docs).withColumn("sha", F.sha2("kept", 256))
     assert got(out, "doc_id", "n_bytes", "n_removed", "n_spans", "sha") == brute.repeated_bytes(rows)
+
+
+CLASHES = "n_lines int, n_removed int, _at int, _id int, _v int, size int, target int, taken int, score int, _score int, _own_score int, _hit int, _gone int"
+
+
+def test_columns_of_any_name_are_kept(spark):
+    """Documents with columns of the names that the operators use inside or add."""
+    names = [c.split()[0] for c in CLASHES.split(", ")]
+    texts = [None, "", "one line\nand more", "one line\nof text here", "one line\nby another"]
+    rows = [(i, t, "en", f"s{i}", *range(len(names))) for i, t in enumerate(texts)] + [(None, "one line", "en", None, *range(len(names)))]
+    wide = spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, {CLASHES}")
+    plain_docs = wide.select("doc_id", "text", "lang", "source")
+    labels = spark.createDataFrame([(2, 0, 0), (3, 0, 1)], "doc_id long, quality int, toxic int")
+    bench = spark.createDataFrame([(1, "more")], "item_id long, text string")
+
+    def same(of, added=()):
+        got, wanted = of(wide), of(plain_docs)
+        assert sorted(map(tuple, got.select(*wanted.columns).collect()), key=repr) == sorted(map(tuple, wanted.collect()), key=repr)
+        assert sorted(got.columns) == sorted({*wide.columns, *added})
+
+    import corpus_pipeline
+
+    same(lambda d: lines.dedupe_lines(d, min_sites=2))
+    same(lambda d: lines.dedupe_lines(d, min_sites=2, counts=True), ("n_lines", "n_removed"))
+    same(lambda d: toxicity.clean(d, labels))
+    same(near.keep_one)
+    same(lambda d: decontam.clean(d, bench))
+    same(lambda d: corpus_pipeline.mix_sources(spark, d, ""), ("size", "target", "taken"))
+    assert sorted(map(tuple, mixing.mix(wide).collect()), key=repr) == sorted(map(tuple, mixing.mix(plain_docs).collect()), key=repr)
+    assert {r.held for r in wide.select(toxicity.held_out().alias("held")).collect()} <= {True, False}
+    assert toxicity.score(plain_docs.limit(0), toxicity.fit(plain_docs.limit(0), labels)).count() == 0
+
+
+def test_texts_without_words_pass_no_window(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, None if i % 2 else " ", "a") for i in range(50)] + [(100, "x y z", "a"), (101, "", "b")], "doc_id long, text string, source string")
+    rows = mixing.mix(docs, block_words=1).collect()
+    assert len(rows) == 52 and all(r.taken == 0 and r.size == 0 for r in rows if r.doc_id != 100)
+    [one] = [r for r in rows if r.doc_id == 100]
+    assert (one.size, one.source_size, one.target, one.taken) == (3, 3, 4.5, pytest.approx(4.5, abs=1))

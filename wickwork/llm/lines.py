@@ -69,7 +69,7 @@ def dedupe_lines(
     docs: DataFrame, id_: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = MIN_SITES,
     counts: bool = False, seen: DataFrame | None = None,
 ) -> DataFrame:
-    """`docs` with boilerplate lines removed from `text`; `counts` adds n_lines, n_removed.
+    """`docs` with boilerplate lines removed from `text`; `counts` adds n_lines, n_removed (or replaces columns of these names).
 
     `seen`: the rows whose sites count, if not all of `docs`.
     """
@@ -79,9 +79,12 @@ def dedupe_lines(
     at = hits.groupBy(F.col("id").alias("_id"), F.col("v").alias("_v")).agg(F.collect_set("pos").alias("_at"))
     joined = docs.join(at, docs[id_].eqNullSafe(at["_id"]) & (F.xxhash64(docs[text]) == at["_v"]), "left")
     without = F.pandas_udf(_without, "string")
-    kept = joined.withColumn("_kept", F.when(F.col("_at").isNotNull(), without(F.col(text), F.col("_at"))).otherwise(F.col(text)))
-    columns = [F.col("_kept").alias(c) if c == text else F.col(c) for c in docs.columns]
+    # By frame, as the documents may have columns of any name.
+    own, gone = docs[text], at["_at"]
+    kept = F.when(gone.isNotNull(), without(own, gone)).otherwise(own)
+    added = {}
     if counts:
-        n = F.when(F.col(text).isNull(), 0).otherwise(F.size(F.split(F.col(text), "\n", -1)))
-        columns += [n.cast("long").alias("n_lines"), F.coalesce(F.size("_at"), F.lit(0)).cast("long").alias("n_removed")]
-    return kept.select(*columns)
+        n = F.when(own.isNull(), 0).otherwise(F.size(F.split(own, "\n", -1)))
+        added = {"n_lines": n.cast("long"), "n_removed": F.coalesce(F.size(gone), F.lit(0)).cast("long")}
+    columns = [kept.alias(c) if c == text else docs[c] for c in docs.columns if c not in added]
+    return joined.select(*columns, *[c.alias(name) for name, c in added.items()])

@@ -110,13 +110,16 @@ def mix(
     dealt = sizes.withColumnRenamed("source", "_s").join(targets, F.col("_s").eqNullSafe(F.col("source"))).drop("_s")
     shards = F.greatest(F.ceil(F.col("source_size") / shard_words), F.lit(1))
     dealt = dealt.withColumn("draw", drawn).withColumn("shard", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), shards))
+    # Rows without words have no place on a tape: a source of them alone would be one shard.
+    wordless = dealt.where("size = 0")
+    dealt = dealt.where("size > 0")
     by_shard = Window.partitionBy("source", "shard")
     tape = by_shard.orderBy("draw", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     placed = staged(dealt.withColumns({"end": F.sum("size").over(tape), "words": F.sum("size").over(by_shard)}), "tape")
 
     key = F.xxhash64("source", "shard")
     shares = staged(
-        placed.where("words > 0").groupBy("source", "shard").agg(
+        placed.groupBy("source", "shard").agg(
             F.max("words").alias("words"), F.max("target").alias("target"), F.max("source_size").alias("source_size")
         ).select(
             key.alias("key"), (F.col("target") * F.col("words") / F.col("source_size") / block_words).alias("weight"),
@@ -135,7 +138,6 @@ def mix(
         f"({before(f'({x} DIV {block_words} + 1)')} - {before(f'({x} DIV {block_words})')}) * ({x} % {block_words}))"
     )
     taken = F.expr(f"whole * size + {words('end')} - {words('(end - size)')}")
-    out = placed.withColumn("key", key).join(quotas, "key", "left")
-    return out.select(
-        "doc_id", "source", "size", "source_size", "target", F.coalesce(taken, F.lit(0)).cast("long").alias("taken")
-    )
+    columns = ["doc_id", "source", "size", "source_size", "target"]
+    out = placed.withColumn("key", key).join(quotas, "key", "left").select(*columns, F.coalesce(taken, F.lit(0)).cast("long").alias("taken"))
+    return out.unionByName(wordless.select(*columns, F.lit(0).cast("long").alias("taken")))

@@ -45,7 +45,7 @@ _MODEL = "weights binary, bias double"
 
 def held_out(id_: str = "doc_id") -> Column:
     """Rows whose labels are never learnt from."""
-    return F.crc32(F.col(id_).cast("string")) % 3 == 1
+    return F.coalesce(F.crc32(F.col(id_).cast("string")) % 3 == 1, F.lit(False))
 
 
 class Bags:
@@ -203,8 +203,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[bytes
     return (bytes(model["weights"]), model["bias"]) if model else (np.zeros(BUCKETS, np.float32).tobytes(), -50.0)
 
 
-def score(docs: DataFrame, model: tuple[bytes, float]) -> DataFrame:
-    """`docs` with `score`, the chance from 0 to 1 that the text is toxic."""
+def score(docs: DataFrame, model: tuple[bytes, float], out: str = "score") -> DataFrame:
+    """`docs` with the chance from 0 to 1 that the text is toxic in `out`, in place of a column of that name."""
     known = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -214,10 +214,12 @@ def score(docs: DataFrame, model: tuple[bytes, float]) -> DataFrame:
             logit = np.concatenate([Bags(p).scores(weights) for p in _slices(texts.tolist())] or [np.empty(0)]) + bias
             yield pd.Series(1 / (1 + np.exp(-np.clip(logit, -50, 50))))
 
-    return docs.withColumn("score", of(F.col("text")))
+    return docs.withColumn(out, of(F.col("text")))
 
 
 def clean(docs: DataFrame, labels: DataFrame, reject_from: float = REJECT_FROM) -> DataFrame:
     """Rows of `docs` whose score is below `reject_from`."""
-    scored = score(docs.withColumnRenamed("score", "_own_score"), fit(docs, labels)).where(F.col("score") < reject_from)
-    return scored.drop("score").withColumnRenamed("_own_score", "score")
+    own = "_score"
+    while own in docs.columns:
+        own += "_"
+    return score(docs, fit(docs, labels), own).where(F.col(own) < reject_from).drop(own)
