@@ -2,8 +2,8 @@
 
 Every stage reads the Parquet files of its predecessor, so a lost executor repeats one
 stage at most. All stages but the last return the columns of documents; the last adds
-`size`, `target` and `taken` (words the mix takes of the document, repeats counted) and
-leaves out documents that give nothing. Rows of one doc_id stay one document.
+`size`, `target` and `taken` (words the mix takes of the document, repeats counted; columns
+of these names are replaced) and leaves out documents that give nothing. Rows of one doc_id stay one document.
 """
 
 from __future__ import annotations
@@ -48,7 +48,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(docs).groupBy(F.col("doc_id").alias("_id")).agg(
         *[F.max(c).alias(c) for c in ("size", "target", "taken")]
     ).where("taken > 0")
-    return docs.join(mixed, docs["doc_id"].eqNullSafe(mixed["_id"])).select(*[docs[c] for c in docs.columns], "size", "target", "taken")
+    added = ("size", "target", "taken")
+    kept = [docs[c] for c in docs.columns if c not in added]
+    return docs.join(mixed, docs["doc_id"].eqNullSafe(mixed["_id"])).select(*kept, *[mixed[c] for c in added])
 
 
 STAGES = [
@@ -59,7 +61,7 @@ STAGES = [
     ("source_mixing", mix_sources),
 ]
 
-#: The classifier, MinHash components and the seeded mix are beyond SQL; tests hold run() against plain Python.
+#: The classifier, MinHash components and the seeded mix are beyond SQL; tests hold run() against planted cases.
 ORACLE_SQL = None
 
 
