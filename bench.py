@@ -1,7 +1,7 @@
 """Time the headline queries; prints one JSON line.
 
 BENCH_SF_DIR and BENCH_CPUS choose the data and the number of local cores. Each
-query runs from the given tables to its last row. `candles_x50` repeats the
+query runs from the given tables to its last row. `daily_fact_x50` repeats the
 events over 50 times as many series, to load the resample with more than a demo.
 """
 
