@@ -318,3 +318,90 @@ def test_texts_without_words_pass_no_window(spark, monkeypatch):
     assert len(rows) == 52 and all(r.taken == 0 and r.size == 0 for r in rows if r.doc_id != 100)
     [one] = [r for r in rows if r.doc_id == 100]
     assert (one.size, one.source_size, one.target, one.taken) == (3, 3, 4.5, pytest.approx(4.5, abs=1))
+
+
+def test_rest_round_tells_large_sets_apart():
+    """400 unlike sets of 5,000 shingles and a few that are linked, in one bucket, without a look at all pairs of sets."""
+    import time
+
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 1 << 63, 5000, dtype=np.uint64)) for _ in range(400)]
+    close = sets[7].copy()
+    close[:500] = rng.integers(0, 1 << 63, 500, dtype=np.uint64)  # 4,500 of 5,500: above 0.8
+    far = sets[7].copy()
+    far[-600:] = rng.integers(0, 1 << 63, 600, dtype=np.uint64)  # 4,400 of 5,600: below
+    sets += [np.unique(close), np.unique(far), sets[9][:4000], sets[9][:3999]]  # 0.8 exactly, and just below
+    ids, side = np.arange(404), np.zeros(404, np.int64)
+    began = time.perf_counter()
+    found = near.links_between(ids, ids, side, sets, 80)
+    assert time.perf_counter() - began < 1
+    assert {tuple(sorted(x)) for x in found} == {(7, 400), (9, 402), (402, 403)}
+    side[[7, 9]] = 1
+    found = near.links_between(ids, ids, side, sets, 80)
+    assert {tuple(sorted(x)) for x in found} == {(7, 400), (9, 402)}
+
+
+def test_rest_round_equals_all_pairs(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    base = [np.unique(rng.integers(0, 1 << 63, int(n), dtype=np.uint64)) for n in rng.integers(1, 900, 12)]
+    sets = []
+    for i in range(120):
+        own = base[i % 12]
+        sets.append(np.unique(np.r_[own[rng.random(len(own)) < 0.95], own[:1], rng.integers(0, 1 << 63, i % 40, dtype=np.uint64)]))
+    root = np.array([rng.integers(i + 1) if i % 3 == 0 else i for i in range(120)])
+
+    def joined(links):
+        name = root.copy()
+        for a, b in links:
+            name[name == name[b]] = name[a]
+        return {frozenset(np.flatnonzero(name == x).tolist()) for x in name}
+
+    def linked(p, q):
+        both = len(np.intersect1d(p, q))
+        return 100 * both >= 80 * (len(p) + len(q) - both)
+
+    pairs = [(i, j) for i in range(120) for j in range(i) if linked(sets[i], sets[j])]
+    found = near.links_between(np.arange(120), root, np.zeros(120, int), sets, 80)
+    assert {tuple(sorted(x, reverse=True)) for x in found} <= set(pairs)
+    assert joined(found) == joined(pairs)
+
+
+def test_buckets_are_cut_by_bytes(docs, monkeypatch):
+    """Chunks of a few members or of a few bytes give the same components."""
+    monkeypatch.setattr(near, "CHUNK_BYTES", 700)
+    assert got(near.near_duplicates(docs, width=2), "doc_id", "n_shingles", "component_id", "kept") == brute.near(plain())
+
+
+def test_phrases_over_two_terms_in_bounded_memory(monkeypatch):
+    """A thousand phrases whose rarest term stands at every second place."""
+    import itertools
+    import random as rnd
+    import tracemalloc
+
+    import numpy as np
+
+    lists = [np.array(x) for x in itertools.islice(itertools.product([10, 20], repeat=10), 1, 1023)]
+    chosen = rnd.Random(2)
+    words = np.array([chosen.choice([10, 20]) for _ in range(20_000)])
+    terms = np.array([10, 20])
+    places = {t: np.flatnonzero(words == terms[t]).astype(np.int32) for t in (0, 1)}
+    phrases = decontam.Phrases(terms, np.arange(len(lists)), lists, np.array([len(places[0]), len(places[1])]))
+    monkeypatch.setattr(decontam, "AT_ONCE", 1 << 14)
+    tracemalloc.start()
+    phrase, start = phrases.matches(places, len(words))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 << 20
+    index = {tuple(x.tolist()): i for i, x in enumerate(lists)}
+    wanted = {(index[w], at) for at in range(len(words) - 9) if (w := tuple(words[at: at + 10].tolist())) in index}
+    assert set(zip(phrase.tolist(), start.tolist())) == wanted
+
+
+def test_items_without_an_id_are_one_item(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, "c"), (3, "d")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "a b"), (None, "c"), (-1, "d"), (4, "c")], "item_id long, text string")
+    assert sorted((r.doc_id, r["items"]) for r in decontam.decontaminate(docs, items).collect()) == [(1, [None]), (2, [None, 4]), (3, [-1])]

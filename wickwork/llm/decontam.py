@@ -18,7 +18,8 @@ rows of hit word ranges and (document, item) pairs.
 
 Null and empty texts have no words and are not contaminated. Rows with the same doc_id
 share one verdict, found over all their texts; n_words and n_hit are then of the row with
-most hits. Repeated items change nothing. Other columns are not read.
+most hits. Repeated items change nothing; items without an id are one item, null in `items`.
+Other columns are not read.
 """
 
 from __future__ import annotations
@@ -36,11 +37,13 @@ from wickwork.llm.common import staged
 
 WIDTH = 10
 PART_PHRASES = 200_000
+#: Pairs of a phrase and a place of its rarest term that are looked at together.
+AT_ONCE = 1 << 18
 _TABLE = tokens.byte_table(tokens.ALPHANUMERIC, lower=True)
 _PHRASE = "item_id long, terms array<long>"
 _INDEX = "block long, docs binary, lengths binary, term long, places binary"
 _FOUND = "doc_id long, n_words long, spans array<struct<start:long,end:long>>, items array<long>"
-_NO_ID = -(1 << 63)  # stands for a null doc_id inside the index
+_NO_ID = -(1 << 63)  # stands for a null doc_id or item_id inside the index
 
 
 def phrases(items: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -129,25 +132,33 @@ class Phrases:
         found, starts = [], []
         for term, places in lists.items():
             own = self.by_rarest[self.bounds[term]: self.bounds[term + 1]]
-            if not len(own):
-                continue
-            phrase = np.repeat(own, len(places))
-            start = np.tile(places.astype(np.int64), len(own)) - self.offsets[phrase, 0]
-            ok = (start >= 0) & (start + self.lengths[phrase] <= n)
-            phrase, start = phrase[ok], start[ok]
-            for step in range(1, self.order.shape[1]):
-                want = self.order[phrase, step]
-                place = np.minimum(start + self.offsets[phrase, step], n - 1)
-                ok = (want < 0) | (at[place] == want)
-                phrase, start = phrase[ok], start[ok]
-                if not len(phrase):
-                    break
-            found.append(phrase)
-            starts.append(start)
+            for begin in range(0, len(places), AT_ONCE):
+                some = places[begin: begin + AT_ONCE].astype(np.int64)
+                step = max(1, AT_ONCE // len(some))
+                for lo in range(0, len(own), step):
+                    phrase, start = self._agreed(own[lo: lo + step], some, at)
+                    if len(phrase):
+                        found.append(phrase)
+                        starts.append(start)
         if not found:
             return np.empty(0, np.int64), np.empty(0, np.int64)
         return np.concatenate(found), np.concatenate(starts)
 
+    def _agreed(self, own: np.ndarray, places: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(phrase, start) of the phrases `own` around these places of their rarest term, where all terms agree."""
+        phrase = np.repeat(own, len(places))
+        start = np.tile(places, len(own)) - self.offsets[phrase, 0]
+        ok = (start >= 0) & (start + self.lengths[phrase] <= len(at))
+        phrase, start = phrase[ok], start[ok]
+        for step in range(1, self.order.shape[1]):
+            if not len(phrase):
+                break
+            want = self.order[phrase, step]
+            place = np.minimum(start + self.offsets[phrase, step], len(at) - 1)
+            ok = (want < 0) | (at[place] == want)
+            phrase, start = phrase[ok], start[ok]
+        return phrase, start
+
     def near(self, lists: dict[int, np.ndarray], n: int, span: int) -> tuple[np.ndarray, np.ndarray]:
         """(phrase, start) where all terms of a phrase stand within `span` words, in any order."""
         found, starts = [], []
@@ -236,7 +247,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = WIDTH, span: i
         counts = np.zeros(len(terms), np.int64)
         lengths = index.where("places IS NOT NULL").groupBy("term").agg(F.sum(F.octet_length("places")).alias("n")).toArrow()
         counts[np.searchsorted(terms, np.asarray(lengths["term"]))] = np.asarray(lengths["n"]) // 4
-        ids = np.asarray(own["item_id"].fill_null(-1)).astype(np.int64)
+        ids = np.asarray(own["item_id"].fill_null(_NO_ID)).astype(np.int64)
         one = _search(index, Phrases(terms, ids, lists, counts), span)
         found = one if found is None else found.unionByName(one)
     # Ranges found by several parts, or on rows of one id, may overlap: they are merged in order.
@@ -251,7 +262,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = WIDTH, span: i
     return found.groupBy("doc_id").agg(
         F.max("n_words").alias("n_words"), joined.alias("n_hit"),
         F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+        F.transform(
+            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))), lambda x: F.nullif(x, F.lit(_NO_ID))
+        ).alias("items"),
     ).withColumn("doc_id", F.nullif("doc_id", F.lit(_NO_ID)))
 
 

@@ -6,7 +6,7 @@ that is linked with nothing. Sets with a similarity (intersection over union) of
 `percent` / 100 or more are linked; links make components, each named by its smallest id.
 
 1. One pass over the texts gives set size, fingerprint, MinHash values, band keys from
-   `BANDS` times `ROWS` values (a pair at 0.8 is missed with a chance of 1e-5), and the odd
+   `BANDS` times `ROWS` values (a pair at 0.8 is missed with a chance of 2.6e-5), and the odd
    sketch: each sample (number, value) flips one of 512 bits, so the XOR of two
    sketches shows the samples in which two sets differ, and its population count bounds
    how far apart they are.
@@ -15,9 +15,10 @@ that is linked with nothing. Sets with a similarity (intersection over union) of
    with one another. Pairs that size or sketch rule out are dropped; all others are
    checked on their full sets. Links make components.
 4. Rest round: where the members of a bucket are still in several components, members of
-   different components are compared in one task: by odd sketches over their whole sets,
-   whose XOR count never exceeds the number of differing shingles, then on the full sets,
-   nearest first, until no two components can be linked. Only links leave the task. A large
+   different components are compared in one task: by size, by odd sketches over their whole
+   sets, which have more bits the larger the sets and whose XOR count never exceeds the number
+   of differing shingles, then on the full sets, nearest first, until no two components can be
+   linked. Only links leave the task. A large
    group of copies is mostly one component by now, which costs nothing here.
 5. Components of all links.
 
@@ -42,8 +43,10 @@ BANDS, ROWS = 20, 4
 SKETCH_LONGS = 8
 #: XOR count above which a pair is not at `percent`: at 0.8 the count is 30 on average, with a deviation of 7.
 MAX_XOR = 66
-#: Bits of the odd sketch over whole sets, and most members of a bucket that meet in one task.
-WIDE_BITS, CHUNK = 2048, 2048
+#: Fewest bits of an odd sketch over a whole set.
+LEAST_BITS = 512
+#: Members, and bytes of their sets, of a chunk of a bucket; two chunks meet in one task.
+CHUNK, CHUNK_BYTES = 2048, 16 << 20
 _TABLE = tokens.byte_table(tokens.BLANK_PARTED, lower=True)
 _RANDOM = np.random.default_rng(4)
 _A = _RANDOM.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
@@ -144,55 +147,77 @@ def _possible(left: str, right: str, percent: int):
     return (100 * F.least(a("n"), b("n")) >= percent * F.greatest(a("n"), b("n"))) & (apart <= MAX_XOR)
 
 
-def _between(percent: int):
-    """Links between components of one group of members, each pair of components tied once."""
+def _sketches(sets: list[np.ndarray], bits: int) -> np.ndarray:
+    """Odd sketches over whole sets: the parity of the shingles in each of `bits` places."""
+    wide = np.empty((len(sets), bits // 64), np.uint64)
+    for row, own in zip(wide, sets):
+        flips = np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+        row[:] = np.packbits(flips.astype(np.uint8)).view(np.uint64)
+    return wide
 
-    def of(rows):
-        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows["shingles"].combine_chunks()]
-        ids, root, chunk = (np.asarray(rows[c]) for c in ("id", "root", "chunk"))
-        cross = chunk.min() != chunk.max()
-        _, root, size = np.unique(root, return_inverse=True, return_counts=True)
-        order = np.argsort(size[root], kind="stable")  # the largest component last: it needs no look at itself
-        ids, root, chunk = ids[order], root[order], chunk[order]
-        sets = [sets[i] for i in order]
-        n = np.array([len(x) for x in sets])
-        bits = np.zeros((len(sets), WIDE_BITS), np.uint8)
-        for i, own in enumerate(sets):
-            bits[i] = np.bincount((own % np.uint64(WIDE_BITS)).astype(np.int64), minlength=WIDE_BITS) & 1
-        wide = np.packbits(bits, axis=1).view(np.uint64)
-        found = []
-        for i in range(len(sets) - 1):
-            fit = root[i + 1:] != root[i]
+
+def links_between(
+    ids: np.ndarray, root: np.ndarray, side: np.ndarray, sets: list[np.ndarray], percent: int
+) -> list[tuple[int, int]]:
+    """Links that tie the components of one group of members; of two sides only pairs across them are looked at.
+
+    Members go by set size. Sketches have twice as many bits as the smaller set has shingles,
+    so sets of any size that have little in common are told apart without a look at the sets.
+    """
+    n = np.array([len(x) for x in sets])
+    order = np.argsort(n, kind="stable")
+    ids, root, side, n = ids[order], root[order].copy(), side[order], n[order]
+    sets = [sets[i] for i in order]
+    cross = side.min() != side.max()
+    ends = np.searchsorted(n, n * 100 // percent, "right")  # what follows is too large for a link
+    bits = np.maximum(LEAST_BITS, 2 << np.ceil(np.log2(n)).astype(np.int64))
+    found = []
+    for level in np.unique(bits).tolist():
+        at, stop = np.searchsorted(bits, level), np.searchsorted(bits, level, "right")
+        wide = _sketches(sets[at: ends[stop - 1]], level)
+        for i in range(at, stop):
+            fit = root[i + 1: ends[i]] != root[i]
             if cross:
-                fit &= chunk[i + 1:] != chunk[i]
+                fit &= side[i + 1: ends[i]] != side[i]
             later = np.flatnonzero(fit) + i + 1
             if not len(later):
                 continue
-            apart = np.bitwise_count(wide[later] ^ wide[i]).sum(axis=1)
+            apart = np.bitwise_count(wide[later - at] ^ wide[i - at]).sum(axis=1, dtype=np.int64)
             # Sets differ in at least as many shingles as sketches do in bits: nothing is lost here.
             possible = apart * (100 + percent) <= (100 - percent) * (n[later] + n[i])
             for j in later[possible][np.argsort(apart[possible], kind="stable")].tolist():
                 if root[i] != root[j]:
                     both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
                     if 100 * both >= percent * (n[i] + n[j] - both):
-                        found.append((ids[i], ids[j]))
+                        found.append((int(ids[i]), int(ids[j])))
                         root[root == root[j]] = root[i]
+    return found
+
+
+def _between(percent: int):
+    """Links between components of one group of members, each pair of components tied once."""
+
+    def of(rows):
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows["shingles"].combine_chunks()]
+        found = links_between(*(np.asarray(rows[c]) for c in ("id", "root", "chunk")), sets, percent)
         return pa.table({"a": pa.array([min(x) for x in found], pa.int64()), "b": pa.array([max(x) for x in found], pa.int64())})
 
     return of
 
 
 def _rest(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between components that meet in a bucket; `placed` is (id, band, root).
+    """Links between components that meet in a bucket; `placed` is (id, n, band, root).
 
-    Buckets with the same members count once. A bucket of more than `CHUNK` members is cut
-    into chunks by a hash, and every two chunks meet in a task of their own.
+    Buckets with the same members count once. A bucket of more than `CHUNK` members, or
+    `CHUNK_BYTES` of sets, is cut into chunks by a hash, and every two chunks meet in a task of
+    their own.
     """
     buckets = placed.groupBy("band").agg(
         F.min("root").alias("r"), F.max("root").alias("s"), F.count(F.lit(1)).alias("m"),
-        F.bit_xor(F.xxhash64("id")).alias("x"), F.sum(F.hash("id")).alias("y"),
+        F.sum("n").alias("held"), F.bit_xor(F.xxhash64("id")).alias("x"), F.sum(F.hash("id")).alias("y"),
     ).where("r < s")
-    once = buckets.groupBy("m", "x", "y").agg(F.min("band").alias("band")).select("band", F.ceil(F.col("m") / CHUNK).alias("chunks"))
+    chunks = F.greatest(F.ceil(F.col("m") / CHUNK), F.ceil(F.col("held") * 8 / CHUNK_BYTES))
+    once = buckets.groupBy("m", "held", "x", "y").agg(F.min("band").alias("band")).select("band", chunks.alias("chunks"))
     cut = placed.join(once, "band").withColumn("chunk", F.pmod(F.xxhash64("id", "band"), F.col("chunks")))
     met = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))).select(
         "band", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "id", "root", "chunk"
@@ -211,7 +236,7 @@ def near_duplicates(
     classes = staged(proper.groupBy("n", "f", "g").agg(F.min("id").alias("rep")), "classes")
     # The representative's row, one row even when rows repeat.
     reps = proper.join(classes.withColumnRenamed("rep", "id"), ["n", "f", "g", "id"], "left_semi").dropDuplicates(["id", "n", "f", "g"])
-    banded = reps.select("id", F.explode("bands").alias("band"))
+    banded = reps.select("id", "n", F.explode("bands").alias("band"))
     # The smallest member of each bucket with more than one.
     centers = banded.groupBy("band").agg(F.min("id").alias("center"), F.max("id").alias("last")).where("center < last").select("band", "center")
     member = staged(banded.join(centers, "band"), "members")
@@ -233,7 +258,7 @@ def near_duplicates(
 
     placed = (
         member.join(joined.withColumnRenamed("node", "id"), "id", "left")
-        .select("id", "band", F.coalesce("root", "id").alias("root"))
+        .select("id", "n", "band", F.coalesce("root", "id").alias("root"))
     )
     late = staged(_rest(placed, sets, percent), "late-links")
     # Rows of one id with different texts are one document: their classes hang together.
