@@ -25,7 +25,7 @@ from wickwork.plans import views
 from wickwork.plans.refresh import KEYED, Warehouse, load_bronze, refresh_warehouse
 from wickwork.session import new_folder, pin_utc, staged
 from wickwork.sources import candles as feed
-from wickwork.sources import tables
+from wickwork.sources import buckets, tables
 from wickwork.sources.events import candles_from_events, landing_time, payloads_from_candles
 
 # Where a range of days begins after the data's first day, and how long it is or how far it ends before the last.
@@ -281,6 +281,24 @@ def backfill_equals_daily_loads(case: Case) -> DataFrame:
     return feed.align(case.spark.read.parquet(path), C.BRONZE_COLUMNS)
 
 
+@query
+def bucketed_merge(case: Case) -> DataFrame:
+    """Bronze in buckets by key; of the last day BTCUSDT lands again with one trade more, and all pairs from an older load."""
+    _, last = case.range_of_days()
+    keys = ["symbol", "open_time_ms"]
+    path = new_folder(case.spark, "bucketed")
+    table = "bronze_" + path.rsplit("-", 1)[1]
+    once = case.bronze_tables[C.BINANCE]
+    day = once.where(F.col("rate_date") == F.lit(last))
+    newer = day.where("symbol = 'BTCUSDT'").withColumns({
+        "trade_count": F.col("trade_count") + 1, "ingested_at": F.col("ingested_at") + F.expr("interval 1 day")})
+    older = day.withColumns({"trade_count": F.lit(0).cast("long"), "ingested_at": F.col("ingested_at") - F.expr("interval 1 day")})
+    buckets.create_bucketed(once, table, path, keys, 8)
+    buckets.merge_bucketed(newer.unionByName(older), table, keys)
+    case.spark.sql(f"DROP TABLE {table}")  # the entry; the files stay
+    return case.spark.read.parquet(path).select("rate_date", *keys, "open", "close", "volume", "trade_count")
+
+
 # Silver -------------------------------------------------------------------
 
 @query

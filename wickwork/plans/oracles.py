@@ -236,6 +236,10 @@ SELECT rate_date, CAST(COUNT(*) AS BIGINT) AS "rows", CAST(SUM(trade_count) AS B
 FROM bronze GROUP BY rate_date"""),
     "backfill_equals_daily_loads": _with(
         _CANDLES, f"SELECT {_BRONZE_COLUMNS} FROM bronze WHERE exchange = 'binance'"),
+    "bucketed_merge": _with(_CANDLES, f"""
+SELECT rate_date, symbol, open_time_ms, open, close, volume,
+       trade_count + CASE WHEN symbol = 'BTCUSDT' AND rate_date = {_LAST} THEN 1 ELSE 0 END AS trade_count
+FROM bronze WHERE exchange = 'binance'"""),
 
     "silver_hourly": _with(_SILVER, """
 SELECT exchange, symbol, "interval", trade_count, CAST(open AS DOUBLE) AS open, CAST(high AS DOUBLE) AS high,
