@@ -405,3 +405,38 @@ def test_items_without_an_id_are_one_item(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, "c"), (3, "d")], "doc_id long, text string")
     items = spark.createDataFrame([(None, "a b"), (None, "c"), (-1, "d"), (4, "c")], "item_id long, text string")
     assert sorted((r.doc_id, r["items"]) for r in decontam.decontaminate(docs, items).collect()) == [(1, [None]), (2, [None, 4]), (3, [-1])]
+
+
+def test_longest_previous_factors():
+    """Against all pairs of suffixes, on texts of few letters with long repeats."""
+    import numpy as np
+
+    rnd = random.Random(19)
+    for width in (8, 13, 21):
+        passage = "".join(rnd.choice("ab") for _ in range(60))
+        texts = [passage[rnd.randrange(20): rnd.randrange(30, 60)] + "".join(rnd.choice("ab") for _ in range(25)) for _ in range(9)]
+        texts += [texts[0], "a" * 60, "a" * 50]
+        docs = [rnd.randrange(8) for _ in texts]
+        at, doc, base = [], [], 0
+        for text, d in zip(texts, docs):
+            n = len(text) - width + 1
+            at += range(base, base + n)
+            doc += [d] * n
+            base += len(text)
+        whole = "".join(texts)
+        parts = [whole[i: i + width] for i in at]
+        data, at, doc = np.frombuffer(whole.encode(), np.uint8), np.array(at), np.array(doc)
+        order, common = suffix.suffix_array(data, at, doc, width)
+        assert order.tolist() == sorted(range(len(at)), key=lambda i: (parts[i], doc[i], i))
+
+        def shared(a, b):
+            return next((n for n, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+
+        assert common.tolist() == [0] + [shared(parts[a], parts[b]) for a, b in zip(order, order[1:])]
+        plain = [max((shared(parts[i], parts[j]) for j in range(len(at)) if doc[j] < doc[i]), default=0) for i in range(len(at))]
+        assert suffix.longest_previous(order, common, doc).tolist() == plain
+        for least in (5, width):
+            cut = [n if n >= least else 0 for n in plain]
+            assert suffix.longest_previous(order, common, doc, least).tolist() == cut
+    none = np.empty(0, np.int64)
+    assert suffix.longest_previous(*suffix.suffix_array(np.empty(0, np.uint8), none, none, 8), none).tolist() == []

@@ -12,11 +12,10 @@ a smaller id. Texts are UTF-8 bytes; matches never cross documents. The steps:
    An anchor with more than `GROUP_BYTES` of them, as at the edges of a passage that very many
    documents share, is settled apart: its windows meet by 128-bit hashes in an aggregate that keeps
    the smallest document of each, merged in the tasks.
-3. In suffix order, equal suffixes stand side by side, smaller documents first. So the
-   previous smaller position of a suffix, if its common prefix has `WIDTH` bytes, is an
-   earlier match; the next smaller position never has one, as it stands after all equal
-   suffixes. The longest previous factor, cut at `WIDTH`, tells what to remove: later copies
-   go, the first stays.
+3. Documents are the positions of the array. In suffix order, the longest previous factor of a
+   suffix is shared with the previous or the next smaller position, whichever has more in
+   common with it. Where it reaches `WIDTH` bytes, an earlier document has the window:
+   later copies go, the first stays.
 
 Null texts are empty. Rows without an id take no part and lose nothing. Rows that share an id
 do not cover one another. Other columns are not read.
@@ -76,27 +75,55 @@ def _cut(width: int):
 
 
 def suffix_array(data: np.ndarray, at: np.ndarray, tie: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the suffixes of `data` at `at`, compared on `width` bytes, then by `tie`; and, for
-    each but the first, whether it has all `width` bytes in common with the one before."""
+    """Order of the suffixes of `data` at `at`, compared on `width` bytes, then by `tie`; and the
+    length of the prefix that each has in common with the one before (0 for the first), up to `width`."""
+    steps = [*range(0, width - 7, 8), *([width - 8] if width % 8 else [])]
     blocks = []
-    for step in [*range(0, width - 7, 8), *([width - 8] if width % 8 else [])]:
+    for step in steps:
         key = np.zeros(len(at), np.uint64)
         for i in range(8):  # eight bytes as one number that sorts as they do
             key = (key << np.uint64(8)) | data[at + step + i].astype(np.uint64)
         blocks.append(key)
     order = np.lexsort((tie, *blocks[::-1]))
-    same = np.ones(max(len(at) - 1, 0), bool)
-    for key in blocks:
-        same &= key[order[1:]] == key[order[:-1]]
-    return order, same
-
-
-def longest_previous(order: np.ndarray, same: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Whether the previous smaller position of each suffix, by document, is a full match."""
-    begins = np.flatnonzero(np.r_[True, ~same])
-    run = np.repeat(begins, np.diff(np.r_[begins, len(order)]))
-    found = np.zeros(len(order), bool)
-    found[order] = doc[order] > doc[order[run]]  # the first of the run has the smallest document
+    common = np.zeros(len(at), np.int32)
+    equal = np.arange(1, len(at))  # equal to the one before in all blocks so far
+    for step, key in zip(steps, blocks):
+        differ = key[order[equal]] ^ key[order[equal - 1]]
+        unlike = differ != 0
+        bits = differ[unlike]
+        common[equal[unlike]] = step + sum((bits >> np.uint64(64 - 8 * i) == 0).astype(np.int32) for i in range(1, 8))
+        equal = equal[~unlike]
+    common[equal] = width
+    return order, common
+
+
+def _smaller(value: np.ndarray, common: np.ndarray, step: int, least: int) -> np.ndarray:
+    """Length that each suffix has in common with its previous (`step` -1) or next (1) smaller position.
+
+    Every suffix links to its neighbour, then takes over the link of whom it points to until
+    that one's value is smaller; all in between are not. Equal values halve the way in
+    each round. A suffix whose common length falls below `least` stops, with 0.
+    """
+    link = np.arange(len(value), dtype=np.int64) + step
+    length = common.copy() if step < 0 else np.r_[common[1:], np.zeros(1, common.dtype)]
+    length[length < least] = 0
+    open_ = np.flatnonzero(length)
+    open_ = open_[value[link[open_]] >= value[open_]]
+    while len(open_):
+        to = link[open_]
+        reach, onward = np.minimum(length[open_], length[to]), link[to]
+        length[open_], link[open_] = reach, onward
+        open_, onward = open_[reach > 0], onward[reach > 0]
+        open_ = open_[value[onward] >= value[open_]]
+    return length
+
+
+def longest_previous(order: np.ndarray, common: np.ndarray, doc: np.ndarray, least: int = 1) -> np.ndarray:
+    """Longest previous factors: the length of the longest prefix of each suffix that also starts in a
+    smaller document, up to the compared width; 0 where it is below `least`."""
+    value = doc[order]
+    found = np.zeros(len(order), common.dtype)
+    found[order] = np.maximum(_smaller(value, common, -1, least), _smaller(value, common, 1, least))
     return found
 
 
@@ -110,8 +137,9 @@ def _matched(width: int):
         rel = np.arange(n.sum()) - np.repeat(first, n)
         piece = np.repeat(np.arange(len(n)), n)
         at, doc = bounds[piece] + rel, np.asarray(rows["doc"])[piece]
-        order, same = suffix_array(data, at, doc, width)
-        hit = longest_previous(order, same, doc)
+        order, common = suffix_array(data, at, doc, width)
+        # Shorter factors decide nothing; below half a window they are not followed.
+        hit = longest_previous(order, common, doc, max(1, width // 2)) >= width
         before = np.r_[False, hit[:-1]] & (rel > 0)
         lo = np.flatnonzero(hit & ~before)
         after = np.r_[hit[1:], False] & np.r_[rel[1:] > 0, False]
