@@ -440,3 +440,40 @@ def test_longest_previous_factors():
             assert suffix.longest_previous(order, common, doc, least).tolist() == cut
     none = np.empty(0, np.int64)
     assert suffix.longest_previous(*suffix.suffix_array(np.empty(0, np.uint8), none, none, 8), none).tolist() == []
+
+
+def test_long_texts_are_read_in_pieces(spark, monkeypatch):
+    """Segments of bytes and words do not depend on the pieces, also with words longer than a piece."""
+    import numpy as np
+    import pyarrow as pa
+
+    from wickwork.llm import spans
+
+    rnd = random.Random(23)
+    word = lambda: "".join(rnd.choice("abé") for _ in range(rnd.choice([1, 2, 3, 3, 4, 900])))
+    texts = [" ".join(word() for _ in range(n)) for n in (3000, 20, 700)] + [None, "", "ab " * 4000, "x" * 9000]
+    column = pa.array(texts, pa.string())
+    for units, width, k in ((suffix._bytes, 50, 18), (debruijn._words, 50, 10), (debruijn._words, 6, 2)):
+        def found(size):
+            monkeypatch.setattr(spans, "PIECE_BYTES", size)
+            monkeypatch.setattr(spans.tokens, "SLICE_BYTES", size)
+            return sorted(
+                item for row, h, start, begin, end, hashes in spans._pieces(column, units, width, k)
+                for item in zip(row.tolist(), start.tolist(), (end - begin).tolist(), h.tolist(), hashes.of(begin, end + width - 1).tolist())
+            )
+
+        assert found(1 << 20) == found(1000) == found(411)
+
+    for _ in range(200):
+        starts, counts = np.array([rnd.randrange(40) for _ in range(rnd.randrange(6))], np.int64), None
+        counts = np.array([rnd.randint(1, 9) for _ in starts], np.int64)
+        plain = np.zeros(50, bool)
+        for a, n in zip(starts, counts):
+            plain[a: a + n + 4] = True
+        assert spans.covered_units((starts, counts), 50, 5).tolist() == plain.tolist()
+
+    rows = [(i, t, "en", "a") for i, t in enumerate(texts + [texts[0][500:4000] + " end", texts[2]])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(2)
+    assert got(debruijn.remove_repeated(docs).selectExpr("doc_id", "n_words", "n_removed", "sha2(text, 256) AS sha"), "doc_id", "n_words", "n_removed", "sha") == brute.repeated_words(rows)
+    out = suffix.remove_repeated(docs).selectExpr("*", "sha2(kept, 256) AS sha")
+    assert got(out, "doc_id", "n_bytes", "n_removed", "n_spans", "sha") == brute.repeated_bytes(rows)

@@ -36,9 +36,9 @@ _TABLE = tokens.byte_table(tokens.BLANK_PARTED, lower=False)
 _KEPT = "doc_id long, n_words long, n_removed long, text string"
 
 
-def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    _, _, hashes, first = tokens.words(data, offsets, _TABLE)
-    return hashes, first
+def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    starts, _, hashes, first = tokens.words(data, offsets, _TABLE)
+    return hashes, first, starts
 
 
 def _edges(width: int):
@@ -48,7 +48,7 @@ def _edges(width: int):
         for batch in batches:
             ids = np.asarray(batch.column(0)).astype(np.int64)
             for lo, hi, data, offsets in tokens.text_slices(batch.column(1)):
-                values, rows = _words(data, offsets)
+                values, rows, _ = _words(data, offsets)
                 at, doc = [], []
                 for row in range(hi - lo):
                     start, n = spans.unpacked(batch.column(2)[lo + row].values)

@@ -22,8 +22,9 @@ from wickwork.llm import tokens
 from wickwork.llm.common import staged
 
 SEGMENT = "h long, seg long, doc long, start int, n int, more binary, done boolean"
-#: Units of each row of a slice: (values with one 64-bit hash per unit, row offsets in units).
-Units = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
+#: Units of each row of a slice: (values with one 64-bit hash per unit, row offsets in units,
+#: first byte of each unit, or None where a unit is a byte).
+Units = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray | None]]
 
 
 def _anchored(values: np.ndarray, rows: np.ndarray, width: int, k: int):
@@ -45,6 +46,51 @@ def _anchored(values: np.ndarray, rows: np.ndarray, width: int, k: int):
     return keys[anchor[begin]], row[begin], begin, stops[np.searchsorted(stops, begin, "right")], hashes
 
 
+#: Bytes of one text that are looked at together, and rows of a batch.
+PIECE_BYTES, PIECE_ROWS = tokens.SLICE_BYTES, 1024
+
+
+def _pieces(column: pa.Array, units: Units, width: int, k: int):
+    """(row, anchor, first window in its text, begin, end, hashes) of the segments of a batch, a bounded part at a time.
+
+    A text longer than `PIECE_BYTES` is read in pieces. A piece that is not the last leaves out
+    its last unit, which may be cut, and its last segment, which may go on: the next piece
+    begins there. So segments are those of the whole text, however long it is.
+    """
+    for at in range(0, len(column), PIECE_ROWS):
+        for lo, hi, data, offsets in tokens.text_slices(column.slice(at, PIECE_ROWS)):
+            if hi - lo == 1 and len(data) > PIECE_BYTES:
+                for h, start, begin, end, hashes in _long(data, units, width, k):
+                    yield np.full(len(h), at + lo), h, start, begin, end, hashes
+                continue
+            values, rows, _ = units(data, offsets)
+            h, row, begin, end, hashes = _anchored(values, rows, width, k)
+            if len(h):
+                yield row + at + lo, h, begin - rows[row], begin, end, hashes
+
+
+def _long(data: np.ndarray, units: Units, width: int, k: int):
+    at, before, size = 0, 0, PIECE_BYTES
+    while True:
+        last = at + size >= len(data)
+        part = data[at: at + size]
+        values, rows, places = units(part, np.array([0, len(part)]))
+        if not last:
+            values, rows = values[:-1], np.array([0, max(len(values) - 1, 0)])
+        h, _, begin, end, hashes = _anchored(values, rows, width, k)
+        if last:
+            if len(h):
+                yield h, begin + before, begin, end, hashes
+            return
+        onward = int(begin[-1]) if len(h) else 0
+        if not onward:  # very long words: no segment is known to end in this piece
+            size *= 2
+            continue
+        yield h[:-1], begin[:-1] + before, begin[:-1], end[:-1], hashes
+        at += onward if places is None else int(places[onward])
+        before, size = before + onward, PIECE_BYTES
+
+
 #: Size of a filter: 64 parts of 2^20 bits, 8 MB, whatever the input.
 FILTER_PARTS, FILTER_BITS = 64, 1 << 20
 
@@ -65,11 +111,8 @@ def repeated_anchors(docs: DataFrame, units: Units, width: int, k: int) -> np.nd
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = np.asarray(batch.column(0)).astype(np.int64)
-            for lo, hi, data, offsets in tokens.text_slices(batch.column(1)):
-                h, row, *_ = _anchored(*units(data, offsets), width, k)
-                if not len(h):
-                    continue
-                doc = ids[lo:hi][row]
+            for row, h, *_ in _pieces(batch.column(1), units, width, k):
+                doc = ids[row]
                 order = np.argsort(h, kind="stable")
                 at = np.flatnonzero(np.r_[True, np.diff(h[order]) != 0])
                 several = np.maximum.reduceat(doc[order], at) > np.minimum.reduceat(doc[order], at)
@@ -77,7 +120,8 @@ def repeated_anchors(docs: DataFrame, units: Units, width: int, k: int) -> np.nd
                     [pa.array(h[order][at].view(np.int64)), pa.array(1 + several.astype(np.int32))], ["h", "docs"]
                 )
 
-    # A document lies in one slice, so two slices, or one with two documents, tell repeats.
+    # A document lies in one slice, so two slices, or one with two documents, tell repeats. An anchor that
+    # a long text has in two of its pieces passes too; it is dropped later.
     seen = docs.mapInArrow(of, "h long, docs int").groupBy("h").agg(F.sum("docs").alias("docs"))
     return bit_filter(seen.where("docs > 1").select("h"))
 
@@ -130,16 +174,12 @@ def segments(docs: DataFrame, units: Units, width: int, k: int, only: np.ndarray
         for batch in batches:
             ids = np.asarray(batch.column(0)).astype(np.int64)
             parts = []
-            for lo, hi, data, offsets in tokens.text_slices(batch.column(1)):
-                values, rows = units(data, offsets)
-                h, row, begin, end, hashes = _anchored(values, rows, width, k)
-                if not len(h):
-                    continue
+            for row, h, start, begin, end, hashes in _pieces(batch.column(1), units, width, k):
                 if wanted is not None:
                     keep = _in_filter(wanted.value, h)
-                    h, row, begin, end = h[keep], row[keep], begin[keep], end[keep]
+                    row, h, start, begin, end = (x[keep] for x in (row, h, start, begin, end))
                 seg = hashes.of(begin, end + width - 1)
-                parts.append((h, seg, row + lo, (begin - rows[row]).astype(np.int32), (end - begin).astype(np.int32)))
+                parts.append((h, seg, row, start.astype(np.int32), (end - begin).astype(np.int32)))
                 if sum(len(p[0]) for p in parts) >= _ROWS:
                     yield from _packed(ids, *map(np.concatenate, zip(*parts)))
                     parts = []
@@ -208,13 +248,24 @@ def by_document(covers: DataFrame) -> DataFrame:
     return covers.groupBy("doc").agg(F.collect_list(F.struct("start", "n", "more")).alias("spans"))
 
 
+def covered_runs(spans, length: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of the maximal covered runs of a text of `length` units; spans: arrays of starts and counts
+    of windows. Memory follows the spans, not the text."""
+    starts, counts = spans
+    order = np.argsort(starts, kind="stable")
+    begin = starts[order]
+    reach = np.maximum.accumulate(np.minimum(begin + counts[order] + width - 1, length))
+    new = np.flatnonzero(np.r_[np.ones(min(len(begin), 1), bool), begin[1:] > reach[:-1]])
+    return begin[new], reach[np.r_[new[1:], len(begin)] - 1] if len(begin) else reach
+
+
 def covered_units(spans, length: int, width: int) -> np.ndarray:
     """Which of `length` units lie in a covered window; spans: arrays of starts and counts of windows."""
-    change = np.zeros(length + 1, np.int64)
-    starts, counts = spans
-    np.add.at(change, starts, 1)
-    np.add.at(change, np.minimum(starts + counts + width - 1, length), -1)
-    return np.cumsum(change)[:length] > 0
+    change = np.zeros(length + 1, np.int8)
+    begin, end = covered_runs(spans, length, width)
+    change[begin] = 1
+    change[end] -= 1
+    return np.cumsum(change[:length], dtype=np.int8) > 0
 
 
 def unpacked(spans: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:

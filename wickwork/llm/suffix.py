@@ -34,15 +34,15 @@ from wickwork.llm import spans, tokens
 from wickwork.llm.common import staged
 
 WIDTH, K = 50, 18
-#: Bytes of segments that one suffix array is made for, on average.
+#: Bytes of segments of one anchor that a suffix array is made for; anchors share one up to half of that, on average.
 GROUP_BYTES = 1 << 19
 _ROWS = 256
 _TABLE = tokens.byte_table(range(256), lower=False)
 _KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 
 
-def _bytes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return _TABLE[data], offsets
+def _bytes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, None]:
+    return _TABLE[data], offsets, None
 
 
 def _cut(width: int):
@@ -195,7 +195,7 @@ def covered_windows(docs: DataFrame, width: int = WIDTH, k: int = K) -> DataFram
         .mapInArrow(_cut(width), "h long, doc long, start int, n int, piece binary"), "pieces",
     )
     total = pieces.agg(F.sum(F.octet_length("piece"))).first()[0] or 0
-    groups = max(1, -(-total // GROUP_BYTES))
+    groups = max(1, -(-total // (GROUP_BYTES // 2)))
     by_anchor = pieces.groupBy("h").agg(F.sum(F.octet_length("piece")).alias("size"))
     hot = staged(by_anchor.where(F.col("size") > GROUP_BYTES).select("h"), "hot")
     few, many = (pieces.join(hot, "h", how) for how in ("left_anti", "left_semi")) if not hot.isEmpty() else (pieces, None)
@@ -210,15 +210,13 @@ def _cleaned(width: int):
         for batch in (whole.slice(at, _ROWS) for whole in batches for at in range(0, whole.num_rows, _ROWS)):
             out: list[list] = [[], [], [], []]
             for text, asked in zip(batch.column(1), batch.column(2)):
-                raw = np.frombuffer(text.as_buffer(), np.uint8) if text.is_valid else np.empty(0, np.uint8)
-                if asked.is_valid and len(asked.values):
-                    start, n = spans.unpacked(asked.values)
-                    fit = start + n + width - 1 <= len(raw)
-                    gone = spans.covered_units((start[fit], n[fit]), len(raw), width)
-                    runs = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
-                    values = (len(raw), int(gone.sum()), runs, raw[~gone].tobytes())
-                else:
-                    values = (len(raw), 0, 0, raw.tobytes())
+                raw = memoryview(text.as_buffer()) if text.is_valid else memoryview(b"")
+                none = np.empty(0, np.int64)
+                start, n = spans.unpacked(asked.values) if asked.is_valid and len(asked.values) else (none, none)
+                fit = start + n + width - 1 <= len(raw)
+                lo, hi = spans.covered_runs((start[fit], n[fit]), len(raw), width)
+                left = zip([0, *hi.tolist()], [*lo.tolist(), len(raw)])
+                values = (len(raw), int((hi - lo).sum()), len(lo), b"".join([raw[a:b] for a, b in left]))
                 for column, value in zip(out, values):
                     column.append(value)
             yield pa.RecordBatch.from_arrays(
