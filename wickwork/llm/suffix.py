@@ -232,5 +232,11 @@ def remove_repeated(docs: DataFrame, width: int = WIDTH, k: int = K) -> DataFram
     covers = staged(spans.by_document(covered_windows(docs, width, k)), "covers")
     raw = docs.select("doc_id", F.encode("text", "utf-8").alias("text"), spans.maybe_among(docs, covers).alias("maybe"))
     some = raw.where("maybe").join(covers, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "text", "spans")
-    rest = raw.where("NOT maybe").select("doc_id", "text", F.lit(None).cast(covers.schema["spans"].dataType).alias("spans"))
-    return some.unionByName(rest).mapInArrow(_cleaned(width), _KEPT)
+    # Texts that surely lose nothing need no second Python worker beside that of the filter.
+    whole = F.coalesce("text", F.lit(b""))
+    nothing = F.lit(0).cast("long")
+    rest = raw.where("NOT maybe").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(whole).cast("long").alias("n_bytes"),
+        nothing.alias("n_removed"), nothing.alias("n_spans"), whole.alias("kept"),
+    )
+    return some.mapInArrow(_cleaned(width), _KEPT).unionByName(rest)
